@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["normalization"]
+MODULES = ["normalization", "relational"]
 
 
 def load_all():
