@@ -10,6 +10,7 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DoubleType
 
 
 def _lcs_length(a: str, b: str) -> int:
@@ -31,12 +32,12 @@ def indel_percent(a: str, b: str) -> float:
     return 100.0 if total == 0 else 200.0 * _lcs_length(a, b) / total
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([indel_percent(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of the lower-cased, trimmed texts, 0 to 1."""
     out = []

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["normalization", "relational"]
+MODULES = ["normalization", "relational", "matching"]
 
 
 def load_all():
