@@ -199,7 +199,6 @@ def resolve(records: DataFrame, order: str = "seq", rank: dict[str, int] = confi
     rest = nodes.filter("NOT (trusted OR (size(keys) = 0 AND size(zones) = 0))")
     anchors = durable(fixed)
     matched = _scored(_pairs_with(rest, anchors.filter("trusted"), spots, True), shared_domains).select(F.col("row.id").alias("id")).distinct()
-    members = matched
     open_rows = durable(rest.join(matched, "id", "left_anti"))
     while not open_rows.isEmpty():
         won = durable(_round_winners(open_rows, spots).select(*nodes.columns))
@@ -207,7 +206,6 @@ def resolve(records: DataFrame, order: str = "seq", rank: dict[str, int] = confi
         left = open_rows.join(won.select("id"), "id", "left_anti")
         matched = _scored(_pairs_with(left, won, spots, False), shared_domains).select(F.col("row.id").alias("id")).distinct()
         open_rows = durable(left.join(matched, "id", "left_anti"))
-    del members
 
     followers = nodes.join(anchors.select("id"), "id", "left_anti")
     best = _scored(_pairs_with(followers, anchors, spots, True), shared_domains).groupBy(F.col("row.id").alias("record_id")).agg(

@@ -148,13 +148,14 @@ def batch_gate(per_batch: DataFrame) -> DataFrame:
         "yield_rate": F.round(gain, 6), "fill_rate": F.round(share(F.col("selected"), F.col("target")), 6), "decision": decision})
 
 
-def batch_costs(runs: DataFrame, batch: str, modes: list[str], per_run: float = 0.50, per_review: float = 0.003) -> DataFrame:
+def batch_costs(runs: DataFrame, batch: str, modes: list[str], per_run: float = 0.50, per_review: float = 0.003,
+                digits: int = 2) -> DataFrame:
     """Cost per batch; unknown as a whole when a mode is missing or has no known count.
 
     runs: one row per batch and mode with raw_review_count.
     """
-    cost = F.lit(per_run) + F.col("raw_review_count") * F.lit(per_review)
+    cost = F.lit(per_run) * F.count("raw_review_count") + F.sum("raw_review_count") * F.lit(per_review)
     known = F.count_distinct(F.when(F.col("raw_review_count").isNotNull() & F.col("mode").isin(modes), F.col("mode")))
     return runs.groupBy(batch).agg(
-        F.when(known == len(modes), F.round(F.sum(cost), 2)).alias("total_cost"), known.alias("modes_known")
+        F.when(known == len(modes), F.round(cost, digits)).alias("total_cost"), known.alias("modes_known")
     ).withColumn("cost_status", F.when(F.col("total_cost").isNull(), F.lit("unavailable")).otherwise(F.lit("available")))

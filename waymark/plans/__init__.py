@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["normalization", "relational", "matching"]
+MODULES = ["normalization", "relational", "matching", "places", "pricing"]
 
 
 def load_all():
