@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["normalization", "relational", "matching", "places", "pricing"]
+MODULES = ["normalization", "relational", "matching", "places", "pricing", "recommending", "learning"]
 
 
 def load_all():
