@@ -82,7 +82,7 @@ def plan(requests: DataFrame, items: DataFrame, regions: list[str], seed: int =
 
     Per request only as many places as it has slots (plus the size of the draw) are kept per pool.
     The short sequential pick - best five unused, drawn by score with a seeded hash - then runs on
-    that bounded group.
+    two short lists per request.
     """
     slots = max(len(s) for s in PACED_SLOTS.values()) * MAX_DAYS
     need = slots + CHOICES
@@ -100,38 +100,48 @@ def plan(requests: DataFrame, items: DataFrame, regions: list[str], seed: int =
     cand = cand.withColumn("pool", F.explode(uses)).withColumn(
         "score", F.round(relevance(F.col("category"), F.col("wanted"), F.col("tier"), F.col("price"), F.col("rating"), F.col("pool") == "food"), 8))
     short = top_n(cand, ["request_id", "pool"], [F.col("score").desc(), F.col("item_id").asc()], need)
-
-    kind = dict(requests.dtypes)
-
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        import xxhash
-
-        first = pdf.iloc[0]
-        rid, used, rows = first["request_id"], set(), []
-        by_pool = {p: g.sort_values(["score", "item_id"], ascending=[False, True])[["item_id", "score"]].to_records(index=False) for p, g in pdf.groupby("pool")}
-        slots_of_day = PACED_SLOTS.get(first["pace"], PACED_SLOTS["Santai"])
-        for day in range(1, min(int(first["days"]), MAX_DAYS) + 1):
-            for slot, (time, food) in enumerate(slots_of_day):
-                pool = by_pool.get("food" if food else "sight", [])
-                free = [r for r in pool if r[0] not in used][:CHOICES]
-                if not free:  # everything used: start again from the top
-                    free = [pool[slot % len(pool)]] if len(pool) else []
-                if not free:
-                    continue
-                total = sum(r[1] for r in free)
-                draw = xxhash.xxh64_intdigest(f"{seed}|{rid}|{day}|{slot}") / 2.0**64 * total
-                reached, chosen = 0.0, free[0]
-                for r in free:
-                    reached += r[1]
-                    if reached >= draw:
-                        chosen = r
-                        break
-                used.add(chosen[0])
-                rows.append((rid, day, slot, time, food, chosen[0], float(chosen[1])))
-        return pd.DataFrame(rows, columns=["request_id", "day", "slot", "time", "is_food", "item_id", "score"])
-
-    schema = f"request_id {kind['request_id']}, day int, slot int, time string, is_food boolean, item_id {dict(items.dtypes)['item_id']}, score double"
-    return short.select("request_id", "pace", "days", "pool", "item_id", "score").groupBy("request_id").applyInPandas(pick, schema)
+    # at most `need` entries per pool, so the lists are short whatever the catalog holds
+    entry = F.struct((-F.col("score")).alias("neg"), F.col("item_id"))
+    lists = short.groupBy("request_id", "pace", "days").agg(
+        *[F.array_sort(F.collect_list(F.when(F.col("pool") == p, entry))).alias(p) for p in ("food", "sight")])
+    kind, item_kind = dict(requests.dtypes)["request_id"], dict(items.dtypes)["item_id"]
+    slot_rows = f"array<struct<day:int,slot:int,time:string,is_food:boolean,item_id:{item_kind},score:double>>"
+    ids = lists.select(
+        "request_id", "pace", "days", *[c for p in ("food", "sight") for c in (
+            F.transform(p, lambda e: e["item_id"]).alias(f"{p}_ids"), F.transform(p, lambda e: -e["neg"]).alias(f"{p}_scores"))])
+    drawn = ids.mapInPandas(lambda batches: _draw(batches, seed), f"request_id {kind}, slots {slot_rows}")
+    return drawn.select("request_id", F.explode("slots").alias("s")).select("request_id", "s.*")
+
+
+def _draw(batches, seed: int):
+    """Fills the slots of each request from its two short lists."""
+    import xxhash
+
+    for pdf in batches:
+        plans = []
+        for r in pdf.itertuples(index=False):
+            pools = {True: list(zip(r.food_ids, r.food_scores)), False: list(zip(r.sight_ids, r.sight_scores))}
+            used, rows = set(), []
+            template = PACED_SLOTS.get(r.pace, PACED_SLOTS["Santai"])
+            for day in range(1, min(int(r.days), MAX_DAYS) + 1):
+                for slot, (time, food) in enumerate(template):
+                    pool = pools[food]
+                    free = [e for e in pool if e[0] not in used][:CHOICES]
+                    if not free and pool:  # everything is used: start again
+                        free = [pool[slot % len(pool)]]
+                    if not free:
+                        continue
+                    draw = xxhash.xxh64_intdigest(f"{seed}|{r.request_id}|{day}|{slot}") / 2.0**64 * sum(e[1] for e in free)
+                    reached, chosen = 0.0, free[0]
+                    for e in free:
+                        reached += e[1]
+                        if reached >= draw:
+                            chosen = e
+                            break
+                    used.add(chosen[0])
+                    rows.append({"day": day, "slot": slot, "time": time, "is_food": food, "item_id": chosen[0], "score": float(chosen[1])})
+            plans.append(rows)
+        yield pd.DataFrame({"request_id": pdf["request_id"], "slots": plans})
 
 
 def legs(slots: DataFrame, default_point: tuple[float, float] = (-5.4292, 105.2611)) -> DataFrame:

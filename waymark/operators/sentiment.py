@@ -84,7 +84,7 @@ def classifier(terms: int = 2500, l2: float = 0.0, rounds: int = 100) -> Pipelin
         CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=terms),
         IDF(inputCol="tf", outputCol="tfidf"),
         Normalizer(inputCol="tfidf", outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol="y", maxIter=rounds, regParam=l2, elasticNetParam=0.0, standardization=False, family="multinomial"),
+        LogisticRegression(featuresCol="features", labelCol="y", maxIter=rounds, tol=1e-4, regParam=l2, elasticNetParam=0.0, standardization=False, family="multinomial"),
     ])
 
 

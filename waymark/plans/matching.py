@@ -45,27 +45,30 @@ def _(t):
     return joins.orphans(t.documents.select("doc_id"), "doc_id", t.labels, "documents_without_label", "warning")
 
 
-_rec = [("record_id", "c_custkey"), ("source_place_id", "CASE WHEN c_custkey % 4 = 1 THEN c_custkey % 60 END"),
-        ("url_key", "CASE WHEN c_custkey % 4 = 2 THEN concat('u', CAST(c_custkey % 50 AS varchar(9))) END"),
-        ("name", "concat('place ', CAST(c_custkey - c_custkey % 5 AS varchar(12)))"), ("region", "'R'"), *views._point("0.0008")]
-_chain = "(record_id - record_id % 5)"
+# Source records and places: every customer is a record, those of two segments are places too.
+_rec = [("record_id", "c_custkey"), ("segment", "c_mktsegment"), ("source_place_id", "CASE c_mktsegment WHEN 'MACHINERY' THEN c_custkey % 60 END"),
+        ("url_key", "CASE c_mktsegment WHEN 'FURNITURE' THEN concat('u', CAST(c_custkey % 50 AS varchar(9))) END"),
+        ("name", "concat('place ', CAST(c_custkey - c_custkey % 5 AS varchar(12)))"), ("region", "'R'"), *views._point("0.0004")]
+_is_place = "segment IN ('BUILDING', 'HOUSEHOLD')"
 
 
 @query("jn04_waterfall", f"""
-WITH r AS {views.sql("customer", _rec)}, pop AS (SELECT record_id AS place_id, lat, lon FROM r WHERE record_id % 5 = 0),
-h AS (SELECT r.*, CASE WHEN record_id % 4 = 0 THEN CAST(record_id % 100 AS bigint) END AS h1, CASE WHEN source_place_id IS NOT NULL THEN CAST(source_place_id * 5 AS bigint) END AS h2,
-  CASE WHEN url_key IS NOT NULL THEN CAST(substr(url_key, 2) AS bigint) * 10 END AS h3 FROM r),
-n AS (SELECT h.record_id, arg_min(p.place_id, ({dist_sql('h', 'p')}, p.place_id)) AS h4, min({dist_sql('h', 'p')}) AS d FROM h JOIN pop p
-  ON p.place_id BETWEEN h.record_id - 5 AND h.record_id + 5 AND p.place_id = {_chain.replace('record_id', 'h.record_id')} AND {dist_sql('h', 'p')} <= 100 WHERE h1 IS NULL AND h2 IS NULL AND h3 IS NULL GROUP BY 1),
+WITH r AS {views.sql("customer", _rec)}, pop AS (SELECT record_id AS place_id, name, lat, lon FROM r WHERE {_is_place}),
+h AS (SELECT r.*, CASE WHEN segment = 'AUTOMOBILE' THEN CAST(record_id % 100 AS bigint) END AS h1, CAST(source_place_id * 5 AS bigint) AS h2, CAST(substr(url_key, 2) AS bigint) * 10 AS h3 FROM r),
+n AS (SELECT h.record_id, arg_min(p.place_id, ({dist_sql('h', 'p')}, p.place_id)) AS h4, min({dist_sql('h', 'p')}) AS d FROM h JOIN pop p ON p.name = h.name AND {dist_sql('h', 'p')} <= 100 WHERE h1 IS NULL AND h2 IS NULL AND h3 IS NULL GROUP BY 1),
 m AS (SELECT h.record_id, coalesce(h1, h2, h3, h4) AS cid, CASE WHEN h1 IS NOT NULL THEN 'source_record_id' WHEN h2 IS NOT NULL THEN 'google_place_id' WHEN h3 IS NOT NULL THEN 'normalized_url'
   WHEN h4 IS NOT NULL THEN 'coordinates_name_fallback' END AS method, CASE WHEN h1 IS NOT NULL THEN 1.0 WHEN h2 IS NOT NULL THEN 1.0 WHEN h3 IS NOT NULL THEN 0.95
   WHEN h4 IS NOT NULL THEN round(1.0 * (1.0 - (d / 100.0) * 0.1), 2) END AS conf FROM h LEFT JOIN n USING (record_id))
 SELECT record_id, CASE WHEN p.place_id IS NOT NULL THEN cid END AS canonical_id, CASE WHEN p.place_id IS NOT NULL THEN method END AS method,
   CAST(CASE WHEN p.place_id IS NOT NULL THEN conf END AS double) AS confidence, p.place_id IS NOT NULL AS mapped FROM m LEFT JOIN pop p ON p.place_id = cid""")
 def _(t):
+    return _waterfall(t)
+
+
+def _waterfall(t):
     r = views.columns(t.customer, _rec)
-    pop = r.filter("record_id % 5 = 0").select(C("record_id").alias("place_id"), "name", "lat", "lon", C("record_id").alias("ord"), "region")
-    by_record = r.filter("record_id % 4 = 0").select("record_id", (C("record_id") % 100).cast("bigint").alias("canonical_id"))
+    pop = r.filter(_is_place).select(C("record_id").alias("place_id"), "name", "lat", "lon", C("record_id").alias("ord"), "region")
+    by_record = r.filter("segment = 'AUTOMOBILE'").select("record_id", (C("record_id") % 100).cast("bigint").alias("canonical_id"))
     by_place = r.filter("source_place_id IS NOT NULL").select("source_place_id", (C("source_place_id") * 5).cast("bigint").alias("canonical_id")).distinct()
     by_url = r.filter("url_key IS NOT NULL").select("url_key", F.expr("CAST(substr(url_key, 2) AS bigint) * 10").alias("canonical_id"), C("record_id").alias("seq"))
     return joins.map_records(r, by_record, by_place, joins.last_entry(by_url, "url_key", "seq"), pop)
@@ -81,17 +84,14 @@ def _(t):
     return nearby.points_in_boxes(views.geo(t).select("place_id", "lat", "lon"), boxes, "place_id").select("place_id", "box_id")
 
 
-_named = [("record_id", "c_custkey"), ("name", "concat('place ', CAST(c_custkey - c_custkey % 5 AS varchar(12)))"), ("region", "'R'"), *views._point("0.0004")]
-
-
 @query("jn06_nearest_named", f"""
-WITH r AS {views.sql("customer", _named)}
+WITH r AS {views.sql("customer", _rec)}
 SELECT a.record_id, arg_min(b.record_id, ({dist_sql('a', 'b')}, b.record_id)) AS place_id, round(1.0 - min({dist_sql('a', 'b')}) / 100.0 * 0.1, 2) AS confidence
-FROM r a JOIN r b ON a.name = b.name AND a.record_id % 5 IN (1, 3) AND b.record_id % 5 IN (0, 2, 4) AND {dist_sql('a', 'b')} <= 100 GROUP BY 1""")
+FROM r a JOIN r b ON a.name = b.name AND NOT a.{_is_place} AND b.{_is_place} AND {dist_sql('a', 'b')} <= 100 GROUP BY 1""")
 def _(t):
-    r = views.columns(t.customer, _named)
-    places = r.filter("record_id % 5 IN (0, 2, 4)").select(C("record_id").alias("place_id"), "name", "lat", "lon", C("record_id").alias("ord"), "region")
-    return nearby.nearest_named(r.filter("record_id % 5 IN (1, 3)"), places)
+    r = views.columns(t.customer, _rec)
+    places = r.filter(_is_place).select(C("record_id").alias("place_id"), "name", "lat", "lon", C("record_id").alias("ord"), "region")
+    return nearby.nearest_named(r.filter(f"NOT {_is_place}"), places)
 
 
 @query("jn07_preferred_source", """

@@ -73,22 +73,22 @@ def _(t):
 
 
 @query("prc04_decision_changes", """
-WITH n AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 40 = 3 THEN 'X' ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 90 <> 7), p AS (SELECT o_orderkey AS k, o_orderstatus AS s FROM orders WHERE o_orderkey % 80 <> 9)
+WITH n AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 40 = 3 THEN 'X' ELSE o_orderstatus END AS s FROM orders WHERE o_totalprice < 450000), p AS (SELECT o_orderkey AS k, o_orderstatus AS s FROM orders WHERE o_totalprice > 20000)
 SELECT coalesce(p.k, n.k) AS place_id, p.s AS previous_decision, n.s AS new_decision, CASE WHEN p.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' ELSE 'changed' END AS change_type FROM p FULL JOIN n ON p.k = n.k WHERE p.k IS NULL OR n.k IS NULL OR p.s <> n.s""")
 def _(t):
-    o = t.orders.select(C("o_orderkey").alias("place_id"), C("o_orderstatus").alias("final_decision"))
-    new = o.filter("place_id % 90 <> 7").withColumn("final_decision", F.when(C("place_id") % 40 == 3, "X").otherwise(C("final_decision")))
-    return prc.decision_changes(o.filter("place_id % 80 <> 9"), new)
+    o = t.orders.select(C("o_orderkey").alias("place_id"), C("o_orderstatus").alias("final_decision"), "o_totalprice")
+    new = o.filter("o_totalprice < 450000").withColumn("final_decision", F.when(C("place_id") % 40 == 3, "X").otherwise(C("final_decision")))
+    return prc.decision_changes(o.filter("o_totalprice > 20000"), new)
 
 
 @query("prc05_extract_observations", """
-WITH r AS (SELECT c.item_id AS rule_id, c.item_id % 20 AS place_id, list_extract(string_split(c.text, ' '), 3) AS phrase FROM benchmark c),
-h AS (SELECT rule_id, r.place_id, min(CASE WHEN d.doc_id = r.place_id THEN -1 ELSE d.doc_id END) AS hit FROM r JOIN documents d ON d.doc_id % 20 = r.place_id AND contains(lower(d.text), lower(phrase)) GROUP BY 1, 2)
-SELECT rule_id, place_id, CASE WHEN hit = -1 THEN 'description' ELSE 'review' END AS found_in, CASE WHEN hit >= 0 THEN hit END AS review_id FROM h""")
+WITH r AS (SELECT item_id AS rule_id, 'src' || item_id % 20 AS place_id, lower(list_extract(string_split(text, ' '), 3)) AS phrase FROM benchmark), p AS (SELECT source AS place_id, lower(arg_min(text, doc_id)) AS t FROM documents GROUP BY 1),
+h AS (SELECT rule_id, r.place_id, bool_or(contains(p.t, phrase)) AS in_text, (SELECT min(doc_id) FROM documents d WHERE d.source = r.place_id AND contains(lower(d.text), phrase)) AS hit FROM r JOIN p USING (place_id) GROUP BY rule_id, r.place_id, phrase)
+SELECT rule_id, place_id, CASE WHEN in_text THEN 'description' ELSE 'review' END AS found_in, CASE WHEN NOT in_text THEN hit END AS review_id FROM h WHERE in_text OR hit IS NOT NULL""")
 def _(t):
-    rules = t.benchmark.select(C("item_id").alias("rule_id"), (C("item_id") % 20).alias("place_id"), F.get(F.split("text", " "), F.lit(2)).alias("phrase"), F.lit("entry").alias("price_type"), F.lit(1.0).alias("amount"))
-    places = t.documents.filter("doc_id < 20").select(C("doc_id").alias("place_id"), C("text").alias("description"))
-    reviews = t.documents.filter("doc_id >= 20").select((C("doc_id") % 20).alias("place_id"), C("doc_id").alias("review_id"), "text")
+    rules = t.benchmark.select(C("item_id").alias("rule_id"), F.concat(F.lit("src"), C("item_id") % 20).alias("place_id"), F.get(F.split("text", " "), F.lit(2)).alias("phrase"), F.lit("entry").alias("price_type"), F.lit(1.0).alias("amount"))
+    places = t.documents.groupBy(C("source").alias("place_id")).agg(F.min_by("text", "doc_id").alias("description"))
+    reviews = t.documents.select(C("source").alias("place_id"), C("doc_id").alias("review_id"), "text")
     return prc.extract_observations(places, reviews, rules).select("rule_id", "place_id", "found_in", "review_id")
 
 
@@ -159,12 +159,12 @@ def _(t):
 
 
 @query("prc13_verification_queue", f"""
-WITH p AS (SELECT o_custkey AS place_id, CASE WHEN o_orderpriority = '1-URGENT' THEN 'rejected' WHEN o_totalprice > 400000 THEN 'provisional_recent' WHEN o_orderstatus = 'F' THEN 'historical_reference' ELSE 'unresolved' END AS s FROM orders WHERE o_custkey % 3 <> 0),
+WITH p AS (SELECT o_custkey AS place_id, CASE WHEN o_orderpriority = '1-URGENT' THEN 'rejected' WHEN o_totalprice > 400000 THEN 'provisional_recent' WHEN o_orderstatus = 'F' THEN 'historical_reference' ELSE 'unresolved' END AS s FROM orders WHERE o_totalprice > 300000),
 a AS (SELECT place_id, count(*) AS n, count(*) FILTER (s <> 'rejected') AS u, bool_or(s = 'provisional_recent') AS r, bool_or(s = 'historical_reference') AS h FROM p GROUP BY 1)
 SELECT c_custkey AS place_id, coalesce(n, 0) AS observation_count, coalesce(u, 0) AS usable_price_count, CASE WHEN n IS NULL THEN 'low' WHEN r THEN 'high' ELSE 'medium' END AS verification_priority, CASE WHEN n IS NULL THEN 1 WHEN r THEN 2 WHEN h THEN 3 ELSE 4 END AS reason_no FROM customer LEFT JOIN a ON place_id = c_custkey""")
 def _(t):
     s = F.when(C("o_orderpriority") == "1-URGENT", "rejected").when(C("o_totalprice") > 400000, "provisional_recent").when(C("o_orderstatus") == "F", "historical_reference").otherwise("unresolved")
-    p = t.orders.filter("o_custkey % 3 <> 0").select(C("o_custkey").alias("place_id"), s.alias("price_data_status"))
+    p = t.orders.filter("o_totalprice > 300000").select(C("o_custkey").alias("place_id"), s.alias("price_data_status"))
     q = prc.verification_queue(t.customer.select(C("c_custkey").alias("place_id")), p)
     no = F.when(C("reason").startswith("No local"), 1).when(C("reason").startswith("Provisional"), 2).when(C("reason").startswith("Only"), 3).otherwise(4)
     return q.withColumn("reason_no", no).drop("reason")
@@ -231,20 +231,20 @@ def _(t):
 
 
 @query("prc17_verification_coverage", f"""
-WITH q AS (SELECT p_partkey AS place_id FROM part WHERE p_partkey < 200), s AS (SELECT user_id AS place_id, count(*) AS a, count(*) FILTER (event_type = 'click') AS b, count(*) FILTER (event_type IN ('view', 'signup')) AS c, count(*) FILTER (event_type = 'error') AS d FROM events GROUP BY 1),
-o AS (SELECT place_id, count(*) AS e FROM {views.sql("orders", _ver)} WHERE place_id % 7 <> 0 GROUP BY 1), v AS (SELECT place_id, count(*) FILTER (price_data_status = 'verified_current') AS f, count(*) FILTER (price_data_status = 'official_live_unbounded') AS g, count(*) FILTER (price_data_status = 'externally_supported_recent') AS h FROM ({_ver_sql}) WHERE place_id % 3 <> 1 GROUP BY 1),
+WITH q AS (SELECT c_custkey AS place_id FROM customer), s AS (SELECT user_id AS place_id, count(*) AS a, count(*) FILTER (event_type = 'click') AS b, count(*) FILTER (event_type IN ('view', 'signup')) AS c, count(*) FILTER (event_type = 'error') AS d FROM events GROUP BY 1),
+o AS (SELECT place_id, count(*) AS e FROM {views.sql("orders", _ver)} WHERE temporal_status <> 'official_live_unbounded' GROUP BY 1), v AS (SELECT place_id, count(*) FILTER (price_data_status = 'verified_current') AS f, count(*) FILTER (price_data_status = 'official_live_unbounded') AS g, count(*) FILTER (price_data_status = 'externally_supported_recent') AS h FROM ({_ver_sql}) WHERE supporting_local_count > 0 GROUP BY 1),
 k AS (SELECT place_id, count(*) AS i FROM {PRI} WHERE price_type = 'entry' GROUP BY 1),
 r AS (SELECT q.place_id, coalesce(a, 0) AS sources_checked, coalesce(b, 0) AS accepted_sources, coalesce(c, 0) AS official_sources, coalesce(d, 0) AS government_sources, coalesce(e, 0) AS external_observations, coalesce(f, 0) AS verified_current_prices, coalesce(g, 0) AS official_live_unbounded_prices, coalesce(h, 0) AS provisional_external_prices, coalesce(i, 0) AS conflicts
   FROM q LEFT JOIN s USING (place_id) LEFT JOIN o USING (place_id) LEFT JOIN v USING (place_id) LEFT JOIN k USING (place_id)),
 z AS (SELECT *, CASE WHEN external_observations = 0 THEN 'completed_no_price' WHEN verified_current_prices > 0 THEN 'completed_verified' WHEN official_live_unbounded_prices > 0 THEN 'completed_official_unbounded' ELSE 'completed_provisional' END AS verification_status FROM r)
 SELECT *, CASE WHEN verification_status IN ('completed_verified', 'completed_official_unbounded') THEN 0.9::DOUBLE WHEN verification_status = 'completed_provisional' THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS research_confidence FROM z
-UNION ALL SELECT p_partkey, 1, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'completed_verified', NULL FROM part WHERE p_partkey BETWEEN 200 AND 220""")
+UNION ALL SELECT p_partkey, 1, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'completed_verified', NULL FROM part WHERE p_partkey NOT IN (SELECT c_custkey FROM customer)""")
 def _(t):
-    q = t.part.filter("p_partkey < 200").select(C("p_partkey").alias("place_id"))
+    q = t.customer.select(C("c_custkey").alias("place_id"))
     kind = F.when(C("event_type") == "view", "official_website").when(C("event_type") == "signup", "official_social_media").when(C("event_type") == "error", "government").otherwise("blog")
     src = t.events.select(C("user_id").alias("place_id"), kind.alias("source_type"), F.when(C("event_type") == "click", "accepted").otherwise("no").alias("research_status"))
-    prev = t.part.filter("p_partkey BETWEEN 100 AND 220").select(C("p_partkey").alias("place_id"), F.lit(1).cast("bigint").alias("sources_checked"), F.lit("completed_verified").alias("verification_status"))
-    return prc.verification_coverage(q, src, views.columns(t.orders, _ver).filter("place_id % 7 <> 0"), _verified(t).filter("place_id % 3 <> 1"), views.prices(t).filter("price_type = 'entry'"), prev)
+    prev = t.part.select(C("p_partkey").alias("place_id"), F.lit(1).cast("bigint").alias("sources_checked"), F.lit("completed_verified").alias("verification_status"))
+    return prc.verification_coverage(q, src, views.columns(t.orders, _ver).filter("temporal_status <> 'official_live_unbounded'"), _verified(t).filter("supporting_local_count > 0"), views.prices(t).filter("price_type = 'entry'"), prev)
 
 
 @query("prc18_input_audit", f"""

@@ -125,7 +125,7 @@ def _tfidf_sql():
     return f"""{BASE_SQL}, iw1 AS (SELECT item_id, unnest({_words.format(c=text('i', 'a'))}) AS w FROM i), iw AS (SELECT item_id, w, count(*) AS tf FROM iw1 GROUP BY 1, 2), qw1 AS (SELECT request_id, unnest({_words.format(c=text('q', 'b'))}) AS w FROM q), qw2 AS (SELECT request_id, w, count(*) AS tf FROM qw1 GROUP BY 1, 2),
 idf AS (SELECT w, ln((1.0 + (SELECT count(*) FROM i)) / (1.0 + count(*))) + 1.0 AS idf FROM iw GROUP BY 1), iv AS (SELECT item_id, w, tf * idf AS v FROM iw JOIN idf USING (w)), qv AS (SELECT request_id, w, tf * idf AS v FROM qw2 JOIN idf USING (w)),
 il AS (SELECT item_id, sqrt(sum(v * v)) AS l FROM iv GROUP BY 1), ql AS (SELECT request_id, sqrt(sum(v * v)) AS l FROM qv GROUP BY 1), d AS (SELECT request_id, item_id, sum(iv.v * qv.v) AS dot FROM qv JOIN iv USING (w) GROUP BY 1, 2),
-c AS (SELECT request_id, item_id, round(dot / (il.l * ql.l), 9) AS sim FROM d JOIN il USING (item_id) JOIN ql USING (request_id)),
+c AS (SELECT request_id, item_id, round(dot / (il.l * ql.l), 8) AS sim FROM d JOIN il USING (item_id) JOIN ql USING (request_id)),
 s AS (SELECT j.request_id, j.item_id, round(CASE WHEN eligible THEN coalesce(sim, 0.0) + round(penalty * -0.5::DOUBLE, 8) ELSE -1.0 END, 8) AS score FROM j LEFT JOIN c ON c.request_id = j.request_id AND c.item_id = j.item_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, item_id) AS rank FROM s) SELECT request_id, item_id, rank, score FROM r WHERE rank <= 10"""
 
