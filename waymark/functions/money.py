@@ -54,10 +54,13 @@ def price_mentions(text: Column, patterns: list[str] = MENTION_PATTERNS) -> Colu
     """Array of structs, one per price mention; a span may match both patterns."""
     low = F.lower(text)
 
-    def mention(m):
-        raw = m["number"]
+    def reader(pattern):
+        return lambda whole: mention(whole, pattern)
+
+    def mention(whole, pattern):
+        # the number is read again from the short match, so the text itself is scanned once per pattern
+        raw = F.regexp_extract(whole, pattern, 1)
         value = F.replace(raw, F.lit("."), F.lit("")).cast("double")
-        whole = m["matched"]
         scaled = F.when((whole.contains("ribu") | whole.contains("k")) & (value < 1000), value * 1000).otherwise(value)
         return F.struct(
             whole.alias("matched"),
@@ -70,13 +73,9 @@ def price_mentions(text: Column, patterns: list[str] = MENTION_PATTERNS) -> Colu
         )
 
     found = [
-        F.arrays_zip(
-            F.regexp_extract_all(low, F.lit(p), F.lit(0)).alias("matched"),
-            F.regexp_extract_all(low, F.lit(p), F.lit(1)).alias("number"),
-        )
-        for p in patterns
+        F.transform(F.regexp_extract_all(low, F.lit(p), F.lit(0)), reader(p)) for p in patterns
     ]
-    return F.transform(F.concat(*found), mention)
+    return F.concat(*found)
 
 
 def false_positive_class(value: Column, ratings=(4.5, 4.8), years=(2024, 2025, 2026), phone_floor=1_000_000_000) -> Column:

@@ -34,7 +34,7 @@ def indel_percent(a: str, b: str) -> float:
 
 @F.pandas_udf(DoubleType())
 def indel_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([indel_percent(x, y) for x, y in zip(a, b)], dtype="float64")
+    return pd.Series([None if x is None or y is None else indel_percent(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 @F.pandas_udf(DoubleType())

@@ -190,7 +190,8 @@ def normalize_places(raw: DataFrame, regions=config.REGIONS, slugs=config.REGION
     base = raw.select(
         "*", lat.alias("_lat"), lon.alias("_lon"), name.alias("name"), cats.alias("categories")
     )
-    region = geo.region_of(F.col("raw_address"), F.col("_lat"), F.col("_lon"), regions, F.col("query_region"))
+    # used many times below, so it is a column of its own
+    base = base.withColumn("_region", geo.region_of(F.col("raw_address"), F.col("_lat"), F.col("_lon"), regions, F.col("query_region")))
     verdict = classify(
         F.col("name"), F.col("categories"), F.col("_lat"), F.col("_lon"),
         F.col("description"), F.col("review_count"), F.col("query_keyword"), vocab, box,
@@ -199,7 +200,7 @@ def normalize_places(raw: DataFrame, regions=config.REGIONS, slugs=config.REGION
         "source_record_id", "source", "source_place_id", "name",
         text.matching_name(F.col("name"), stop_phrases).alias("normalized_name"),
         text.collapse_whitespace(F.col("raw_address")).alias("address"),
-        F.coalesce(geo.canonical_region(region, slugs), F.lit(default_region)).alias("city_regency"),
+        F.coalesce(geo.canonical_region(F.col("_region"), slugs), F.lit(default_region)).alias("city_regency"),
         "district",
         F.col("_lat").alias("latitude"), F.col("_lon").alias("longitude"),
         "categories", "rating", "review_count",

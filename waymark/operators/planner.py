@@ -93,17 +93,21 @@ def plan(requests: DataFrame, items: DataFrame, regions: list[str], seed: int =
     req = known.withColumn("pool_region", F.when(F.col("_has"), F.col("pool_region")).otherwise(F.lit(""))).drop("_has")
     has_food = pools.groupBy("pool_region").agg(F.bool_or("is_food").alias("has_food"), F.bool_or(~F.col("is_food")).alias("has_sights"))
     req = req.join(has_food, "pool_region")
-    cand = req.join(pools.drop("region"), "pool_region")
+    # what a place is worth depends on region, wished categories and budget only: score once per profile
+    req = req.withColumn("wish", F.array_join(F.array_sort(F.transform("wanted", lambda w: F.lower(w))), "|"))
+    profile = ["pool_region", "wish", "tier"]
+    profiles = req.groupBy(*profile).agg(F.first("wanted").alias("wanted"), F.first("has_food").alias("has_food"), F.first("has_sights").alias("has_sights"))
+    cand = profiles.join(pools.drop("region"), "pool_region")
     # a region without food places serves food slots from its sights, and the other way round
     uses = F.filter(F.array(
         F.when(F.col("is_food") | ~F.col("has_food"), F.lit("food")), F.when(~F.col("is_food") | ~F.col("has_sights"), F.lit("sight"))), lambda x: x.isNotNull())
     cand = cand.withColumn("pool", F.explode(uses)).withColumn(
         "score", F.round(relevance(F.col("category"), F.col("wanted"), F.col("tier"), F.col("price"), F.col("rating"), F.col("pool") == "food"), 8))
-    short = top_n(cand, ["request_id", "pool"], [F.col("score").desc(), F.col("item_id").asc()], need)
+    short = top_n(cand, [*profile, "pool"], [F.col("score").desc(), F.col("item_id").asc()], need)
     # at most `need` entries per pool, so the lists are short whatever the catalog holds
     entry = F.struct((-F.col("score")).alias("neg"), F.col("item_id"))
-    lists = short.groupBy("request_id", "pace", "days").agg(
-        *[F.array_sort(F.collect_list(F.when(F.col("pool") == p, entry))).alias(p) for p in ("food", "sight")])
+    lists = short.groupBy(*profile).agg(*[F.array_sort(F.collect_list(F.when(F.col("pool") == p, entry))).alias(p) for p in ("food", "sight")])
+    lists = req.select("request_id", "pace", "days", *profile).join(lists, profile)
     kind, item_kind = dict(requests.dtypes)["request_id"], dict(items.dtypes)["item_id"]
     slot_rows = f"array<struct<day:int,slot:int,time:string,is_food:boolean,item_id:{item_kind},score:double>>"
     ids = lists.select(

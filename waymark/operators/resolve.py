@@ -60,12 +60,12 @@ def _scored(pairs: DataFrame, shared_domains: list[str]) -> DataFrame:
     tok = lambda c: F.coalesce(sorted_tokens(c), F.lit(""))
     pairs = pairs.filter(F.col("anchor.ord") < F.col("row.ord")).withColumn(
         "distance_m", geo.haversine_m(F.col("row.lat"), F.col("row.lon"), F.col("anchor.lat"), F.col("anchor.lon")))
-    near = F.col("distance_m") <= NAME_RADIUS
+    # only pairs the scores can decide reach the UDF with text; NULL passes through it
+    open_pair = (F.col("distance_m") <= NAME_RADIUS) & (F.col("row.name") != F.col("anchor.name"))
+    addressed = open_pair & is_filled(F.col("row.address")) & is_filled(F.col("anchor.address"))
     pairs = pairs.withColumns({
-        "name_score": F.when(near, indel_ratio(tok(F.col("row.name")), tok(F.col("anchor.name")))),
-        "address_score": F.when(
-            near & is_filled(F.col("row.address")) & is_filled(F.col("anchor.address")),
-            indel_ratio(tok(F.lower("row.address")), tok(F.lower("anchor.address")))),
+        "name_score": indel_ratio(F.when(open_pair, tok(F.col("row.name"))), F.when(open_pair, tok(F.col("anchor.name")))),
+        "address_score": indel_ratio(F.when(addressed, tok(F.lower("row.address"))), F.when(addressed, tok(F.lower("anchor.address")))),
     })
     return pairs.withColumn("rule", pair_rule("row", "anchor", shared_domains)).filter(F.col("rule.confidence") > 0)
 
@@ -202,7 +202,7 @@ def resolve(records: DataFrame, order: str = "seq", rank: dict[str, int] = confi
     open_rows = durable(rest.join(matched, "id", "left_anti"))
     while not open_rows.isEmpty():
         won = durable(_round_winners(open_rows, spots).select(*nodes.columns))
-        anchors = durable(anchors.unionByName(won))
+        anchors = anchors.unionByName(won)
         left = open_rows.join(won.select("id"), "id", "left_anti")
         matched = _scored(_pairs_with(left, won, spots, False), shared_domains).select(F.col("row.id").alias("id")).distinct()
         open_rows = durable(left.join(matched, "id", "left_anti"))

@@ -14,33 +14,38 @@ from waymark.functions.text import lexicon_text
 from waymark.operators.ranking import hash_numbered
 
 
-def word_hits(text: Column, words: list[str]) -> Column:
-    """How many tokens of a cleaned text are in a word list."""
-    return F.size(F.filter(F.split(text, " "), lambda w: w.isin(words)))
+def word_hits(clean: Column, words: list[str]) -> Column:
+    """How many tokens of a cleaned text are in a word list (entries of several words never are)."""
+    single = [w for w in words if " " not in w]
+    return F.regexp_count(clean, F.lit(rf"(?<![^ ])(?:{'|'.join(single)})(?![^ ])"))
 
 
-def lexicon_label(text: Column, positive=config.POSITIVE_WORDS, negative=config.NEGATIVE_WORDS) -> Column:
-    """Struct (label, score) by comparing positive with negative token counts."""
-    clean = lexicon_text(text)
-    p, n = word_hits(clean, positive), word_hits(clean, negative)
-    return F.struct(
-        first_match([(p > n, "positive"), (n > p, "negative")], "neutral").alias("label"),
-        first_match([(p > n, 1.0), (n > p, -1.0)], 0.0).alias("score"))
+def _counted(df: DataFrame, text: str, positive: list[str], negative: list[str]) -> DataFrame:
+    """Adds _clean, then _p, _n and _k (token count), each computed once."""
+    cleaned = df.withColumn("_clean", lexicon_text(F.col(text)))
+    tokens = F.when(F.col("_clean") == "", F.lit(0)).otherwise(F.length("_clean") - F.length(F.replace(F.col("_clean"), F.lit(" "), F.lit(""))) + 1)
+    return cleaned.withColumns({"_p": word_hits(F.col("_clean"), positive), "_n": word_hits(F.col("_clean"), negative), "_k": tokens})
 
 
-def rating_label(text: Column, rating: Column, positive=config.POSITIVE_WORDS, negative=config.NEGATIVE_WORDS) -> Column:
-    """Struct (label, score, confidence) from the rating, corrected by the words."""
-    clean = lexicon_text(text)
-    p, n = word_hits(clean, positive), word_hits(clean, negative)
+def lexicon_labels(df: DataFrame, text: str, positive=config.POSITIVE_WORDS, negative=config.NEGATIVE_WORDS) -> DataFrame:
+    """Adds label and score by comparing positive with negative token counts."""
+    p, n = F.col("_p"), F.col("_n")
+    return _counted(df, text, positive, negative).withColumns({
+        "label": first_match([(p > n, "positive"), (n > p, "negative")], "neutral"),
+        "score": first_match([(p > n, 1.0), (n > p, -1.0)], 0.0)}).drop("_clean", "_p", "_n", "_k")
+
+
+def rating_labels(df: DataFrame, text: str, rating: Column, positive=config.POSITIVE_WORDS, negative=config.NEGATIVE_WORDS) -> DataFrame:
+    """Adds label, score and confidence from the rating, corrected by the words."""
+    p, n, k = F.col("_p"), F.col("_n"), F.col("_k")
     high, low = yes(rating >= 4.0), yes(rating <= 2.0)
     turned = high & (n > p) & (n >= 2)
     label = first_match([(turned, "negative"), (high, "positive"), (low, "negative"), (p > n, "positive"), (n > p, "negative")], "neutral")
     score = first_match(
         [(turned, -0.6), (high, F.lit(0.85) + p * 0.03), (low, F.lit(-0.9) + p * 0.02), (p > n, 0.5), (n > p, -0.5)], 0.0)
-    tokens = F.size(F.filter(F.split(clean, " "), lambda w: w != ""))
-    return F.struct(
-        label.alias("label"), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), score)).alias("score"),
-        F.least(F.lit(1.0), F.lit(0.70) + tokens * 0.05).alias("confidence"))
+    return _counted(df, text, positive, negative).withColumns({
+        "label": label, "score": F.greatest(F.lit(-1.0), F.least(F.lit(1.0), score)),
+        "confidence": F.least(F.lit(1.0), F.lit(0.70) + k * 0.05)}).drop("_clean", "_p", "_n", "_k")
 
 
 def pseudo_label(rating: Column) -> Column:

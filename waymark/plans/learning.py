@@ -25,7 +25,7 @@ c AS (SELECT doc_id, len(list_filter(w, lambda x: list_contains({_in(POS)}, x)))
 @query("sen01_lexicon", LEX + """
 SELECT doc_id, CASE WHEN p > n THEN 'positive' WHEN n > p THEN 'negative' ELSE 'neutral' END AS label, CASE WHEN p > n THEN 1.0::DOUBLE WHEN n > p THEN -1.0::DOUBLE ELSE 0.0::DOUBLE END AS score FROM c""")
 def _(t):
-    return t.documents.select("doc_id", sen.lexicon_label(C("text"), POS, NEG).alias("s")).select("doc_id", "s.*")
+    return sen.lexicon_labels(t.documents.select("doc_id", "text"), "text", POS, NEG).drop("text")
 
 
 _rule = """CASE WHEN r >= 4 AND n > p AND n >= 2 THEN 'negative' WHEN r >= 4 THEN 'positive' WHEN r <= 2 THEN 'negative' WHEN p > n THEN 'positive' WHEN n > p THEN 'negative' ELSE 'neutral' END"""
@@ -34,8 +34,8 @@ _rule = """CASE WHEN r >= 4 AND n > p AND n >= 2 THEN 'negative' WHEN r >= 4 THE
 @query("sen02_rating_rule", LEX + f"""
 SELECT doc_id, {_rule} AS label, round(greatest(-1.0, least(1.0, CASE WHEN r >= 4 AND n > p AND n >= 2 THEN -0.6 WHEN r >= 4 THEN 0.85 + 0.03 * p WHEN r <= 2 THEN -0.9 + 0.02 * p WHEN p > n THEN 0.5 WHEN n > p THEN -0.5 ELSE 0.0 END)), 6)::DOUBLE AS score, round(least(1.0, 0.7 + 0.05 * k), 6)::DOUBLE AS confidence FROM c""")
 def _(t):
-    s = sen.rating_label(C("text"), (C("doc_id") % 5 + 1).cast("double"), POS, NEG)
-    return t.documents.select("doc_id", s.alias("s")).select("doc_id", "s.label", F.round("s.score", 6).alias("score"), F.round("s.confidence", 6).alias("confidence"))
+    s = sen.rating_labels(t.documents.select("doc_id", "text"), "text", (C("doc_id") % 5 + 1).cast("double"), POS, NEG)
+    return s.select("doc_id", "label", F.round("score", 6).alias("score"), F.round("confidence", 6).alias("confidence"))
 
 
 def _labelled(t):

@@ -30,11 +30,16 @@ def path_date(path: Column, run_date: str) -> Column:
     return F.when(found == "", F.lit(run_date)).otherwise(found)
 
 
+def source_path() -> Column:
+    """Path of the file a row was read from, as written on disk (Spark reports it URL-encoded)."""
+    return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+
+
 def read_place_export(spark: SparkSession, path: str) -> DataFrame:
     """Rows of place export files (JSON arrays); unreadable files give one row with `_corrupt`."""
     schema = T.StructType(schemas.PLACE_EXPORT.fields + [T.StructField("_corrupt", T.StringType())])
     raw = spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return raw.withColumn("file_path", F.col("_metadata.file_path"))
+    return raw.withColumn("file_path", source_path())
 
 
 def _reject_reason() -> Column:
@@ -164,7 +169,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 def read_reviews(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Review files (array or single object); mode and batch come from the last two path parts."""
     df = spark.read.schema(schema).option("multiLine", True).json(path)
-    file = F.col("_metadata.file_path")
+    file = source_path()
     return df.select("*", F.regexp_extract(file, r"([^/]+)/[^/]+\.json$", 1).alias("mode"), F.regexp_extract(file, r"([^/]+)\.json$", 1).alias("batch_id"))
 
 
