@@ -91,8 +91,9 @@ def map_records(records: DataFrame, by_record: DataFrame, by_place: DataFrame, b
 def preferred_source(records: DataFrame, key: str, source: Column, preferred: object, fallback: object, seq: str, values: list[str]) -> DataFrame:
     """First record of the preferred source per key, else the last one of the fallback source."""
     pick = F.struct(*values)
-    best = F.min_by(pick, F.when(source == preferred, F.col(seq)))
-    other = F.max_by(pick, F.when(source == fallback, F.col(seq)))
+    # the values break ties, so the pick does not depend on row order
+    best = F.min_by(pick, F.when(source == preferred, F.struct(seq, *values)))
+    other = F.max_by(pick, F.when(source == fallback, F.struct(seq, *values)))
     return records.groupBy(key).agg(
         F.coalesce(best, other).alias("v"), F.bool_or(source == preferred).alias("from_preferred")
     ).select(key, *[F.col(f"v.{c}").alias(c) for c in values], F.coalesce("from_preferred", F.lit(False)).alias("from_preferred"))

@@ -193,7 +193,7 @@ def select_final(observations: DataFrame, key: list[str], entry_type: str, winne
     """One price per key. Entry prices take the largest or smallest amount, all others the first observation."""
     sign = -1.0 if winner == "max" else 1.0
     rank = F.when(F.col("price_type") == entry_type, F.col("amount") * sign)
-    return keep_first(observations, key, [rank.asc_nulls_last(), F.col(row_id).asc()])
+    return keep_first(observations, key, [rank.asc_nulls_last(), F.col(row_id).asc(), F.col("amount").asc()])
 
 
 def research_status(population: DataFrame, observations: DataFrame, types: list[str]) -> DataFrame:

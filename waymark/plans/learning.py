@@ -166,7 +166,7 @@ def _pick(t):
     return smp.stratified_pick(c, "c_custkey", "c_nationkey", "c_mktsegment", q, pools, ["BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD", "FURNITURE"], 300)
 
 
-@query("smp02_stratified_counts", _quota + " SELECT g AS c_nationkey, quota AS n FROM q")
+@query("smp02_stratified_counts", _quota + " SELECT g AS c_nationkey, least(n, quota) AS n FROM q")
 def _(t):
     return _pick(t).groupBy("c_nationkey").agg(F.count_distinct("c_custkey").alias("n"))
 

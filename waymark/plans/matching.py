@@ -96,8 +96,8 @@ def _(t):
 
 @query("jn07_preferred_source", """
 SELECT l_partkey, CASE WHEN p.k IS NOT NULL THEN p.k ELSE f.k END AS obs, CASE WHEN p.k IS NOT NULL THEN p.s ELSE f.s END AS l_suppkey, p.k IS NOT NULL AS from_preferred FROM (SELECT DISTINCT l_partkey FROM lineitem) a
-LEFT JOIN (SELECT l_partkey, min(l_orderkey * 10 + l_linenumber) AS k, arg_min(l_suppkey, l_orderkey * 10 + l_linenumber) AS s FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) p USING (l_partkey)
-LEFT JOIN (SELECT l_partkey, max(l_orderkey * 10 + l_linenumber) AS k, arg_max(l_suppkey, l_orderkey * 10 + l_linenumber) AS s FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1) f USING (l_partkey)""")
+LEFT JOIN (SELECT l_partkey, min(l_orderkey * 10 + l_linenumber) AS k, arg_min(l_suppkey, (l_orderkey * 10 + l_linenumber, l_suppkey)) AS s FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) p USING (l_partkey)
+LEFT JOIN (SELECT l_partkey, max(l_orderkey * 10 + l_linenumber) AS k, arg_max(l_suppkey, (l_orderkey * 10 + l_linenumber, l_suppkey)) AS s FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1) f USING (l_partkey)""")
 def _(t):
     rows = t.lineitem.select("l_partkey", "l_returnflag", "l_suppkey", (C("l_orderkey") * 10 + C("l_linenumber")).alias("obs"))
     return joins.preferred_source(rows, "l_partkey", C("l_returnflag"), "R", "A", "obs", ["obs", "l_suppkey"])
@@ -125,7 +125,7 @@ def _(t):
 
 @query("er02_similarity")
 def _(t):
-    """Similarity of each document opening text with the next document of its source."""
+    """Similarity of each part name with the next one."""
     p = t.part.select("p_partkey", "p_name")
     nxt = p.select((C("p_partkey") - 1).alias("p_partkey"), C("p_name").alias("other"))
     return p.join(nxt, "p_partkey").select(

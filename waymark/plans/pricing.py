@@ -117,7 +117,7 @@ def _(t):
 
 
 @query("prc08_final_prices", f"""
-SELECT place_id, price_type, audience, day_type, unit, obs_id, amount FROM (SELECT *, row_number() OVER (PARTITION BY place_id, price_type, audience, day_type, unit ORDER BY CASE WHEN price_type = 'entry' THEN -amount END NULLS LAST, obs_id) AS rn FROM {PRI}) WHERE rn = 1""")
+SELECT place_id, price_type, audience, day_type, unit, obs_id, amount FROM (SELECT *, row_number() OVER (PARTITION BY place_id, price_type, audience, day_type, unit ORDER BY CASE WHEN price_type = 'entry' THEN -amount END NULLS LAST, obs_id, amount) AS rn FROM {PRI}) WHERE rn = 1""")
 def _(t):
     key = ["place_id", "price_type", "audience", "day_type", "unit"]
     return prc.select_final(views.prices(t), key, "entry").select(*key, "obs_id", "amount")
