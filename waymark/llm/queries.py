@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from waymark.llm import contamination, licenses, simhash
+from waymark.llm import contamination, hmm, licenses, merkle, packing, pii, quality, simhash, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +21,53 @@ def query(fn):
     return fn
 
 
+def tokenizer(name: str) -> str:
+    """Where a public tokenizer file lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_merkle_fingerprints(spark, sf_dir):
+    return merkle.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_warc_normaliser(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op3_quality_classifier(spark, sf_dir):
+    return quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_token_files(spark, sf_dir):
+    manifest = token_files.write(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), end_id=0)
+    return token_files.read(spark, manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op5_hidden_markov_model(spark, sf_dir):
+    return hmm.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_packing(spark, sf_dir):
+    cut = packing.packed(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=2)
+    return cut.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op7_pii(spark, sf_dir):
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(pii.of_kind("base", k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 # DuckDB: a text with A-Z lower-cased and every run of blanks as one space, with a space at both ends
 _LINE = "' ' || trim(regexp_replace(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x09-\\x0D ]+', ' ', 'g'), ' ') || ' '"
 _SHINGLES = """
