@@ -8,6 +8,8 @@ with few documents says little. A document's posterior odds are its path's odds
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
@@ -48,7 +50,6 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS, id_col: str
     if len(known) < 2:
         return None
     model = LogisticRegression(regParam=1e-3, maxIter=100).fit(rows)
-    import math
     return [float(x) for x in model.coefficients], float(model.intercept), math.log(known[1.0] / known[0.0])
 
 
@@ -93,7 +94,7 @@ def _sigmoid(x: Column) -> Column:
 
 def with_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None, most: int = MOST_LABELS,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows with _q, a struct of host, path, p_document, p_host, p_path and p_quality.
+    """(_row, _q) of every row: all its columns, and a struct of host, path, p_document, p_host, p_path and p_quality.
 
     Host and path default to `source` and `lang`; nulls are sites of their own (empty name). The sites' table is broadcast
     while it is small (its rows are counted), else documents meet it on site and one of SALTS salts, so that a site with a
@@ -103,21 +104,21 @@ def with_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None,
     path = F.coalesce(path if path is not None else F.col("lang"), F.lit(""))
     model = fit(docs, labels, most, id_col, text_col)
     own, ratio = evidence(F.col(text_col), model)
-    rows = docs.withColumn("_e", F.struct(host.alias("host"), path.alias("path"), own.alias("own"), ratio.alias("ratio")))
+    salt = F.pmod(F.xxhash64(id_col, text_col), F.lit(SALTS)).cast("int").alias("_own_salt")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.struct(host.alias("host"), path.alias("path"), own.alias("own"), ratio.alias("ratio")).alias("_e"), salt)
     table = checkpointed(sites(rows.select("_e.host", "_e.path", _sigmoid(F.col("_e.own")).alias("vote"))))
     if table.count() <= BROADCAST_SITES:
         site = table.select(F.struct("host", "path").alias("_site"), F.struct("p_host", "p_path").alias("_p"))
         joined = rows.join(F.broadcast(site), F.struct("_e.host", "_e.path") == F.col("_site"))
     else:
         site = table.select(F.struct("host", "path").alias("_site"), F.struct("p_host", "p_path").alias("_p"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-        joined = rows.withColumn("_own_salt", F.pmod(F.xxhash64(id_col, text_col), F.lit(SALTS)).cast("int")).join(
-            site, (F.struct("_e.host", "_e.path") == F.col("_site")) & (F.col("_own_salt") == F.col("_salt"))).drop("_own_salt", "_salt")
+        joined = rows.join(site, (F.struct("_e.host", "_e.path") == F.col("_site")) & (F.col("_own_salt") == F.col("_salt")))
     odds = F.col("_e.ratio") + F.log(F.col("_p.p_path") / (1 - F.col("_p.p_path")))
-    return joined.withColumn("_q", F.struct("_e.host", "_e.path", _sigmoid(F.col("_e.own")).alias("p_document"), "_p.p_host", "_p.p_path",
-                                            _sigmoid(odds).alias("p_quality"))).drop("_e", "_site", "_p")
+    return joined.select("_row", F.struct("_e.host", "_e.path", _sigmoid(F.col("_e.own")).alias("p_document"), "_p.p_host", "_p.p_path",
+                                          _sigmoid(odds).alias("p_quality")).alias("_q"))
 
 
 def classified(docs: DataFrame, labels: DataFrame, least: float = 0.5, most: int = MOST_LABELS) -> DataFrame:
     """(doc_id, host, path, p_document, p_host, p_path, p_quality, rejected) of every row; rejected where p_quality is below `least`."""
     rows = with_quality(docs.select("doc_id", "text", "source", "lang"), labels, most=most)
-    return rows.select("doc_id", "_q.*", (F.col("_q.p_quality") < least).alias("rejected"))
+    return rows.select("_row.doc_id", "_q.*", (F.col("_q.p_quality") < least).alias("rejected"))

@@ -10,14 +10,16 @@ Equal fingerprints are one row before any join, so copies are never paired with
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from waymark.llm import text as T
 from waymark.llm.components import components
-from waymark.llm.store import checkpointed
+from waymark.llm.store import checkpointed, saved
 
 SEED = 42
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -61,43 +63,50 @@ def _segment(fp: Column, seg: tuple[int, int]) -> Column:
     return F.shiftrightunsigned(fp, seg[0]).bitwiseAND(F.lit((1 << seg[1]) - 1).cast("bigint"))
 
 
-def linked(distinct: DataFrame, tau: int = 2) -> DataFrame:
-    """Pairs (a, b), a < b, of a table of distinct fingerprints `fp` that differ in at most `tau` bits (1 to 15)."""
+def _ring(segs: list[tuple[int, int]], i: int, n: int) -> int:
+    """The bits of n segments from segment i on, as a signed mask."""
+    mask = 0
+    for k in range(n):
+        first, bits = segs[(i + k) % len(segs)]
+        mask |= ((1 << bits) - 1) << first
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def linked(distinct: DataFrame, tau: int = 2, least_size: float | None = None) -> DataFrame:
+    """Pairs (a, b), a < b, of a table of distinct fingerprints `fp` that differ in at most `tau` bits (1 to 15).
+
+    With `least_size` the table also has `size`, and pairs whose sizes have a smaller ratio than that may be left out: sizes
+    are part of the join key in steps of that ratio.
+    """
     if not 1 <= tau <= 15:
         raise ValueError("tau must be 1 to 15")
     segs = _segments(tau)
     m = len(segs)
     fp = F.col("fp")
+    step = F.lit(0) if least_size is None else F.floor(F.log(F.col("size") + 1.0) / math.log(1 / least_size)).cast("int")
+    sizes = F.array(step) if least_size is None else F.array(step, step + 1)
 
-    def key(i: int, second: Column) -> Column:
-        """Ring position, first segment and second segment of a chain."""
-        return F.xxhash64(F.lit(i), _segment(fp, segs[i]), second) if 2 * segs[0][1] + 6 > 62 else (
-            F.lit(i << 58).cast("bigint").bitwiseOR(F.shiftleft(_segment(fp, segs[i]), segs[(i + 1) % m][1])).bitwiseOR(second))
-
-    exact = F.array(*[key(i, _segment(fp, segs[(i + 1) % m])) for i in range(m)])
+    def key(i: int, second: Column, size: Column) -> Column:
+        """Ring position, first segment and second segment of a chain, and the size step."""
+        return F.xxhash64(F.lit(i), _segment(fp, segs[i]), second, size)
 
     def variants(i: int) -> Column:
         masks = F.array(*[F.lit(mask).cast("bigint") for mask in (0, *(1 << j for j in range(segs[(i + 1) % m][1])))])
-        return F.transform(masks, lambda mask: key(i, _segment(fp, segs[(i + 1) % m]).bitwiseXOR(mask)))
+        return F.flatten(F.transform(sizes, lambda size: F.transform(masks, lambda mask: F.struct(
+            F.lit(i).cast("tinyint").alias("i"), key(i, _segment(fp, segs[(i + 1) % m]).bitwiseXOR(mask), size).alias("key")))))
 
-    near = F.flatten(F.array(*[variants(i) for i in range(m)]))
-    index = distinct.select(fp.alias("b"), F.explode(exact).alias("key"))
-    probe = distinct.select(fp.alias("a"), F.explode(near).alias("key"))
+    index = distinct.select(fp.alias("b"), F.explode(F.array(*[key(i, _segment(fp, segs[(i + 1) % m]), step) for i in range(m)])).alias("key"))
+    probe = distinct.select(fp.alias("a"), F.explode(F.flatten(F.array(*[variants(i) for i in range(m)]))).alias("p")).select("a", "p.i", "p.key")
     diff = F.col("a").bitwiseXOR(F.col("b"))
-
-    def chain(i: int) -> Column:
-        """The chain from segment i: every prefix stays within its share of the budget."""
-        ok, total = F.lit(True), F.lit(0)
-        for k in range(m):
-            total = total + F.bit_count(_segment(diff, segs[(i + k) % m]))
-            ok = ok & (total <= (k + 1) * tau // m)
-        return ok
-
-    viable = chain(0)
-    for i in range(1, m):
-        viable = viable | chain(i)
-    pairs = probe.join(index, "key").filter("a < b").filter(viable)
-    return pairs.filter(F.bit_count(diff) <= tau).select("a", "b").distinct()
+    # every prefix of the chain within its share of the budget; the whole ring is the Hamming check
+    viable = F.lit(False)
+    for i in range(m):
+        ok = F.lit(True)
+        for n in range(1, m + 1):
+            ok = ok & (F.bit_count(diff.bitwiseAND(F.lit(_ring(segs, i, n)).cast("bigint"))) <= n * tau // m)
+        viable = F.when(F.col("i") == i, ok).otherwise(viable)
+    pairs = probe.join(index, "key").filter(F.col("a") != F.col("b")).filter(viable)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, tau: int = 2, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -114,3 +123,66 @@ def near_duplicates(docs: DataFrame, tau: int = 2, width: int = 3, id_col: str =
     labels = named.join(least, "root").select("fp", "component_id")
     return prints.join(labels, "fp", "left").select(
         id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+#: Rows of a key table up to which it is broadcast (16 bytes each); beyond, the join shuffles.
+BROADCAST_KEYS = 1_000_000
+
+
+def _small(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
+def _jaccard(pairs: DataFrame, width: int, least: float) -> DataFrame:
+    """The pairs (a, b, text_a, text_b) whose sets of `width`-word shingles have at least this Jaccard similarity."""
+
+    def run(batch):
+        keep, last, left = [], None, set()
+        for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            if ta != last:
+                last, left = ta, set(T.shingles(ta, width))
+            right = set(T.shingles(tb, width))
+            both = len(left & right)
+            total = len(left) + len(right) - both
+            keep.append(total == 0 or both >= least * total - 1e-9)
+        yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return T.mapped(pairs.select("a", "b", "text_a", "text_b"), run, "a long, b long", "text_b")
+
+
+def one_of_each_group(docs: DataFrame, tau: int = 8, width: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stay when one document of each group of near duplicates is kept, the one with the smallest id.
+
+    Documents are linked when their texts have the same SimHash (of three-word shingles), or SimHashes that differ in at most
+    `tau` bits and a Jaccard similarity of their `width`-word shingles of at least `least`; the second is checked on whole
+    texts, one per SimHash. At 0.8 pairs differ in about 6.5 bits on average. Rows without an id count as larger than any id;
+    repeated rows, and all null, empty and blank texts, are one group each. All columns are kept.
+    """
+    key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(1 << 62).cast("bigint") + F.pmod(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.lit(1 << 61).cast("bigint")))
+    rows = docs.select(key.alias("_key"), F.col(text_col).alias("_text"), F.struct(*docs.columns).alias("_row"))
+
+    def run(batch):
+        texts = batch.column(1).to_pylist()
+        x, first = T.WordBlock(texts).shingle_block(width)
+        sizes = [len(np.unique(x[a:b])) for a, b in zip(first[:-1], first[1:])]
+        fp = np.array([simhash(t, 3) for t in texts], np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), pa.array(sizes, pa.int64())], names=["key", "fp", "size"])
+
+    prints = saved(T.mapped(rows.select("_key", "_text"), run, "key long, fp long, size long", "_text"))
+    heads = checkpointed(prints.groupBy("fp").agg(F.min(F.struct("key", "size")).alias("head")).select("fp", "head.key", "head.size"))
+    pairs = checkpointed(linked(heads, tau, least))
+    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct().join(heads, "fp").select("fp", F.col("key").alias("_key"))
+    texts = saved(rows.select("_key", F.col("_text").alias("t")).join(_small(checkpointed(wanted)), "_key").select("fp", "t").dropDuplicates(["fp"]))
+    sides = pairs.join(texts.select(F.col("fp").alias("b"), F.col("t").alias("text_b")), "b").join(texts.select(F.col("fp").alias("a"), F.col("t").alias("text_a")), "a")
+    groups = components(_jaccard(sides, width, least))
+    label = heads.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    stays = label.groupBy("root").agg(F.min("key").alias("first"))
+    kept = label.join(stays, "root").select("fp", "first")
+    gone = checkpointed(prints.join(kept, "fp").filter(F.col("key") != F.col("first")).select(F.col("key").alias("_key")).distinct())
+    left = rows.join(_small(gone), "_key", "left_anti")
+    # rows that repeat an id: only those are few enough to be numbered
+    twice = checkpointed(prints.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("_key")))
+    if twice.isEmpty():
+        return left.select("_row.*")
+    again = left.join(_small(twice), "_key", "left_semi").withColumn("_n", F.row_number().over(W.partitionBy("_key").orderBy(F.col("_text").asc_nulls_first())))
+    return left.join(_small(twice), "_key", "left_anti").unionByName(again.filter("_n = 1").drop("_n")).select("_row.*")
