@@ -254,22 +254,3 @@ RESEARCH_TEMPLATES = [
     ("fb_query", 'site:facebook.com "{name}" harga'),
     ("price_quote", '"{name}" "Rp"'),
 ]
-
-# Example personas for recommendation quality.
-PERSONAS = [
-    ("beach", "Kabupaten Pesawaran", ["has_parking", "has_toilet", "has_food"]),
-    ("mountain", "Kabupaten Lampung Barat", ["has_parking", "has_camping"]),
-    ("family", "Kota Bandar Lampung", ["has_parking", "has_toilet", "has_food", "has_prayer_room"]),
-    ("culture", "Kabupaten Lampung Timur", ["has_parking", "has_guide"]),
-    ("waterfall", "Kabupaten Tanggamus", ["has_parking"]),
-    ("agrotourism", "Kabupaten Pringsewu", ["has_parking", "has_food"]),
-    ("island", "Kabupaten Pesisir Barat", ["has_parking", "has_toilet"]),
-    ("history", "Kota Bandar Lampung", ["has_toilet", "has_guide"]),
-    ("camping", "Kabupaten Lampung Tengah", ["has_camping", "has_parking"]),
-    ("religious", "Kabupaten Lampung Selatan", ["has_prayer_room", "has_toilet"]),
-    ("lake", "Kabupaten Lampung Utara", ["has_parking", "has_food"]),
-    ("park", "Kota Metro", ["has_parking", "has_toilet"]),
-    ("waterpark", "Kota Bandar Lampung", ["has_parking", "has_toilet", "has_food"]),
-    ("education", "Kabupaten Tulang Bawang", ["has_toilet", "has_guide"]),
-    ("nature", "Kabupaten Way Kanan", ["has_parking", "has_food"]),
-]

@@ -7,6 +7,7 @@ no broadcast and no Python at run time.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import add, or_
 
@@ -43,23 +44,18 @@ def flag_names(flags: list[tuple[Column, object]]) -> Column:
 
 
 def contains_any(c: Column, words: list[str]) -> Column:
-    return yes(reduce(or_, [c.contains(w) for w in words]))
+    return yes(reduce(or_, [c.contains(w) for w in words])) if words else F.lit(False)
 
 
 def word_in(c: Column, word: str) -> Column:
     """Whole-word occurrence."""
-    return yes(c.rlike(rf"(?U)\b{word}\b"))
+    return yes(c.rlike(rf"(?U)\b{re.escape(word)}\b"))
 
 
 def any_word_in(c: Column, words: list[str]) -> Column:
-    return yes(c.rlike(rf"(?U)\b({'|'.join(words)})\b"))
+    return yes(c.rlike(rf"(?U)\b({'|'.join(map(re.escape, words))})\b")) if words else F.lit(False)
 
 
 def tiers(c: Column, steps: list[tuple[float, str]], otherwise: str) -> Column:
     """Label of the first threshold reached, thresholds given high to low."""
     return first_match([(c >= F.lit(t), label) for t, label in steps], otherwise)
-
-
-def in_order(c: Column, labels: list[str], tag_array: Column, default: str) -> Column:
-    """First of `labels` that is in the array, else the default."""
-    return first_match([(F.array_contains(tag_array, x), x) for x in labels], default)

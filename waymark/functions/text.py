@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -33,7 +34,7 @@ def matching_name(c: Column, phrases: list[str]) -> Column:
     plain = F.regexp_replace(F.lower(c), r"(?U)[^\w\s]", " ")
     longest_first = sorted(phrases, key=len, reverse=True)
     stripped = reduce(
-        lambda acc, phrase: F.regexp_replace(acc, rf"(?U)\b{phrase}\b", " "), longest_first, plain
+        lambda acc, phrase: F.regexp_replace(acc, rf"(?U)\b{re.escape(phrase)}\b", " "), longest_first, plain
     )
     return F.coalesce(collapse_whitespace(stripped), F.trim(F.lower(c)))
 

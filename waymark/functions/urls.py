@@ -134,6 +134,11 @@ def source_freshness(kind: Column, body: Column, current_year: str) -> Column:
     )
 
 
+def _from(c: Column, place: int) -> Column:
+    """The rest of a text from a place on."""
+    return F.substring(c, F.lit(place), F.length(c))
+
+
 def phone(c: Column, country: str = "62") -> Column:
     """Digits and plus only; a national 0 or bare country code becomes +country."""
     p = F.regexp_replace(c, r"[^0-9+]", "")
@@ -141,7 +146,7 @@ def phone(c: Column, country: str = "62") -> Column:
         F.length(c) > 0,
         first_match(
             [
-                (p.startswith("0"), F.concat(F.lit("+" + country), F.substring(p, 2, 1000))),
+                (p.startswith("0"), F.concat(F.lit("+" + country), _from(p, 2))),
                 (p.startswith(country), F.concat(F.lit("+"), p)),
             ],
             p,
@@ -156,8 +161,8 @@ def mobile_phone(c: Column, country: str = "62") -> Column:
     mobile = country + "8"
     d = first_match(
         [
-            (d.startswith("08"), F.concat(F.lit(mobile), F.substring(d, 3, 1000))),
-            (d.startswith("8") & ~t.startswith("+"), F.concat(F.lit(mobile), F.substring(d, 2, 1000))),
+            (d.startswith("08"), F.concat(F.lit(mobile), _from(d, 3))),
+            (d.startswith("8") & ~t.startswith("+"), F.concat(F.lit(mobile), _from(d, 2))),
         ],
         d,
     )

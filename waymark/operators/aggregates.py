@@ -28,11 +28,6 @@ def percent_of(n: Column, total: Column, digits: int = 2) -> Column:
     return F.when(total > 0, F.round(n / total * 100, digits)).otherwise(F.lit(0.0))
 
 
-def unpivot_counts(one_row: DataFrame, names: list[str], label: str, value: str) -> DataFrame:
-    """Columns of an aggregate as rows."""
-    return one_row.unpivot([], names, label, value)
-
-
 def reconciliation(df: DataFrame, parts: dict[str, Column]) -> DataFrame:
     """Counts with share of the total and whether the parts add up to it."""
     names = list(parts)

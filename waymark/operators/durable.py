@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share, below the checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame) -> DataFrame:
     """The same rows, written to the checkpoint folder and read back."""
     ensure_checkpoint_dir(df.sparkSession)

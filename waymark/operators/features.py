@@ -23,11 +23,6 @@ def flat_columns(vector: Column, vocab: list[str], prefix: str) -> list[Column]:
     return [F.get(vector, F.lit(i)).alias(prefix + v.lower().replace(" ", "_")) for i, v in enumerate(vocab)]
 
 
-def in_vocab(c: Column, vocab: list[str]) -> Column:
-    """The value if it is in the vocabulary, else NULL."""
-    return F.when(c.isin(vocab), c)
-
-
 def label_flags(labels: DataFrame, key: str, label: str, words: dict[str, list[str]] = config.FACILITY_LABEL_WORDS) -> DataFrame:
     """Facility flags of a place from its labels, aggregated label by label."""
     low = F.lower(label)

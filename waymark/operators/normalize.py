@@ -36,7 +36,7 @@ def classify(
     first = F.initcap(F.trim(F.get(categories, F.lit(0))))
     primary = F.lower(first)
     low = F.lower(name)
-    rest = F.slice(categories, 2, 10_000)
+    rest = F.slice(categories, F.lit(2), F.greatest(F.size(categories), F.lit(0)))
     none = F.array().cast("array<string>")
 
     def out(decision, reason, confidence, signals):

@@ -17,7 +17,6 @@ PACED_SLOTS = {
     "Padat": [("07:00 - 08:30 WIB", True), ("09:00 - 11:30 WIB", False), ("12:00 - 13:30 WIB", True), ("14:00 - 17:30 WIB", False), ("18:30 - 21:00 WIB", True)],
     "Santai": [("08:30 - 11:30 WIB", False), ("12:00 - 14:00 WIB", True), ("15:30 - 18:30 WIB", False)],
 }
-MAX_DAYS = 5
 LOW_BUDGETS = ["Ekonomis", "Backpacker"]
 MINUTES_PER_KM = 3.2
 CHOICES = 5
@@ -74,17 +73,22 @@ def region_pools(items: DataFrame, regions: list[str], need: int) -> DataFrame:
     return top_n(placed.withColumn("_stars", stars), ["pool_region", "is_food", "_cat", "_band", "_edge"], [F.col("_stars").desc(), F.col("item_id").asc()], need).drop("_stars", "_band", "_edge", "_cat")
 
 
-def plan(requests: DataFrame, items: DataFrame, regions: list[str], seed: int = 42) -> DataFrame:
+def plan(requests: DataFrame, items: DataFrame, regions: list[str] | None = None, seed: int = 42, max_days: int = 5) -> DataFrame:
     """Itinerary slots per request: request_id, day, slot, time, item_id, score.
 
     requests: request_id, region, wanted array, tier, pace, days.
     items: item_id, region, address, category, price, rating.
 
+    `max_days` is the longest itinerary; longer requests end there. `regions` are the region names served; by default all
+    that are asked for (one name per distinct region reaches the driver), a region without any place gets the whole catalog.
+
     Per request only as many places as it has slots (plus the size of the draw) are kept per pool.
     The short sequential pick - best five unused, drawn by score with a seeded hash - then runs on
     two short lists per request.
     """
-    slots = max(len(s) for s in PACED_SLOTS.values()) * MAX_DAYS
+    if regions is None:
+        regions = sorted(r[0] for r in requests.select(bare_region(F.col("region"))).distinct().collect() if r[0])
+    slots = max(len(s) for s in PACED_SLOTS.values()) * max_days
     need = slots + CHOICES
     pools = region_pools(items, regions, need)
     served = pools.select("pool_region").distinct()
@@ -113,11 +117,11 @@ def plan(requests: DataFrame, items: DataFrame, regions: list[str], seed: int =
     ids = lists.select(
         "request_id", "pace", "days", *[c for p in ("food", "sight") for c in (
             F.transform(p, lambda e: e["item_id"]).alias(f"{p}_ids"), F.transform(p, lambda e: -e["neg"]).alias(f"{p}_scores"))])
-    drawn = ids.mapInPandas(lambda batches: _draw(batches, seed), f"request_id {kind}, slots {slot_rows}")
+    drawn = ids.mapInPandas(lambda batches: _draw(batches, seed, max_days), f"request_id {kind}, slots {slot_rows}")
     return drawn.select("request_id", F.explode("slots").alias("s")).select("request_id", "s.*")
 
 
-def _draw(batches, seed: int):
+def _draw(batches, seed: int, max_days: int):
     """Fills the slots of each request from its two short lists."""
     import xxhash
 
@@ -127,7 +131,7 @@ def _draw(batches, seed: int):
             pools = {True: list(zip(r.food_ids, r.food_scores)), False: list(zip(r.sight_ids, r.sight_scores))}
             used, rows = set(), []
             template = PACED_SLOTS.get(r.pace, PACED_SLOTS["Santai"])
-            for day in range(1, min(int(r.days), MAX_DAYS) + 1):
+            for day in range(1, min(int(r.days), max_days) + 1):
                 for slot, (time, food) in enumerate(template):
                     pool = pools[food]
                     free = [e for e in pool if e[0] not in used][:CHOICES]

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, IDF, NGram, Normalizer, RegexTokenizer, SQLTransformer, StringIndexer
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, StringIndexer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
 from waymark import config
 from waymark.functions.rules import first_match, yes
 from waymark.functions.text import lexicon_text
+from waymark.operators.durable import durable
 from waymark.operators.ranking import hash_numbered
 
 
 def word_hits(clean: Column, words: list[str]) -> Column:
     """How many tokens of a cleaned text are in a word list (entries of several words never are)."""
-    single = [w for w in words if " " not in w]
-    return F.regexp_count(clean, F.lit(rf"(?<![^ ])(?:{'|'.join(single)})(?![^ ])"))
+    single = [re.escape(w) for w in words if w and " " not in w]
+    return F.regexp_count(clean, F.lit(rf"(?<![^ ])(?:{'|'.join(single)})(?![^ ])")) if single else F.lit(0)
 
 
 def _counted(df: DataFrame, text: str, positive: list[str], negative: list[str]) -> DataFrame:
@@ -58,8 +62,12 @@ def confusion(df: DataFrame, truth: str, predicted: str) -> DataFrame:
 
 def quality(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     """Accuracy and macro F1 over the labels seen in truth or prediction; computed from the confusion counts."""
-    c = confusion(df, truth, predicted)
-    long = c.select(F.explode(F.array(
+    return quality_of(confusion(df, truth, predicted))
+
+
+def quality_of(counts: DataFrame) -> DataFrame:
+    """Accuracy and macro F1 from confusion counts (truth, predicted, n)."""
+    long = counts.select(F.explode(F.array(
         F.struct(F.col("truth").alias("label"), F.col("n").alias("t"), F.lit(0).cast("bigint").alias("p"), F.when(F.col("truth") == F.col("predicted"), F.col("n")).otherwise(0).alias("h")),
         F.struct(F.col("predicted").alias("label"), F.lit(0).cast("bigint").alias("t"), F.col("n").alias("p"), F.lit(0).cast("bigint").alias("h")))).alias("x")).select("x.*")
     per = long.groupBy("label").agg(F.sum("t").alias("t"), F.sum("p").alias("p"), F.sum("h").alias("h"))
@@ -75,30 +83,29 @@ def place_summary(df: DataFrame, key: str = "place_id") -> DataFrame:
         *[F.count_if(label == x).alias(f"{x}_review_count") for x in ("positive", "neutral", "negative")], F.count("*").alias("total_review_count"))
 
 
-def classifier(terms: int = 2500, l2: float = 0.0, rounds: int = 100) -> Pipeline:
+def train(df: DataFrame, text: str, label: str, terms: int = 2500, c: float = 1.0, rounds: int = 100) -> PipelineModel:
     """TF-IDF of one- and two-word terms with multinomial logistic regression, all on executors.
 
-    Input columns: clean (text) and label (text). Only the vocabulary (at most `terms` entries)
-    and the model weights reach the driver.
+    The inverse document frequency is ln((1 + n) / (1 + df)) + 1, vectors have unit length, and the penalty 1 / (c * n) is
+    that of a loss summed over n rows. Rows without a label are left out. Only the vocabulary (at most `terms` entries) and
+    the model weights reach the driver.
     """
-    return Pipeline(stages=[
-        StringIndexer(inputCol="label", outputCol="y", handleInvalid="keep", stringOrderType="alphabetAsc"),
-        RegexTokenizer(inputCol="clean", outputCol="one", pattern=r"\W+", minTokenLength=2),
-        NGram(n=2, inputCol="one", outputCol="two"),
-        SQLTransformer(statement="SELECT *, concat(one, two) AS terms FROM __THIS__"),
-        CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=terms),
-        IDF(inputCol="tf", outputCol="tfidf"),
-        Normalizer(inputCol="tfidf", outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol="y", maxIter=rounds, tol=1e-4, regParam=l2, elasticNetParam=0.0, standardization=False, family="multinomial"),
-    ])
-
-
-def train(df: DataFrame, text: str, label: str, terms: int = 2500, c: float = 1.0) -> PipelineModel:
-    """Fit the classifier; the penalty 1 / (c * n) is that of a loss summed over n rows."""
-    data = df.select(lexicon_text(F.col(text)).alias("clean"), F.col(label).alias("label")).persist()
+    data = df.select(lexicon_text(F.col(text)).alias("clean"), F.col(label).alias("label")).filter(F.col("label").isNotNull()).persist()
     try:
-        n = data.count()
-        return classifier(terms, 1.0 / (c * max(n, 1))).fit(data)
+        front = Pipeline(stages=[
+            StringIndexer(inputCol="label", outputCol="y", handleInvalid="error", stringOrderType="alphabetAsc"),
+            RegexTokenizer(inputCol="clean", outputCol="one", pattern=r"\W+", minTokenLength=2),
+            NGram(n=2, inputCol="one", outputCol="two"),
+            SQLTransformer(statement="SELECT *, concat(one, two) AS terms FROM __THIS__"),
+            CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=terms)]).fit(data)
+        counted = front.transform(data).select("y", "tf").persist()
+        idf = IDF(inputCol="tf", outputCol="_").fit(counted).idf.toArray() + 1.0
+        back = [ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="tf", outputCol="tfidf"), Normalizer(inputCol="tfidf", outputCol="features")]
+        ready = PipelineModel(back).transform(counted)
+        model = LogisticRegression(featuresCol="features", labelCol="y", maxIter=rounds, tol=1e-4, regParam=1.0 / (c * max(counted.count(), 1)),
+                                   elasticNetParam=0.0, standardization=False, family="multinomial").fit(ready)
+        counted.unpersist()
+        return PipelineModel([*front.stages, *back, model])
     finally:
         data.unpersist()
 
@@ -123,20 +130,22 @@ def assign_folds(df: DataFrame, key: str, label: str, folds: int = 5, seed: int
 
 def cross_validate(df: DataFrame, key: str, text: str, label: str, folds: int = 5, seed: int = 42, terms: int = 2500, gap_limit: float = 0.08) -> DataFrame:
     """Train and validation quality averaged over stratified folds, with a computed verdict on the gap."""
-    data = assign_folds(df.select(key, text, label), key, label, folds, seed).persist()
+    data = durable(assign_folds(df.select(key, text, label), key, label, folds, seed))
+    counts = None
+    for f in range(folds):
+        model = train(data.filter(F.col("fold") != f), text, label, terms)
+        scored = apply_model(model, data, text).withColumn("part", F.when(F.col("fold") == f, "validation").otherwise("train"))
+        c = scored.groupBy("part", F.col(label).alias("truth"), F.col("predicted_label").alias("predicted")).agg(F.count("*").alias("n")).withColumn("fold", F.lit(f))
+        counts = c if counts is None else counts.unionByName(c)
+    counts = durable(counts)  # a few rows per fold
     parts = None
-    try:
-        for f in range(folds):
-            model = train(data.filter(F.col("fold") != f), text, label, terms)
-            scored = apply_model(model, data, text)
-            for part, rows in (("train", scored.filter(F.col("fold") != f)), ("validation", scored.filter(F.col("fold") == f))):
-                q = quality(rows, label, "predicted_label").withColumn("part", F.lit(part))
-                parts = q if parts is None else parts.unionByName(q)
-        mean = lambda p, c: F.avg(F.when(F.col("part") == p, F.col(c)))
-        out = parts.agg(
-            F.round(mean("train", "accuracy"), 4).alias("train_accuracy"), F.round(mean("validation", "accuracy"), 4).alias("validation_accuracy"),
-            F.round(mean("train", "macro_f1"), 4).alias("train_f1"), F.round(mean("validation", "macro_f1"), 4).alias("validation_f1"))
-        gap = F.round(F.abs(F.col("train_f1") - F.col("validation_f1")), 4)
-        return out.withColumns({"f1_gap": gap, "overfit": gap > gap_limit})
-    finally:
-        data.unpersist()
+    for f in range(folds):
+        for part in ("train", "validation"):
+            q = quality_of(counts.filter((F.col("fold") == f) & (F.col("part") == part))).withColumn("part", F.lit(part))
+            parts = q if parts is None else parts.unionByName(q)
+    mean = lambda p, c: F.avg(F.when(F.col("part") == p, F.col(c)))
+    out = parts.agg(
+        F.round(mean("train", "accuracy"), 4).alias("train_accuracy"), F.round(mean("validation", "accuracy"), 4).alias("validation_accuracy"),
+        F.round(mean("train", "macro_f1"), 4).alias("train_f1"), F.round(mean("validation", "macro_f1"), 4).alias("validation_f1"))
+    gap = F.round(F.abs(F.col("train_f1") - F.col("validation_f1")), 4)
+    return out.withColumns({"f1_gap": gap, "overfit": gap > gap_limit})

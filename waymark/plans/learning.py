@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from waymark.operators import planner as pln, sampling as smp, sentiment as sen
 from waymark.plans import views
 from waymark.plans.matching import dist_sql
 from waymark.plans.registry import query
-from waymark.sources import ingest, schemas
+from waymark.operators.durable import shared_folder
+from waymark.sources import ingest, schemas, sinks
 
 C = F.col
 CAT, GEO, REV = views.CATALOG_SQL, views.GEO_SQL, views.REVIEWS_SQL
@@ -45,7 +46,7 @@ def _labelled(t):
 @query("sen03_classifier")
 def _(t):
     d = _labelled(t)
-    model = sen.train(d, "text", "label", terms=500)
+    model = sen.train(d, "text", "label")
     return sen.quality(sen.apply_model(model, d, "text"), "label", "predicted_label")
 
 
@@ -80,7 +81,7 @@ def _(t):
 
 @query("sen07_cross_validation")
 def _(t):
-    return sen.cross_validate(_labelled(t), "doc_id", "text", "label", folds=3, terms=300)
+    return sen.cross_validate(_labelled(t), "doc_id", "text", "label")
 
 
 # ---- planning ------------------------------------------------------------
@@ -112,7 +113,7 @@ def _plan_requests(t):
 
 
 def _plan(t):
-    return pln.plan(_plan_requests(t), _plan_items(t), [f"brand#{i}" for i in range(1, 26)])
+    return pln.plan(_plan_requests(t), _plan_items(t))
 
 
 @query("pln02_itinerary")
@@ -208,10 +209,10 @@ def _(t):
 
 
 @query("src02_upsert", """
-SELECT user_id, event_id, value FROM (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_type = 'purchase' DESC, event_id DESC) AS rn FROM events WHERE event_type IN ('purchase', 'view')) WHERE rn = 1""")
+SELECT user_id, event_id, value FROM (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_type = 'purchase' DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
 def _(t):
     e = t.events.select("user_id", "event_id", "value", "event_type")
-    return ingest.upsert_last(e.filter("event_type = 'view'"), e.filter("event_type = 'purchase'"), "user_id", "event_id").select("user_id", "event_id", "value")
+    return ingest.upsert_last(e.filter("event_type <> 'purchase'"), e.filter("event_type = 'purchase'"), "user_id", "event_id").select("user_id", "event_id", "value")
 
 
 @query("src02_new_files", """
@@ -222,10 +223,26 @@ def _(t):
     return ingest.new_files(files.select("path", "checksum"), manifest).select("path", "checksum")
 
 
+@query("src02_import", """
+WITH f AS (SELECT doc_id, doc_id % 500 AS place, sha256(text) AS checksum, doc_id IN (SELECT doc_id FROM labels) AS known FROM documents),
+n AS (SELECT min(doc_id) AS doc_id FROM f WHERE checksum NOT IN (SELECT checksum FROM f WHERE known) GROUP BY checksum),
+b AS (SELECT place, doc_id, 0 AS fresh FROM f WHERE known UNION ALL SELECT doc_id % 500, doc_id, 1 FROM n)
+SELECT place, arg_max(doc_id, (fresh, doc_id)) AS doc_id, (SELECT count(*) FROM f WHERE known) + (SELECT count(*) FROM n) AS manifest_rows FROM b GROUP BY place""")
+def _(t):
+    files = t.documents.select("doc_id", (C("doc_id") % 500).alias("place"), F.concat(F.lit("/d/"), F.lpad(C("doc_id").cast("string"), 9, "0")).alias("path"), F.sha2("text", 256).alias("checksum"))
+    known = files.join(t.labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    table, manifest = ingest.import_incremental(
+        files.select("path", "checksum"), lambda fresh: files.join(fresh.select("path"), "path", "left_semi").select("place", "doc_id"),
+        known.select("path", "checksum"), known.select("place", "doc_id"), "place", "doc_id")
+    return table.withColumn("manifest_rows", manifest.agg(F.count("*")).scalar())
+
+
 @query("src03_path_parts", """
-SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'unknown_region' ELSE 'pesisir_barat_' || page_id % 4 END AS region, CASE WHEN page_id % 3 = 0 THEN '2026-01-01' ELSE '2026-07-1' || page_id % 9 END AS date FROM pages""")
+WITH p AS (SELECT page_id, regexp_extract(url, '//([^/]+)/', 1) AS host FROM pages)
+SELECT page_id, CASE WHEN page_id % 3 = 0 OR host = '' THEN 'unknown_region' ELSE lower(replace(replace(host, '-', '_'), ' ', '_')) END AS region, CASE WHEN page_id % 3 = 0 THEN '2026-01-01' ELSE '2026-07-1' || page_id % 9 END AS date FROM p""")
 def _(t):
-    path = F.when(C("page_id") % 3 == 0, F.lit("/data/raw/x.json")).otherwise(F.concat(F.lit("/data/Pesisir-Barat "), C("page_id") % 4, F.lit("/2026-07-1"), C("page_id") % 9, F.lit("/p.json")))
+    host = F.regexp_extract("url", "//([^/]+)/", 1)
+    path = F.when(C("page_id") % 3 == 0, F.concat(host, F.lit("/raw/x.json"))).otherwise(F.concat(F.lit("/data/"), host, F.lit("/2026-07-1"), C("page_id") % 9, F.lit("/p.json")))
     return t.pages.select("page_id", ingest.path_region(path).alias("region"), ingest.path_date(path, "2026-01-01").alias("date"))
 
 
@@ -259,11 +276,28 @@ def _(t):
 
 @query("src07_typed_rows", "SELECT event_id, user_id, value FROM events")
 def _(t):
-    from pyspark.sql import types as T
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())])
     return ingest.read_table(t.spark, f"{t.root}/events.parquet", schema)
 
 
+@query("src08_three_formats", """
+WITH s AS (SELECT count(*) AS n, sum(s_suppkey) AS keys, count(DISTINCT s_name) AS names FROM supplier)
+SELECT f AS format, n, keys::BIGINT AS keys, names, '["' || 'x' || '"]' AS tag FROM s, (VALUES ('csv'), ('jsonl'), ('parquet')) v(f)""")
+def _(t):
+    rows = t.supplier.select("s_suppkey", "s_name", F.array(F.lit("x")).alias("tags"))
+    folder = shared_folder(t.spark)
+    out = None
+    for path in sinks.save_dataset(rows, folder, "suppliers"):
+        kind = path.rsplit(".", 1)[1]
+        tags = "array<string>" if kind == "jsonl" else "string"
+        schema = T.StructType.fromDDL(f"s_suppkey long, s_name string, tags {tags}")
+        back = ingest.read_table(t.spark, path, schema)
+        tag = F.to_json("tags") if kind == "jsonl" else C("tags")
+        part = back.agg(F.count("*").alias("n"), F.sum("s_suppkey").alias("keys"), F.count_distinct("s_name").alias("names"), F.max(tag).alias("tag")).withColumn("format", F.lit(kind))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("src09_reconcile", """
 WITH r AS (SELECT o_orderkey AS k, count(*) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1), s AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem WHERE l_quantity > 1 GROUP BY 1), m AS (SELECT l_orderkey AS k, max(l_linenumber) AS n FROM lineitem GROUP BY 1)
 SELECT coalesce(r.k, s.k, m.k) AS file_id, coalesce(r.n, 0) AS raw_rows, coalesce(s.n, 0) AS staged_rows, CAST(coalesce(m.n, 0) AS bigint) AS expected, coalesce(r.n, 0) = coalesce(s.n, 0) AND coalesce(r.n, 0) = coalesce(m.n, 0) AS agrees FROM r FULL JOIN s ON r.k = s.k FULL JOIN m ON m.k = coalesce(r.k, s.k)""")
@@ -274,10 +308,10 @@ def _(t):
 
 
 @query("src10_union_first_wins", """
-SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, event_id) AS rn FROM events WHERE event_type IN ('purchase', 'click', 'view')) WHERE rn = 1""")
+SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, event_id) AS rn FROM events) WHERE rn = 1""")
 def _(t):
     e = t.events.select("user_id", "event_id", "event_type")
-    return ingest.union_first_wins([e.filter(C("event_type") == x) for x in ("purchase", "click", "view")], "user_id", "event_id").select("user_id", "event_id")
+    return ingest.union_first_wins([e.filter("event_type = 'purchase'"), e.filter("event_type = 'click'"), e.filter("event_type NOT IN ('purchase', 'click')")], "user_id", "event_id").select("user_id", "event_id")
 
 
 @query("src11_batch_states", """
@@ -287,6 +321,11 @@ def _(t):
     return ingest.batch_states(m, "conv_id")
 
 
+@query("src11_batch_members", "SELECT p_brand AS batch, p_type AS mode, unnest([p_partkey, CAST(p_size AS bigint)]) AS canonical_id FROM part")
+def _(t):
+    return ingest.batch_members(t.part.select(C("p_brand").alias("batch"), C("p_type").alias("mode"), F.array("p_partkey", C("p_size").cast("bigint")).alias("members")), "batch", "members")
+
+
 @query("src11_resume_set", """
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_orderkey % 4 + 1 ELSE o_orderkey % 4 END AS attempts, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 4 + 1 >= 3 THEN 'failed_terminal' WHEN o_orderstatus = 'F' THEN 'failed' WHEN o_orderstatus = 'O' THEN 'pending' ELSE 'completed' END AS status,
   NOT (o_orderstatus = 'F' AND o_orderkey % 4 + 1 >= 3) AND o_orderstatus <> 'P' AS run_again FROM orders""")

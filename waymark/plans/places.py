@@ -70,7 +70,7 @@ def _(t):
 
 
 @query("rev05_coverage", """
-WITH o AS (SELECT o_custkey, o_totalprice > 150000 AS usable, CASE o_orderstatus WHEN 'F' THEN 'positive' WHEN 'O' THEN 'negative' ELSE 'neutral' END AS b FROM orders WHERE o_orderpriority <> '5-LOW'),
+WITH o AS (SELECT o_custkey, o_totalprice > 150000 AS usable, CASE o_orderstatus WHEN 'F' THEN 'positive' WHEN 'O' THEN 'negative' ELSE 'neutral' END AS b FROM orders),
 g AS (SELECT o_custkey, count(*) AS n, least(count(*) FILTER (b = 'positive' AND usable), 2) AS p, least(count(*) FILTER (b = 'negative' AND usable), 2) AS ng, least(count(*) FILTER (b = 'neutral' AND usable), 1) AS u FROM o GROUP BY 1),
 s AS (SELECT c_custkey, c_mktsegment, c_acctbal, c_nationkey, coalesce(n, 0) AS n, coalesce(p, 0) AS p, coalesce(ng, 0) AS ng, coalesce(u, 0) AS u FROM customer LEFT JOIN g ON o_custkey = c_custkey)
 SELECT c_custkey AS canonical_id, n AS total_collected, CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'ineligible' WHEN c_acctbal < 0 THEN 'not_scheduled' WHEN n = 0 AND c_nationkey < 5 THEN 'no_google_reviews' WHEN n = 0 THEN 'failed_scrape'
@@ -79,7 +79,7 @@ def _(t):
     pop = t.customer.select(C("c_custkey").alias("canonical_id"), (C("c_mktsegment") != "HOUSEHOLD").alias("eligible"), (C("c_acctbal") >= 0).alias("batch_completed"),
                             F.when(C("c_nationkey") >= 5, 5).alias("listed_reviews"), F.lit(2).alias("target_positive"), F.lit(2).alias("target_negative"), F.lit(1).alias("target_neutral"))
     b = F.when(C("o_orderstatus") == "F", "positive").when(C("o_orderstatus") == "O", "negative").otherwise("neutral")
-    got = t.orders.filter("o_orderpriority <> '5-LOW'").select(
+    got = t.orders.select(
         C("o_custkey").alias("canonical_id"), C("o_orderkey").alias("review_id"), b.alias("sentiment_bucket"), F.when(C("o_totalprice") > 150000, "x").otherwise(" ").alias("review_text"),
         C("o_orderdate").alias("review_ts"), F.lit(0).alias("batch_id"))
     targets = got.select("batch_id").distinct().select("batch_id", F.explode(F.array(*[F.struct(F.lit(n).alias("bucket"), F.lit(k).alias("target"))
@@ -152,9 +152,9 @@ def _(t):
 
 @query("met03_operational_status", """
 SELECT c_custkey AS place_id, CASE WHEN n IS NULL THEN 'unknown' WHEN p THEN 'permanently_closed' WHEN q THEN 'temporarily_closed' ELSE 'open' END AS operational_status, coalesce(n, 0) AS source_count
-FROM customer LEFT JOIN (SELECT o_custkey, bool_or(o_orderstatus = 'P' AND o_totalprice > 300000) AS p, bool_or(o_orderpriority = '1-URGENT' AND o_totalprice > 250000) AS q, count(*) AS n FROM orders WHERE o_orderpriority <> '3-MEDIUM' AND o_totalprice > 200000 GROUP BY 1) ON o_custkey = c_custkey""")
+FROM customer LEFT JOIN (SELECT o_custkey, bool_or(o_orderstatus = 'P' AND o_totalprice > 300000) AS p, bool_or(o_orderpriority = '1-URGENT' AND o_totalprice > 250000) AS q, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey""")
 def _(t):
-    r = t.orders.filter("o_orderpriority <> '3-MEDIUM' AND o_totalprice > 200000").select(C("o_custkey").alias("place_id"), F.when((C("o_orderstatus") == "P") & (C("o_totalprice") > 300000), "True").otherwise("no").alias("perm_closed"),
+    r = t.orders.select(C("o_custkey").alias("place_id"), F.when((C("o_orderstatus") == "P") & (C("o_totalprice") > 300000), "True").otherwise("no").alias("perm_closed"),
                                                        F.when((C("o_orderpriority") == "1-URGENT") & (C("o_totalprice") > 250000), "1").alias("temp_closed"))
     return met.operational_status(r, t.customer.select(C("c_custkey").alias("place_id")))
 
@@ -329,13 +329,13 @@ def _(t):
 
 
 @query("con05_external_prices", """
-WITH p AS (SELECT o_custkey AS place_id, count(*) AS n, min(o_totalprice) AS lo, max(o_totalprice) AS hi, bool_or(o_orderstatus = 'F') AS cur, bool_or(o_orderpriority = '5-LOW') AS unb FROM orders WHERE o_totalprice > 350000 AND o_orderstatus <> 'P' GROUP BY 1)
+WITH p AS (SELECT o_custkey AS place_id, count(*) AS n, min(o_totalprice) AS lo, max(o_totalprice) AS hi, bool_or(o_orderstatus = 'F') AS cur, bool_or(o_orderpriority = '5-LOW') AS unb FROM orders GROUP BY 1)
 SELECT c_custkey AS place_id, coalesce(n, 0) AS external_selected_price_count, lo AS external_price_min, hi AS external_price_max, coalesce(cur, false) AS has_verified_current_price, coalesce(unb, false) AS has_official_live_unbounded_price,
   CASE WHEN c_acctbal < 0 THEN 'not_verified' ELSE 'completed_no_price' END AS external_verification_status, CASE WHEN n > 0 THEN 'verified_present' WHEN c_acctbal < 0 THEN 'not_verified' ELSE 'completed_no_price' END AS external_price_data_status FROM customer LEFT JOIN p ON place_id = c_custkey""")
 def _(t):
     pop = t.customer.select(C("c_custkey").alias("place_id"))
     cov = t.customer.filter("c_acctbal >= 0").select(C("c_custkey").alias("place_id")).withColumn("verification_status", F.lit("completed_no_price"))
-    prices = t.orders.filter("o_totalprice > 350000 AND o_orderstatus <> 'P'").select(C("o_custkey").alias("place_id"), C("o_totalprice").alias("amount"),
+    prices = t.orders.select(C("o_custkey").alias("place_id"), C("o_totalprice").alias("amount"),
         F.when(C("o_orderstatus") == "F", "Current").otherwise("old").alias("temporal_status"), (C("o_orderpriority") == "5-LOW").alias("is_unbounded"))
     return master.external_price_summary(pop, cov, prices)
 
@@ -359,7 +359,7 @@ def _star(t):
     o = t.orders.select(C("o_custkey").alias("place_id"), "o_orderstatus", "o_totalprice")
     rv = o.filter("o_orderstatus = 'P'").groupBy("place_id").agg(F.count("*").alias("review_count")).withColumns({"has_reviews": F.lit(True), "review_coverage_status": F.lit("scraped")})
     fac = o.filter("o_orderstatus = 'F'").groupBy("place_id").agg(F.count("*").alias("facility_count"), (F.count("*") > 4).alias("has_opening_hours"))
-    price = o.filter("o_orderstatus = 'O' AND o_totalprice > 350000").groupBy("place_id").agg(F.lit(True).alias("has_local_price_evidence"), F.lit("historical_only").alias("local_price_data_status"), F.count("*").alias("external_selected_price_count"))
+    price = o.filter("o_orderstatus = 'O'").groupBy("place_id").agg(F.lit(True).alias("has_local_price_evidence"), F.lit("historical_only").alias("local_price_data_status"), F.count("*").alias("external_selected_price_count"))
     scope = o.filter("o_totalprice > 400000").groupBy("place_id").agg(F.lit("in_scope").alias("price_validation_scope"), F.lit("completed_unresolved").alias("external_verification_status"))
     return master.consolidate(pop, [rv, fac, price, scope])
 
@@ -367,7 +367,7 @@ def _star(t):
 _star_sql = f"""
 WITH b AS (SELECT g.place_id, CASE WHEN g.place_id % 12 <> 0 THEN lat END AS lat, g.place_id % 2 = 0 AS addr, g.place_id % 3 = 0 AS ph, g.place_id % 5 = 0 AS site, g.place_id % 7 = 0 AS gm, g.place_id % 4 = 1 AS descr, g.place_id % 6 <> 0 AS mapped,
   g.place_id % 8 <> 0 AS op, g.place_id % 3 = 1 AS elig, (g.place_id % 10) / 10.0 AS conf, g.place_id % 5 = 2 AS conflict, coalesce(rv, 0) AS rv, coalesce(fc, 0) AS fc, coalesce(pr, 0) AS pr, coalesce(mx > 400000, false) AS scope
-  FROM {GEO} g LEFT JOIN (SELECT o_custkey AS k, count(*) FILTER (o_orderstatus = 'P') AS rv, count(*) FILTER (o_orderstatus = 'F') AS fc, count(*) FILTER (o_orderstatus = 'O' AND o_totalprice > 350000) AS pr, max(o_totalprice) AS mx FROM orders GROUP BY 1) o ON o.k = g.place_id),
+  FROM {GEO} g LEFT JOIN (SELECT o_custkey AS k, count(*) FILTER (o_orderstatus = 'P') AS rv, count(*) FILTER (o_orderstatus = 'F') AS fc, count(*) FILTER (o_orderstatus = 'O') AS pr, max(o_totalprice) AS mx FROM orders GROUP BY 1) o ON o.k = g.place_id),
 w AS (SELECT *, list_sort(list_filter([CASE WHEN lat IS NULL THEN 'missing_coordinates' END, CASE WHEN NOT op THEN 'unknown_operational_status' END, CASE WHEN rv = 0 THEN 'no_review_data' END, CASE WHEN NOT mapped THEN 'metadata_unmapped' END, CASE WHEN fc <= 4 THEN 'opening_hours_missing' END,
   CASE WHEN fc = 0 THEN 'facility_data_unknown' END, CASE WHEN pr > 0 THEN 'local_price_historical_only' END, CASE WHEN NOT scope THEN 'external_price_not_verified' END, CASE WHEN scope THEN 'external_price_unresolved' END, CASE WHEN conflict THEN 'source_conflict' END, CASE WHEN conf < 0.6 THEN 'low_identity_confidence' END], lambda x: x IS NOT NULL)) AS ws FROM b),
 s AS (SELECT *, CAST(CASE WHEN lat IS NOT NULL THEN 20 ELSE 0 END + CASE WHEN NOT elig OR rv > 0 THEN 15 ELSE 0 END + CASE WHEN addr THEN 5 ELSE 0 END + CASE WHEN ph THEN 5 ELSE 0 END + CASE WHEN site THEN 5 WHEN gm THEN 2 ELSE 0 END + CASE WHEN descr THEN 5 ELSE 0 END

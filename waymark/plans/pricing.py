@@ -123,14 +123,14 @@ def _(t):
     return prc.select_final(views.prices(t), key, "entry").select(*key, "obs_id", "amount")
 
 
-_obs9 = "(SELECT o_custkey AS place_id, CASE o_orderstatus WHEN 'F' THEN 'entry' WHEN 'O' THEN 'parking' ELSE 'activity' END AS price_type FROM orders WHERE o_totalprice > 250000)"
+_obs9 = "(SELECT o_custkey AS place_id, CASE o_orderstatus WHEN 'F' THEN 'entry' WHEN 'O' THEN 'parking' ELSE 'activity' END AS price_type FROM orders)"
 
 
 @query("prc09_research_status", f"""
 SELECT c_custkey AS place_id, coalesce(n, 0) AS observations_found, coalesce(e, false) AS has_entry_price, coalesce(p, false) AS has_parking_price, CASE WHEN n > 0 THEN 'completed_with_price' ELSE 'completed_no_current_price' END AS research_status,
   CASE WHEN n > 0 THEN 0.9::DOUBLE ELSE 0.0::DOUBLE END AS research_confidence, n IS NULL AS unresolved FROM customer LEFT JOIN (SELECT place_id, count(*) AS n, bool_or(price_type = 'entry') AS e, bool_or(price_type = 'parking') AS p FROM {_obs9} GROUP BY 1) ON place_id = c_custkey""")
 def _(t):
-    obs = t.orders.filter("o_totalprice > 250000").select(C("o_custkey").alias("place_id"), F.when(C("o_orderstatus") == "F", "entry").when(C("o_orderstatus") == "O", "parking").otherwise("activity").alias("price_type"))
+    obs = t.orders.select(C("o_custkey").alias("place_id"), F.when(C("o_orderstatus") == "F", "entry").when(C("o_orderstatus") == "O", "parking").otherwise("activity").alias("price_type"))
     return prc.research_status(t.customer.select(C("c_custkey").alias("place_id")), obs, ["entry", "parking"])
 
 
@@ -159,12 +159,12 @@ def _(t):
 
 
 @query("prc13_verification_queue", f"""
-WITH p AS (SELECT o_custkey AS place_id, CASE WHEN o_orderpriority = '1-URGENT' THEN 'rejected' WHEN o_totalprice > 400000 THEN 'provisional_recent' WHEN o_orderstatus = 'F' THEN 'historical_reference' ELSE 'unresolved' END AS s FROM orders WHERE o_totalprice > 300000),
+WITH p AS (SELECT o_custkey AS place_id, CASE WHEN o_orderpriority = '1-URGENT' THEN 'rejected' WHEN o_totalprice > 400000 THEN 'provisional_recent' WHEN o_orderstatus = 'F' THEN 'historical_reference' ELSE 'unresolved' END AS s FROM orders),
 a AS (SELECT place_id, count(*) AS n, count(*) FILTER (s <> 'rejected') AS u, bool_or(s = 'provisional_recent') AS r, bool_or(s = 'historical_reference') AS h FROM p GROUP BY 1)
 SELECT c_custkey AS place_id, coalesce(n, 0) AS observation_count, coalesce(u, 0) AS usable_price_count, CASE WHEN n IS NULL THEN 'low' WHEN r THEN 'high' ELSE 'medium' END AS verification_priority, CASE WHEN n IS NULL THEN 1 WHEN r THEN 2 WHEN h THEN 3 ELSE 4 END AS reason_no FROM customer LEFT JOIN a ON place_id = c_custkey""")
 def _(t):
     s = F.when(C("o_orderpriority") == "1-URGENT", "rejected").when(C("o_totalprice") > 400000, "provisional_recent").when(C("o_orderstatus") == "F", "historical_reference").otherwise("unresolved")
-    p = t.orders.filter("o_totalprice > 300000").select(C("o_custkey").alias("place_id"), s.alias("price_data_status"))
+    p = t.orders.select(C("o_custkey").alias("place_id"), s.alias("price_data_status"))
     q = prc.verification_queue(t.customer.select(C("c_custkey").alias("place_id")), p)
     no = F.when(C("reason").startswith("No local"), 1).when(C("reason").startswith("Provisional"), 2).when(C("reason").startswith("Only"), 3).otherwise(4)
     return q.withColumn("reason_no", no).drop("reason")
@@ -232,8 +232,8 @@ def _(t):
 
 @query("prc17_verification_coverage", f"""
 WITH q AS (SELECT c_custkey AS place_id FROM customer), s AS (SELECT user_id AS place_id, count(*) AS a, count(*) FILTER (event_type = 'click') AS b, count(*) FILTER (event_type IN ('view', 'signup')) AS c, count(*) FILTER (event_type = 'error') AS d FROM events GROUP BY 1),
-o AS (SELECT place_id, count(*) AS e FROM {views.sql("orders", _ver)} WHERE temporal_status <> 'official_live_unbounded' GROUP BY 1), v AS (SELECT place_id, count(*) FILTER (price_data_status = 'verified_current') AS f, count(*) FILTER (price_data_status = 'official_live_unbounded') AS g, count(*) FILTER (price_data_status = 'externally_supported_recent') AS h FROM ({_ver_sql}) WHERE supporting_local_count > 0 GROUP BY 1),
-k AS (SELECT place_id, count(*) AS i FROM {PRI} WHERE price_type = 'entry' GROUP BY 1),
+o AS (SELECT place_id, count(*) AS e FROM {views.sql("orders", _ver)} GROUP BY 1), v AS (SELECT place_id, count(*) FILTER (price_data_status = 'verified_current') AS f, count(*) FILTER (price_data_status = 'official_live_unbounded') AS g, count(*) FILTER (price_data_status = 'externally_supported_recent') AS h FROM ({_ver_sql}) GROUP BY 1),
+k AS (SELECT place_id, count(*) AS i FROM {PRI} GROUP BY 1),
 r AS (SELECT q.place_id, coalesce(a, 0) AS sources_checked, coalesce(b, 0) AS accepted_sources, coalesce(c, 0) AS official_sources, coalesce(d, 0) AS government_sources, coalesce(e, 0) AS external_observations, coalesce(f, 0) AS verified_current_prices, coalesce(g, 0) AS official_live_unbounded_prices, coalesce(h, 0) AS provisional_external_prices, coalesce(i, 0) AS conflicts
   FROM q LEFT JOIN s USING (place_id) LEFT JOIN o USING (place_id) LEFT JOIN v USING (place_id) LEFT JOIN k USING (place_id)),
 z AS (SELECT *, CASE WHEN external_observations = 0 THEN 'completed_no_price' WHEN verified_current_prices > 0 THEN 'completed_verified' WHEN official_live_unbounded_prices > 0 THEN 'completed_official_unbounded' ELSE 'completed_provisional' END AS verification_status FROM r)
@@ -244,7 +244,7 @@ def _(t):
     kind = F.when(C("event_type") == "view", "official_website").when(C("event_type") == "signup", "official_social_media").when(C("event_type") == "error", "government").otherwise("blog")
     src = t.events.select(C("user_id").alias("place_id"), kind.alias("source_type"), F.when(C("event_type") == "click", "accepted").otherwise("no").alias("research_status"))
     prev = t.part.select(C("p_partkey").alias("place_id"), F.lit(1).cast("bigint").alias("sources_checked"), F.lit("completed_verified").alias("verification_status"))
-    return prc.verification_coverage(q, src, views.columns(t.orders, _ver).filter("temporal_status <> 'official_live_unbounded'"), _verified(t).filter("supporting_local_count > 0"), views.prices(t).filter("price_type = 'entry'"), prev)
+    return prc.verification_coverage(q, src, views.columns(t.orders, _ver), _verified(t), views.prices(t), prev)
 
 
 @query("prc18_input_audit", f"""

@@ -146,15 +146,15 @@ def _(t):
     return parts.select("request_id", "item_id", "rank", "score", F.array_join(codes, ",").alias("reasons"))
 
 
-@query("rec04_hybrid_near", ranked_sql(NEAR, keep="WHERE eligible"))
+@query("rec04_hybrid_near", ranked_sql(NEAR))
 def _(t):
     return _out(rec.recommend_hybrid_near(requests(t), items(t)))
 
 
-@query("rec05_ineligible_last", f"""{BASE_SQL}, f AS (SELECT * FROM j WHERE status <> 'open'), s AS (SELECT request_id, item_id, eligible, round(CASE WHEN eligible THEN {WEIGHTED} ELSE -1.0::DOUBLE END, 8) AS score FROM f),
+@query("rec05_ineligible_last", f"""{BASE_SQL}, s AS (SELECT request_id, item_id, eligible, round(CASE WHEN eligible THEN {WEIGHTED} ELSE -1.0::DOUBLE END, 8) AS score FROM j),
 r AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, item_id) AS rank FROM s) SELECT request_id, count(*) FILTER (score = -1) AS n_ineligible, min(rank) FILTER (score = -1) AS first_ineligible FROM r WHERE rank <= 90 GROUP BY 1""")
 def _(t):
-    ranked = rec.recommend_weighted(requests(t), items(t).filter("status <> 'open'"), 90)
+    ranked = rec.recommend_weighted(requests(t), items(t), 90)
     return ranked.groupBy("request_id").agg(F.count_if(C("score") == -1).alias("n_ineligible"), F.min(F.when(C("score") == -1, C("rank"))).alias("first_ineligible"))
 
 
@@ -201,3 +201,11 @@ def _(t):
         row = rec.evaluate(fn(r, i), r, i).withColumn("algorithm", F.lit(name))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@query("eva02_diversity", f"""WITH r AS ({ranked_sql(WEIGHTED)}), i AS (SELECT item_id, CASE WHEN category IN {_in(CATS)} THEN category END AS cat, CASE WHEN region IN {_in(REGS)} THEN region END AS reg FROM {CAT}),
+u AS (SELECT request_id, count(DISTINCT cat) AS c, count(DISTINCT reg) AS g FROM r JOIN i USING (item_id) GROUP BY 1)
+SELECT count(*) AS n_requests, round(avg(c / 10.0), 4)::DOUBLE AS category_diversity, round(avg(g / 10.0), 4)::DOUBLE AS region_diversity FROM u""")
+def _(t):
+    i = items(t)
+    return rec.diversity(rec.recommend_weighted(requests(t), i), i)

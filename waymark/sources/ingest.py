@@ -200,6 +200,15 @@ def update_manifest(manifest: DataFrame, entries: DataFrame) -> DataFrame:
     return manifest.join(entries.select("path"), "path", "left_anti").unionByName(entries)
 
 
+def import_incremental(files: DataFrame, rows_of, manifest: DataFrame, existing: DataFrame, key: str, order: str) -> tuple[DataFrame, DataFrame]:
+    """One import run: skip files whose content is known, stage the rows of the others, upsert them, and renew the manifest.
+
+    files and manifest: path, checksum; rows_of(new files) gives their rows. Returns the table and the manifest to be kept.
+    """
+    fresh = new_files(files, manifest)
+    return upsert_last(existing, rows_of(fresh), key, order), update_manifest(manifest, fresh.select(*manifest.columns))
+
+
 def union_first_wins(sources: list[DataFrame], key: str, seq: str) -> DataFrame:
     """All sources in order; per key the first row of the first source that has it."""
     out = None

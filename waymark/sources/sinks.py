@@ -30,8 +30,3 @@ def save_dataset(df: DataFrame, folder: str, prefix: str, partition_by: list[str
         return paths
     finally:
         cached.unpersist()
-
-
-def write_routes(df: DataFrame, decision: str, folder: str) -> None:
-    """One folder per decision, in one pass."""
-    df.write.mode("overwrite").partitionBy(decision).parquet(folder)
