@@ -1,7 +1,7 @@
 """String similarity for candidate pairs.
 
 Spark has no longest-common-subsequence function, so the exact score of a pair
-is an Arrow UDF. It only ever sees pairs that survived `shared_segment_keys`.
+is an Arrow UDF. It only ever sees pairs that share a key of `gram_keys` and pass the edit distance bound.
 """
 
 from __future__ import annotations
@@ -46,52 +46,25 @@ def block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def _spread(n: Column, cut: float) -> Column:
-    """Most edits (insertions plus deletions) two texts may differ by, given the shorter length."""
-    longest = F.floor(n * F.lit((2 - cut) / cut) + F.lit(1e-9))
-    return F.floor((n + longest) * F.lit(1 - cut) + F.lit(1e-9)).cast("int")
+def most_edits(n: Column, m: Column, cut: float) -> Column:
+    """Most insertions plus deletions between texts of these lengths with a similarity of at least `cut`."""
+    return F.floor((n + m) * F.lit(1 - cut) + F.lit(1e-9))
 
 
-def _piece(m: Column, k: Column, i: Column) -> tuple[Column, Column]:
-    start = F.floor(i * m / k).cast("int")
-    stop = F.floor((i + 1) * m / k).cast("int")
-    return start, stop - start
+def gram_keys(text: Column, cut: float) -> Column:
+    """Prefix-filter keys of a text: any two texts with an indel similarity of at least `cut` have a key in common.
 
-
-def short_side_keys(text: Column, cut: float) -> Column:
-    """Keys of a text in the role of the shorter one of a pair.
-
-    If two texts differ by at most d insertions and deletions, then of d+1
-    pieces of the shorter one at least one is untouched and appears in the
-    longer one, shifted by at most d places.
+    A deletion touches at most q of a text's q-grams and an insertion q - 1, so a text of length n keeps all but
+    (q - 1/2) * edits + (n - m) / 2 of them in a similar text of length m. One more than the most it can lose, in an order that all
+    texts share, must meet the other text's. A text too short for that gives all its grams and a key for all such texts. The keys
+    are at most one more than the characters.
     """
-    m = F.length(text)
-    k = _spread(m, cut) + 1
-
-    def key(i):
-        start, size = _piece(m, k, i)
-        return F.concat_ws("~", m, i, F.substring(text, start + 1, size))
-
-    return F.transform(F.sequence(F.lit(0), k - 1), key)
-
-
-def long_side_keys(text: Column, cut: float) -> Column:
-    """Keys of a text in the role of the longer one (equal lengths included)."""
+    q = 3 if cut >= 0.85 else 2
     n = F.length(text)
-    least = F.ceil(n * F.lit(cut / (2 - cut)) - F.lit(1e-9)).cast("int")
-
-    def for_length(m):
-        d = _spread(m, cut)
-
-        def for_piece(i):
-            start, size = _piece(m, d + 1, i)
-            first = F.greatest(F.lit(0), start - d)
-            last = F.least(n - size, start + d)
-            places = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-            return F.transform(
-                places, lambda s: F.concat_ws("~", m, i, F.substring(text, s + 1, size))
-            )
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), d), for_piece))
-
-    return F.array_distinct(F.flatten(F.transform(F.sequence(least, n), for_length)))
+    least = cut / (2 - cut)
+    longer = (q - 0.5) * (1 - cut) > 0.5
+    m = F.floor(n / F.lit(least) + F.lit(1e-9)) if longer else F.ceil(n * F.lit(least) - F.lit(1e-9))
+    lost = F.floor(F.lit((q - 0.5) * (1 - cut)) * (n + m) + (n - m) / 2 + F.lit(1e-9)).cast("int")
+    places = F.when(n >= q, F.sequence(F.lit(1), n - (q - 1))).otherwise(F.array().cast("array<int>"))
+    grams = F.array_sort(F.array_distinct(F.transform(places, lambda i: F.xxhash64(F.substring(text, i, F.lit(q))))))
+    return F.when(lost < F.size(grams), F.slice(grams, F.lit(1), lost + 1)).otherwise(F.array_append(grams, F.lit(0).cast("bigint")))

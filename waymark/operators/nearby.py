@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from waymark.functions import geo
-from waymark.functions.similarity import block_ratio, indel_ratio, long_side_keys, short_side_keys
+from waymark.functions.similarity import block_ratio, gram_keys, indel_ratio, most_edits
 
 
 def points_in_boxes(points: DataFrame, boxes: DataFrame, key: str, cell_deg: float = 0.25) -> DataFrame:
@@ -24,47 +24,43 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, key: str, cell_deg: flo
     return points.join(best, key, "left")
 
 
-def _candidates(short: DataFrame, long: DataFrame, radius_m: float, cut: float) -> DataFrame:
-    """Pairs (short, long) that share a piece of text in cells that can be within the radius."""
-    s = short.select(
-        F.col("id").alias("sid"), F.col("text").alias("stext"), F.col("lat").alias("slat"), F.col("lon").alias("slon"),
-        F.explode(geo.cells_within(F.col("lat"), F.col("lon"), radius_m)).alias("c"),
-    ).select("sid", "stext", "slat", "slon", "c.cell_y", "c.cell_x", F.explode(short_side_keys(F.col("stext"), cut)).alias("piece"))
-    y, x = geo.own_cell(F.col("lat"), F.col("lon"), radius_m)
-    b = long.select(
-        F.col("id").alias("bid"), F.col("text").alias("btext"), F.col("lat").alias("blat"), F.col("lon").alias("blon"),
-        y, x, F.explode(long_side_keys(F.col("text"), cut)).alias("piece"))
-    return s.join(b, ["cell_y", "cell_x", "piece"])
+SPOT = ("text", "label", "lat", "lon")
+
+
+def _spots(df: DataFrame, side: str) -> DataFrame:
+    """Distinct (text, label, point) rows; equal ones are one spot, whose ids come back at the end."""
+    return df.select(*[F.col(c).alias(f"{side}{c}") for c in SPOT]).distinct()
 
 
-def similar_within(left: DataFrame, right: DataFrame, radius_m: float, cut: float, measure: str = "indel") -> DataFrame:
+def similar_within(left: DataFrame, right: DataFrame, radius_m: float, cut: float, measure: str = "indel", equal_texts: bool = True) -> DataFrame:
     """Pairs of left and right rows (id, text, lat, lon) at most `radius_m` apart with similarity >= cut.
 
-    Blocking is exact: a pair above the cut always shares a text piece at about
-    the same place, so only such pairs are built. The score itself is computed
-    once per surviving pair. Output: left_id, right_id, distance_m, similarity (0-1).
+    Rows of equal text and point are one spot. Spots meet on grid cell and text key (`gram_keys`), which is exact: a pair above
+    the cut always shares a key, and keys grow with the length of a text. Distance, length and edit distance bounds follow
+    before the score is computed once per surviving pair. With `equal_texts` off, pairs of equal texts (of equal `label`, where the
+    rows have one) are left out in the join itself. Output: left_id, right_id, distance_m, similarity (0-1).
 
-    The Ratcliff-Obershelp ratio never exceeds the indel ratio, so the same
-    blocking holds for it.
+    The Ratcliff-Obershelp ratio never exceeds the indel ratio, so the same blocking holds for it.
     """
-    left = left.filter(F.col("text").isNotNull() & (F.col("text") != "") & F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    right = right.filter(F.col("text").isNotNull() & (F.col("text") != "") & F.col("lat").isNotNull() & F.col("lon").isNotNull())
-
-    def shaped(c: DataFrame, left_role: str) -> DataFrame:
-        l, r = ("s", "b") if left_role == "short" else ("b", "s")
-        d = geo.haversine_m(F.col("slat"), F.col("slon"), F.col("blat"), F.col("blon"))
-        return c.withColumn("distance_m", d).filter(F.col("distance_m") <= radius_m).select(
-            F.col(f"{l}id").alias("left_id"), F.col(f"{r}id").alias("right_id"),
-            F.col(f"{l}text").alias("left_text"), F.col(f"{r}text").alias("right_text"), "distance_m")
-
-    pairs = shaped(_candidates(left, right, radius_m, cut), "short").unionByName(
-        shaped(_candidates(right, left, radius_m, cut), "long")
-    ).dropDuplicates(["left_id", "right_id"])
-    if measure == "indel":
-        score = indel_ratio(F.col("left_text"), F.col("right_text")) / 100.0
-    else:
-        score = block_ratio(F.col("left_text"), F.col("right_text"))
-    return pairs.withColumn("similarity", score).filter(F.col("similarity") >= F.lit(cut) - F.lit(1e-12)).select(
+    usable = F.col("text").isNotNull() & (F.col("text") != "") & F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    labelled = lambda df: df.filter(usable).withColumn("label", F.col("label" if "label" in df.columns else "text"))
+    left, right = labelled(left), labelled(right)
+    l = _spots(left, "l").select("*", F.explode(geo.cells_within(F.col("llat"), F.col("llon"), radius_m)).alias("c")).select(
+        "ltext", "llabel", "llat", "llon", "c.cell_y", "c.cell_x", F.explode(gram_keys(F.col("ltext"), cut)).alias("key"))
+    y, x = geo.own_cell(F.col("rlat"), F.col("rlon"), radius_m)
+    r = _spots(right, "r").select("rtext", "rlabel", "rlat", "rlon", y, x, F.explode(gram_keys(F.col("rtext"), cut)).alias("key"))
+    n, m = F.length("ltext"), F.length("rtext")
+    edits = most_edits(n, m, cut)
+    met = l.join(r, ["cell_y", "cell_x", "key"]).filter(F.abs(n - m) <= edits)
+    if not equal_texts:
+        met = met.filter("llabel <> rlabel")
+    met = met.withColumn("distance_m", geo.haversine_m(F.col("llat"), F.col("llon"), F.col("rlat"), F.col("rlon"))).filter(F.col("distance_m") <= radius_m)
+    spot = [f"{side}{c}" for side in "lr" for c in SPOT]
+    pairs = met.select(*spot, "distance_m").dropDuplicates(spot).filter(F.levenshtein("ltext", "rtext") <= edits)
+    score = indel_ratio(F.col("ltext"), F.col("rtext")) / 100.0 if measure == "indel" else block_ratio(F.col("ltext"), F.col("rtext"))
+    good = pairs.withColumn("similarity", score).filter(F.col("similarity") >= F.lit(cut) - F.lit(1e-12))
+    named = lambda df, side: df.select(F.col("id").alias(f"{side}_id"), *[F.col(c).alias(f"{side[0]}{c}") for c in SPOT])
+    return good.join(named(left, "left"), spot[:4]).join(named(right, "right"), spot[4:]).select(
         "left_id", "right_id", "distance_m", "similarity")
 
 

@@ -118,11 +118,11 @@ def _similar_spots(nodes: DataFrame) -> DataFrame:
     """Pairs of spots (name, address, point) whose different names or addresses are similar enough to match."""
     spots = nodes.filter(F.col("spot").isNotNull()).groupBy("spot").agg(
         F.first("name").alias("name"), F.first("address").alias("address"), F.first("lat").alias("lat"), F.first("lon").alias("lon"))
-    names = spots.select(F.col("spot").alias("id"), sorted_tokens(F.col("name")).alias("text"), "lat", "lon")
+    names = spots.select(F.col("spot").alias("id"), sorted_tokens(F.col("name")).alias("text"), F.col("name").alias("label"), "lat", "lon")
     addresses = spots.filter(is_filled(F.col("address"))).select(
         F.col("spot").alias("id"), sorted_tokens(F.lower("address")).alias("text"), "lat", "lon")
-    by_name = similar_within(names, names, FUZZY_RADIUS, 0.95)
-    by_address = similar_within(addresses, addresses, NAME_RADIUS, 0.85)
+    by_name = similar_within(names, names, FUZZY_RADIUS, 0.95, equal_texts=False)
+    by_address = similar_within(addresses, addresses, NAME_RADIUS, 0.85, equal_texts=False)
     # equal names and equal addresses are zone groups already
     both = by_name.unionByName(by_address).filter("left_id <> right_id").select(
         F.col("left_id").alias("spot"), F.col("right_id").alias("other")).distinct()
@@ -293,7 +293,7 @@ def parent_child(places: DataFrame, blocked_words: list[str] = config.NO_PARENT_
     pairs = contained_names(nodes, radius_m).select(F.col("part_id").alias("a"), F.col("whole_id").alias("b"))
     if fuzzy:
         tokens = nodes.withColumn("text", sorted_tokens(F.col("text")))
-        close = similar_within(tokens, tokens, radius_m, 0.80).filter("similarity < 0.90 AND left_id <> right_id")
+        close = similar_within(tokens, tokens, radius_m, 0.80, equal_texts=False).filter("similarity < 0.90 AND left_id <> right_id")
         pairs = pairs.unionByName(close.select(F.col("left_id").alias("a"), F.col("right_id").alias("b")))
     ends = places.select("place_id", "ord", "name", F.col("normalized_name").alias("nn"),
                          F.lower(F.trim(F.coalesce("region", F.lit("")))).alias("reg"))
