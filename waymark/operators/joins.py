@@ -8,7 +8,7 @@ from waymark.functions.rules import first_match
 from waymark.operators.durable import durable
 from waymark.operators.nearby import nearest_named
 from waymark.operators.ranking import keep_first
-from waymark.operators.skew import hot_keys, join_one_per_key
+from waymark.operators.skew import join_one_per_key
 
 
 def attach(population: DataFrame, key: str, summaries: list[DataFrame], counts: list[str] = ()) -> DataFrame:
@@ -36,8 +36,7 @@ def last_entry(mapping: DataFrame, key: str, seq: str) -> DataFrame:
 
 
 def map_records(records: DataFrame, by_record: DataFrame, by_place: DataFrame, by_url: DataFrame, population: DataFrame,
-                strict: bool = False, region_ok: Column | None = None, radius_m: float = 100.0, cut: float = 0.85,
-                hot_rows: int = 2_000_000) -> DataFrame:
+                strict: bool = False, region_ok: Column | None = None, radius_m: float = 100.0, cut: float = 0.85) -> DataFrame:
     """Map source records to places by record id, place id, URL key, then position and name.
 
     The first key type with a hit decides, even when the hit is outside the
@@ -54,7 +53,7 @@ def map_records(records: DataFrame, by_record: DataFrame, by_place: DataFrame, b
         if key == "record_id":  # unique: no hot keys
             found = probe.join(side, "_k", "left")
         else:
-            found = join_one_per_key(probe, side, "_k", hot=hot_keys(records, key, hot_rows))
+            found = join_one_per_key(probe, side, "_k")
         hit = F.col("_hit").isNotNull() & F.col("method").isNull()
         return found.withColumns({
             "canonical_id": F.coalesce("canonical_id", F.col("_hit")),
@@ -81,7 +80,7 @@ def map_records(records: DataFrame, by_record: DataFrame, by_place: DataFrame, b
             "method": F.when(hit, F.lit("coordinates_name_fallback")).otherwise(F.col("method")),
         }).drop("_cid", "_conf")
     members = population.select(F.col("place_id").alias("canonical_id"), F.lit(True).alias("_in"))
-    out = join_one_per_key(out, members, "canonical_id", hot_rows=hot_rows)
+    out = join_one_per_key(out, members, "canonical_id")
     mapped = F.coalesce(F.col("_in"), F.lit(False))
     return out.select(
         "record_id", F.when(mapped, F.col("canonical_id")).alias("canonical_id"), F.when(mapped, F.col("method")).alias("method"),

@@ -61,7 +61,7 @@ def survivors(records: DataFrame, population: DataFrame, blank_website: bool = T
         F.when(mapped, F.lit("mapped")).otherwise(F.lit("unmapped")).alias("mapping_status"))
 
 
-def conflicts(records: DataFrame, selected: DataFrame, hot_rows: int = 2_000_000) -> DataFrame:
+def conflicts(records: DataFrame, selected: DataFrame) -> DataFrame:
     """Rows where an older record disagrees with a selected value.
 
     One pass over the records: each joins the one selected row of its place and
@@ -73,7 +73,7 @@ def conflicts(records: DataFrame, selected: DataFrame, hot_rows: int = 2_000_000
     chosen = selected.select(
         "place_id", "newest_record", *[F.col(c).alias(f"sel_{c}") for c in
                                        ("website", "phone", "address", "operational_status", "lat", "lon", "categories", "opening_hours")])
-    both = join_one_per_key(records, chosen, "place_id", "inner", hot_rows).filter("record_id <> newest_record")
+    both = join_one_per_key(records, chosen, "place_id", "inner").filter("record_id <> newest_record")
     col, sel = F.col, lambda c: F.col(f"sel_{c}")
     site, phone, address = col("website"), col("phone"), col("address")
     state = status_of(is_true(col("perm_closed")), is_true(col("temp_closed")))
@@ -138,10 +138,10 @@ def contact_rows(selected: DataFrame, key: str) -> DataFrame:
     return selected.select(key, F.explode(rows).alias("r")).select(key, "r.*").filter(is_filled(F.col("value")))
 
 
-def record_relations(records: DataFrame, selected: DataFrame, hot_rows: int = 2_000_000) -> DataFrame:
+def record_relations(records: DataFrame, selected: DataFrame) -> DataFrame:
     """Every delivered address and phone with whether it is the selected one and whether it conflicts."""
     chosen = selected.select("place_id", "newest_record", F.col("address").alias("sel_address"))
-    both = join_one_per_key(records, chosen, "place_id", "inner", hot_rows)
+    both = join_one_per_key(records, chosen, "place_id", "inner")
     first = F.col("record_id") == F.col("newest_record")
     norm = urls.mobile_phone(F.col("phone"))
     rows = F.array(

@@ -144,7 +144,7 @@ def decision_changes(previous: DataFrame, current: DataFrame, key: str = "place_
 # ---- observations --------------------------------------------------------
 
 
-def extract_observations(places: DataFrame, reviews: DataFrame, rules: DataFrame, hot_rows: int = 2_000_000) -> DataFrame:
+def extract_observations(places: DataFrame, reviews: DataFrame, rules: DataFrame) -> DataFrame:
     """Price observations by phrase: in the description, else in the first review that holds the phrase.
 
     rules: place_id, rule_id, phrase, price_type, amount; places: place_id, description;
@@ -154,7 +154,7 @@ def extract_observations(places: DataFrame, reviews: DataFrame, rules: DataFrame
     packed = rules.groupBy("place_id").agg(F.array_sort(F.collect_list(F.struct("rule_id", F.lower("phrase").alias("phrase")))).alias("rules"))
     in_text = places.join(packed, "place_id").select("place_id", F.lower(F.coalesce("description", F.lit(""))).alias("t"), F.explode("rules").alias("r")).filter(
         F.col("t").contains(F.col("r.phrase"))).select(F.col("r.rule_id").alias("rule_id"), F.lit(0).alias("in_review"), F.lit(None).cast("bigint").alias("review_id"))
-    in_review = join_one_per_key(reviews, packed, "place_id", "inner", hot_rows).select(
+    in_review = join_one_per_key(reviews, packed, "place_id", "inner").select(
         F.col("review_id").cast("bigint"), F.lower(F.coalesce("text", F.lit(""))).alias("t"), F.explode("rules").alias("r")).filter(
         F.col("t").contains(F.col("r.phrase"))).groupBy(F.col("r.rule_id").alias("rule_id")).agg(F.min("review_id").alias("review_id")).select(
         "rule_id", F.lit(1).alias("in_review"), "review_id")
@@ -231,13 +231,13 @@ def verification_queue(population: DataFrame, prices: DataFrame) -> DataFrame:
 # ---- outside sources -----------------------------------------------------
 
 
-def check_sources(claims: DataFrame, pages: DataFrame, hot_rows: int = 2_000_000) -> DataFrame:
+def check_sources(claims: DataFrame, pages: DataFrame) -> DataFrame:
     """Whether a stored page really holds what is claimed from it: excerpt, every number of it, and the name.
 
     claims: claim_id, url, excerpt, name; pages: url (unique), body.
     """
     squeeze = lambda c: F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
-    df = join_one_per_key(claims, pages.select("url", "body"), "url", "left", hot_rows)
+    df = join_one_per_key(claims, pages.select("url", "body"), "url", "left")
     body, excerpt = squeeze(F.coalesce("body", F.lit(""))), squeeze(F.col("excerpt"))
     numbers = F.regexp_extract_all(F.replace(F.col("excerpt"), F.lit("."), F.lit("")), F.lit(r"(\b[0-9]+\b)"), F.lit(1))
     df = df.select("claim_id", "url", F.col("body").isNotNull().alias("retrieved"),
@@ -248,7 +248,7 @@ def check_sources(claims: DataFrame, pages: DataFrame, hot_rows: int = 2_000_000
         "audit_status", F.when(F.col("retrieved") & (F.col("failed_checks") == ""), F.lit("passed")).otherwise(F.lit("failed")))
 
 
-def compare_with_local(external: DataFrame, local: DataFrame, hot_rows: int = 2_000_000) -> DataFrame:
+def compare_with_local(external: DataFrame, local: DataFrame) -> DataFrame:
     """Each outside price against the local prices of the same place and type.
 
     Day and audience must agree unless either side carries the wildcard. A row with local prices of
@@ -267,8 +267,8 @@ def compare_with_local(external: DataFrame, local: DataFrame, hot_rows: int = 2_
     exact = local.groupBy(F.concat_ws("|", F.col("place_id").cast("string"), "price_type", F.col("amount").cast("string")).alias("_akey"), "day_type", "audience").agg(F.count("*").alias("n"))
     by_amount = exact.groupBy("_akey").agg(F.collect_list(F.struct("day_type", "audience", "n")).alias("_same"))
     df = external.withColumns({"_key": pair(), "_akey": F.concat_ws("|", F.col("place_id").cast("string"), "price_type", F.col("amount").cast("string"))})
-    df = join_one_per_key(df, by_type, "_key", "left", hot_rows)
-    df = join_one_per_key(df, by_amount, "_akey", "left", hot_rows)
+    df = join_one_per_key(df, by_type, "_key", "left")
+    df = join_one_per_key(df, by_amount, "_akey", "left")
 
     def compatible(g):
         day = (g["day_type"] == F.col("day_type")) | (g["day_type"] == DAY_WILDCARD) | (F.col("day_type") == DAY_WILDCARD)
@@ -297,7 +297,7 @@ def compare_with_local(external: DataFrame, local: DataFrame, hot_rows: int = 2_
         status.alias("comparison_status"))
 
 
-def verified_prices(external: DataFrame, local: DataFrame, hot_rows: int = 2_000_000) -> DataFrame:
+def verified_prices(external: DataFrame, local: DataFrame) -> DataFrame:
     """Outside prices with a verified identity, their state, confidence and local support.
 
     Support is a count plus the key (place, price type) under which the supporting local
@@ -306,7 +306,7 @@ def verified_prices(external: DataFrame, local: DataFrame, hot_rows: int = 2_000
     key = lambda: F.concat_ws("|", F.col("place_id").cast("string"), "price_type")
     support = local.groupBy(key().alias("support_key")).agg(F.count("*").alias("supporting_local_count"), F.min("obs_id").alias("first_local_observation"))
     ok = external.filter("identity_status = 'verified'").withColumn("support_key", key())
-    df = join_one_per_key(ok, support, "support_key", "left", hot_rows).fillna(0, ["supporting_local_count"])
+    df = join_one_per_key(ok, support, "support_key", "left").fillna(0, ["supporting_local_count"])
     state = F.when(F.col("temporal_status").isin("verified_current", "official_live_unbounded"), F.col("temporal_status")).otherwise(F.lit("externally_supported_recent"))
     return df.withColumns({"price_data_status": state, "confidence": F.when(state == "verified_current", F.lit(0.9)).otherwise(F.lit(0.8))})
 

@@ -1,48 +1,17 @@
-"""Joins that survive a key holding a large share of all rows."""
+"""Joins of many rows to one row per key."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from waymark.operators.durable import durable
 
-SCATTER = 4096
-
-
-def hot_keys(facts: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """Keys with at least `hot_rows` rows: never more than rows / hot_rows of them."""
-    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    return durable(counts.filter(F.col("_n") >= hot_rows).select(key))
-
-
-def scatter(df: DataFrame) -> Column:
-    """Repeatable pseudo-random number below SCATTER from the row's own values."""
-    usable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-    return F.pmod(F.xxhash64(*usable), F.lit(SCATTER))
-
-
-def join_one_per_key(facts: DataFrame, per_key: DataFrame, key: str, how: str = "left", hot_rows: int = 2_000_000,
-                     hot: DataFrame | None = None) -> DataFrame:
+def join_one_per_key(facts: DataFrame, per_key: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join many-row facts to a table with one row per key (inner or left).
 
-    The hot keys are counted first. There are at most rows / hot_rows of them,
-    so their side is safe to broadcast and their facts stay where they are. All
-    other facts take one shuffle join. Hot rows and rows without a key cannot
-    match there; they get a scattered second key so that they do not pile up on
-    one task. `hot` can pass in keys counted before (a superset does no harm).
+    One plain join: Spark broadcasts the side only while its size is below the session's limit, and otherwise splits the
+    partitions of hot keys, and of rows without a key, among tasks (adaptive skew join; the facts are the side that is split).
+    Nothing runs while the query is built.
     """
-    hot = F.broadcast(hot_keys(facts, key, hot_rows) if hot is None else hot.select(F.col(hot.columns[0]).alias(key)))
     values = [c for c in per_key.columns if c != key]
-    hot_side = per_key.join(hot, key, "left_semi").select(
-        F.col(key).alias("_hot_key"), F.struct(*values).alias("_hot"))
-    marked = facts.join(hot.select(F.col(key).alias("_is_hot")), F.col(key) == F.col("_is_hot"), "left")
-    marked = marked.join(F.broadcast(hot_side), F.col(key) == F.col("_hot_key"), "left")
-    idle = F.col(key).isNull() | F.col("_is_hot").isNotNull()
-    marked = marked.withColumn("_lane", F.when(idle, 1 + scatter(facts)).otherwise(F.lit(0)))
-    cold_side = per_key.select(
-        F.col(key).alias("_cold_key"), F.lit(0).cast("bigint").alias("_cold_lane"), F.struct(*values).alias("_cold"))
-    out = marked.join(cold_side, (F.col(key) == F.col("_cold_key")) & (F.col("_lane") == F.col("_cold_lane")), "left")
-    if how == "inner":
-        out = out.filter(F.col("_hot").isNotNull() | F.col("_cold").isNotNull())
-    picked = F.coalesce(F.col("_hot"), F.col("_cold"))
-    return out.select(*facts.columns, *[picked[v].alias(v) for v in values])
+    side = per_key.select(F.col(key).alias("_side_key"), F.struct(*values).alias("_side"))
+    return facts.join(side, F.col(key) == F.col("_side_key"), how).select(*facts.columns, *[F.col("_side")[v].alias(v) for v in values])
