@@ -22,9 +22,19 @@ SPLITS = {
     "word_bpe_49k.json": re.compile(f"{_ENDINGS}|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+"),
 }
 LOWERED = {"word_bpe_49k.json"}
+
+
+def _alphabet() -> dict[int, str]:
+    """Byte-level alphabet: printable Latin-1 bytes are themselves, the others the characters from U+0100 on in ascending order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_ALPHABET = _alphabet()
 _LATIN = re.compile("[\x00-ſ]*")
 #: Pieces kept at a time: bounds the memory of a worker, not the result.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 500_000
 
 
 class Encoder:
@@ -36,12 +46,17 @@ class Encoder:
 
         name = os.path.basename(path)
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.split, self.lower, self.kept = SPLITS.get(name), name in LOWERED, kept
         self.ids: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece by the library's merges; its bytes are spelled in the byte alphabet that the merges are written in."""
+        return array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_ALPHABET))]).tobytes()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
         cut = [None] * len(texts)
@@ -53,7 +68,7 @@ class Encoder:
         if len(self.ids) + len(new) > self.kept:
             self.ids = {}
             new = list(set().union(*(c for c in cut if c)))
-        self.ids.update(zip(new, self._library(new)))
+        self.ids.update((p, self._piece(p)) for p in new)
         whole = iter(self._library([t for t, c in zip(texts, cut) if c is None]))
         return [next(whole) if c is None else b"".join(map(self.ids.__getitem__, c)) for c in cut]
 
