@@ -22,6 +22,8 @@ from waymark.llm.components import components
 from waymark.llm.store import checkpointed, saved
 
 SEED = 42
+#: Orders in which a bucket names a first fingerprint, to which the others are compared before all pairs are searched.
+STAR_ORDERS = 8
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
@@ -72,18 +74,39 @@ def _ring(segs: list[tuple[int, int]], i: int, n: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
+def _size_step(least_size: float | None) -> Column:
+    return F.lit(0) if least_size is None else F.floor(F.log(F.col("size") + 1.0) / math.log(1 / least_size)).cast("int")
+
+
+def starred(distinct: DataFrame, tau: int, least_size: float | None = None) -> DataFrame:
+    """Some of the pairs that `linked` gives, a few per fingerprint: each with the first, in several orders, of those that share
+    two segments in a row with it.
+
+    A dense group of n fingerprints meets here in a multiple of n pairs, after which its own pairs need not be made.
+    """
+    segs = _segments(tau)
+    m = len(segs)
+    fp = F.col("fp")
+    keys = F.array(*[F.xxhash64(F.lit(i), _segment(fp, segs[i]), _segment(fp, segs[(i + 1) % m]), _size_step(least_size)) for i in range(m)])
+    keyed = distinct.select("fp", F.explode(keys).alias("key"))
+    firsts = F.array(*[F.min_by("fp", F.xxhash64("fp", F.lit(order))) for order in range(STAR_ORDERS)])
+    least = keyed.groupBy("key").agg(F.array_distinct(firsts).alias("firsts"), F.count("*").alias("n")).filter("n > 1").select("key", F.explode("firsts").alias("a"))
+    met = keyed.withColumnRenamed("fp", "b").join(least, "key").filter((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= tau))
+    return met.select("a", "b").distinct()
+
+
 def linked(distinct: DataFrame, tau: int = 2, least_size: float | None = None) -> DataFrame:
     """Pairs (a, b), a < b, of a table of distinct fingerprints `fp` that differ in at most `tau` bits (1 to 15).
 
     With `least_size` the table also has `size`, and pairs whose sizes have a smaller ratio than that may be left out: sizes
-    are part of the join key in steps of that ratio.
+    are part of the join key in steps of that ratio. If the table has `group`, pairs of one group are left out in the join.
     """
     if not 1 <= tau <= 15:
         raise ValueError("tau must be 1 to 15")
     segs = _segments(tau)
     m = len(segs)
     fp = F.col("fp")
-    step = F.lit(0) if least_size is None else F.floor(F.log(F.col("size") + 1.0) / math.log(1 / least_size)).cast("int")
+    step = _size_step(least_size)
     sizes = F.array(step) if least_size is None else F.array(step, step + 1)
 
     def key(i: int, second: Column, size: Column) -> Column:
@@ -95,17 +118,27 @@ def linked(distinct: DataFrame, tau: int = 2, least_size: float | None = None) -
         return F.flatten(F.transform(sizes, lambda size: F.transform(masks, lambda mask: F.struct(
             F.lit(i).cast("tinyint").alias("i"), key(i, _segment(fp, segs[(i + 1) % m]).bitwiseXOR(mask), size).alias("key")))))
 
-    index = distinct.select(fp.alias("b"), F.explode(F.array(*[key(i, _segment(fp, segs[(i + 1) % m]), step) for i in range(m)])).alias("key"))
-    probe = distinct.select(fp.alias("a"), F.explode(F.flatten(F.array(*[variants(i) for i in range(m)]))).alias("p")).select("a", "p.i", "p.key")
+    known = F.col("group") if "group" in distinct.columns else fp
+    index = distinct.select(fp.alias("b"), known.alias("group_b"), step.alias("step_b"), F.explode(F.array(*[key(i, _segment(fp, segs[(i + 1) % m]), step) for i in range(m)])).alias("key"))
+    probe = distinct.select(fp.alias("a"), known.alias("group_a"), step.alias("step_a"), F.explode(F.flatten(F.array(*[variants(i) for i in range(m)]))).alias("p")).select(
+        "a", "group_a", "step_a", "p.i", "p.key")
     diff = F.col("a").bitwiseXOR(F.col("b"))
     # every prefix of the chain within its share of the budget; the whole ring is the Hamming check
-    viable = F.lit(False)
+    chains = []
     for i in range(m):
         ok = F.lit(True)
         for n in range(1, m + 1):
             ok = ok & (F.bit_count(diff.bitwiseAND(F.lit(_ring(segs, i, n)).cast("bigint"))) <= n * tau // m)
-        viable = F.when(F.col("i") == i, ok).otherwise(viable)
-    pairs = probe.join(index, "key").filter(F.col("a") != F.col("b")).filter(viable)
+        chains.append(ok)
+    # a pair is made once: at its first viable chain, and by the smaller fingerprint where both could ask for the other
+    viable = F.lit(False)
+    for i in range(m):
+        first = chains[i]
+        for before in chains[:i]:
+            first = first & ~before
+        viable = F.when(F.col("i") == i, first).otherwise(viable)
+    once = (F.col("step_a") != F.col("step_b")) | (F.col("a") < F.col("b"))
+    pairs = probe.join(index, "key").filter((F.col("group_a") != F.col("group_b")) & once).filter(viable)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -170,11 +203,18 @@ def one_of_each_group(docs: DataFrame, tau: int = 8, width: int = 5, least: floa
 
     prints = saved(T.mapped(rows.select("_key", "_text"), run, "key long, fp long, size long", "_text"))
     heads = checkpointed(prints.groupBy("fp").agg(F.min(F.struct("key", "size")).alias("head")).select("fp", "head.key", "head.size"))
-    pairs = checkpointed(linked(heads, tau, least))
-    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct().join(heads, "fp").select("fp", F.col("key").alias("_key"))
-    texts = saved(rows.select("_key", F.col("_text").alias("t")).join(_small(checkpointed(wanted)), "_key").select("fp", "t").dropDuplicates(["fp"]))
-    sides = pairs.join(texts.select(F.col("fp").alias("b"), F.col("t").alias("text_b")), "b").join(texts.select(F.col("fp").alias("a"), F.col("t").alias("text_a")), "a")
-    groups = components(_jaccard(sides, width, least))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = checkpointed(pairs)
+        wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct().join(heads, "fp").select("fp", F.col("key").alias("_key"))
+        texts = saved(rows.select("_key", F.col("_text").alias("t")).join(_small(checkpointed(wanted)), "_key").select("fp", "t").dropDuplicates(["fp"]))
+        sides = pairs.join(texts.select(F.col("fp").alias("b"), F.col("t").alias("text_b")), "b").join(texts.select(F.col("fp").alias("a"), F.col("t").alias("text_a")), "a")
+        return checkpointed(_jaccard(sides, width, least))
+
+    # dense groups are joined by stars first; then only pairs between what is still apart are made
+    first = verified(starred(heads, tau, least))
+    known = heads.join(components(first).withColumnRenamed("node", "fp"), "fp", "left").select("fp", "size", F.coalesce("root", "fp").alias("group"))
+    groups = components(first.unionByName(verified(linked(checkpointed(known), tau, least))))
     label = heads.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     stays = label.groupBy("root").agg(F.min("key").alias("first"))
     kept = label.join(stays, "root").select("fp", "first")
