@@ -44,8 +44,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS, id_col: str
     """
     votes = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg((F.avg("quality") > 0.5).cast("double").alias("label"))
     sample = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = docs.select(F.col(id_col).alias("doc_id"), features(F.col(text_col)).alias("f")).join(F.broadcast(sample), "doc_id")
-    rows = checkpointed(rows.select("label", "f")).select("label", array_to_vector("f").alias("features"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
+    rows = checkpointed(rows.select("label", features(F.col("text")).alias("f"))).select("label", array_to_vector("f").alias("features"))
     known = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(known) < 2:
         return None
