@@ -125,7 +125,7 @@ def _roles(pages: DataFrame, least_bytes: int) -> DataFrame:
     return rows.join(first, ["sha", "bytes"]).select("page_id", "url", "payload", "sha", F.when(later, F.col("first")).alias("refers_to"))
 
 
-def write_monolithic(pages: DataFrame, folder: str, least_bytes: int = 0, level: int = 1) -> list[str]:
+def write_monolithic(pages: DataFrame, folder: str, least_bytes: int = 0, level: int = 6) -> list[str]:
     """Write a record per page into whole-file gzip archives below `folder`; their uris."""
 
     def run(batches):
