@@ -166,59 +166,135 @@ def _small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
-def _jaccard(pairs: DataFrame, width: int, least: float) -> DataFrame:
-    """The pairs (a, b, text_a, text_b) whose sets of `width`-word shingles have at least this Jaccard similarity."""
+def _least_common(n: int, least: float) -> int:
+    """Fewest common members of a set of `n` and any set that is at least `least` alike."""
+    return math.ceil(least * n - 1e-9)
+
+
+def _low_common(n: int, least: float) -> int:
+    """Of the members of a set of `n` that `_low` gives, so many are common with the low members of any alike set that is not smaller."""
+    return min(max(1, -(-n // 8)), _least_common(n, least))
+
+
+def _low(n: int, least: float) -> int:
+    """Lowest members of a set of `n`, as many as it can lose in an alike set and `_low_common` more."""
+    return n - _least_common(n, least) + _low_common(n, least)
 
-    def run(batch):
-        keep, last, left = [], None, set()
-        for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            if ta != last:
-                last, left = ta, set(T.shingles(ta, width))
-            right = set(T.shingles(tb, width))
-            both = len(left & right)
-            total = len(left) + len(right) - both
-            keep.append(total == 0 or both >= least * total - 1e-9)
-        yield batch.select([0, 1]).filter(pa.array(keep))
 
-    return T.mapped(pairs.select("a", "b", "text_a", "text_b"), run, "a long, b long", "text_b")
+def _jaccard(pairs: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b, set_a, set_b) whose sets have at least this Jaccard similarity."""
+
+    def run(batches):
+        for batch in batches:
+            ends = [(c.offsets.to_numpy(), c.values.to_numpy(zero_copy_only=False)) for c in (batch.column("set_a"), batch.column("set_b"))]
+            keep = []
+            for k in range(batch.num_rows):
+                left, right = (v[o[k]:o[k + 1]] for o, v in ends)
+                both = len(np.intersect1d(left, right, assume_unique=True))
+                keep.append(both >= least * (len(left) + len(right) - both) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+
+
+def _met(keys: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of every node with the first, in several orders, of those that share a key (x, node, size, place) with it.
+
+    The keys of a set are its rarest members, one more than it can lose in a set that is `least` alike: alike sets share one.
+    """
+    firsts = F.array(*[F.min_by(F.struct("node", "size"), F.xxhash64("node", F.lit(order))) for order in range(STAR_ORDERS)])
+    first = keys.groupBy("x").agg(F.array_distinct(firsts).alias("firsts"), F.count("*").alias("n")).filter("n > 1").select("x", F.explode("firsts").alias("f"))
+    near = (F.col("size") >= least * F.col("f.size") - 1e-9) & (F.col("f.size") >= least * F.col("size") - 1e-9)
+    stars = keys.join(first, "x").filter(near & (F.col("node") != F.col("f.node")))
+    return stars.select(F.least("node", "f.node").alias("a"), F.greatest("node", "f.node").alias("b")).distinct()
+
+
+def _rest(keys: DataFrame, groups: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of nodes of different groups that share a key and may be alike by their sizes and the places of the key."""
+    known = keys.join(groups, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
+    several = known.groupBy("x").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("x")
+    known = checkpointed(known.join(several, "x", "left_semi"))
+    a, b = (known.select("x", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "size", "place", "group")]) for s in "ab")
+    size_a, size_b = F.col("size_a"), F.col("size_b")
+    most = F.least("place_a", "place_b") + F.least(size_a - F.col("place_a"), size_b - F.col("place_b"))
+    may = (size_a >= least * size_b - 1e-9) & (size_b >= least * size_a - 1e-9) & (most >= least / (1 + least) * (size_a + size_b) - 1e-6)
+    met = a.join(b, "x").filter((F.col("node_a") < F.col("node_b")) & (F.col("group_a") != F.col("group_b")) & may)
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def one_of_each_group(docs: DataFrame, tau: int = 8, width: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay when one document of each group of near duplicates is kept, the one with the smallest id.
 
-    Documents are linked when their texts have the same SimHash (of three-word shingles), or SimHashes that differ in at most
-    `tau` bits and a Jaccard similarity of their `width`-word shingles of at least `least`; the second is checked on whole
-    texts, one per SimHash. At 0.8 pairs differ in about 6.5 bits on average. Rows without an id count as larger than any id;
-    repeated rows, and all null, empty and blank texts, are one group each. All columns are kept.
+    Documents are linked when their texts have the same SimHash (of three-word shingles), or a Jaccard similarity of their
+    sets of `width`-word shingles of at least `least`; one text per SimHash is compared. All such pairs count: `tau` is the
+    number of SimHash bits within which dense groups are joined first, by stars, and changes no result.
+
+    Which texts can have a partner at all is read from their lowest shingle hashes: alike texts share many of them. Of those
+    texts the rarest shingles are the keys of an equi-join, one more than a text can lose in an alike text. Rows without an
+    id count as larger than any id; repeated rows, and all null, empty and blank texts, are one group each. All columns are kept.
     """
     key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(1 << 62).cast("bigint") + F.pmod(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.lit(1 << 61).cast("bigint")))
     rows = docs.select(key.alias("_key"), F.col(text_col).alias("_text"), F.struct(*docs.columns).alias("_row"))
 
+    def sets(texts):
+        x, first = T.WordBlock(texts).shingle_block(width)
+        return [np.unique(x[a:b]) for a, b in zip(first[:-1], first[1:])]
+
+    def node(text, found):
+        return simhash(text, 3)
+
     def run(batch):
         texts = batch.column(1).to_pylist()
-        x, first = T.WordBlock(texts).shingle_block(width)
-        sizes = [len(np.unique(x[a:b])) for a, b in zip(first[:-1], first[1:])]
-        fp = np.array([simhash(t, 3) for t in texts], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), pa.array(sizes, pa.int64())], names=["key", "fp", "size"])
+        found = sets(texts)
+        nodes = np.array([node(t, u) for t, u in zip(texts, found)], np.uint64).view(np.int64)
+        low = [(u[:_low(len(u), least)] >> np.uint64(24)).astype(np.int64) for u in found]
+        wanted = [_low_common(_least_common(len(u), least), least) for u in found]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes), pa.array(wanted, pa.int64()), pa.array(low, pa.list_(pa.int64()))], names=["key", "node", "wanted", "low"])
+
+    prints = saved(T.mapped(rows.select("_key", "_text"), run, "key long, node long, wanted long, low array<long>", "_text"))
+    heads = checkpointed(prints.groupBy("node").agg(F.min("key").alias("key")))
+    # texts of which enough low shingles stand in other texts too; the cut hashes only let a few more through
+    low = prints.join(heads, ["node", "key"]).select("node", "wanted", F.explode(F.array_distinct("low")).alias("x"))
+    again = low.groupBy("x").agg(F.count("*").alias("n")).filter("n > 1").select("x")
+    paired = low.join(again, "x").groupBy("node").agg(F.count("*").alias("n"), F.min("wanted").alias("wanted")).filter("n >= wanted").select("node")
+    wanted = checkpointed(paired.join(heads, "node").select(F.col("key").alias("_key"), F.col("node").alias("_node")))
+
+    def full(batch):
+        texts = batch.column(1).to_pylist()
+        found = sets(texts)
+        nodes, fp = (np.array(v, np.uint64).view(np.int64) for v in ([node(t, u) for t, u in zip(texts, found)], [simhash(t, 3) for t in texts]))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(fp), pa.array([len(u) for u in found], pa.int64()), pa.array([u.view(np.int64) for u in found], pa.list_(pa.int64()))],
+                                         names=["node", "fp", "size", "members"])
 
-    prints = saved(T.mapped(rows.select("_key", "_text"), run, "key long, fp long, size long", "_text"))
-    heads = checkpointed(prints.groupBy("fp").agg(F.min(F.struct("key", "size")).alias("head")).select("fp", "head.key", "head.size"))
+    read = rows.select("_key", "_text").join(_small(wanted.select("_key").distinct()), "_key", "left_semi")
+    alike = T.mapped(read, full, "node long, fp long, size long, members array<long>", "_text")
+    alike = saved(alike.join(_small(wanted.select(F.col("_node").alias("node"))), "node", "left_semi").dropDuplicates(["node"]))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = checkpointed(pairs)
-        wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp"))).distinct().join(heads, "fp").select("fp", F.col("key").alias("_key"))
-        texts = saved(rows.select("_key", F.col("_text").alias("t")).join(_small(checkpointed(wanted)), "_key").select("fp", "t").dropDuplicates(["fp"]))
-        sides = pairs.join(texts.select(F.col("fp").alias("b"), F.col("t").alias("text_b")), "b").join(texts.select(F.col("fp").alias("a"), F.col("t").alias("text_a")), "a")
-        return checkpointed(_jaccard(sides, width, least))
+        side = lambda s: alike.select(F.col("node").alias(s), F.col("members").alias(f"set_{s}"))
+        return checkpointed(_jaccard(checkpointed(pairs).join(side("b"), "b").join(side("a"), "a"), least))
+
+    member = alike.select("node", "size", F.explode("members").alias("x"))
+    shared = member.groupBy("x").agg(F.count("*").alias("n")).filter("n > 1")
+    ranked = member.join(shared, "x").groupBy("node", "size").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("r"))
+    # members that no other text has come first in the order and meet nothing
+    alone = (F.col("size") - F.size("r")).cast("int")
+    keys = (F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1 - alone).cast("int")
+    keys = checkpointed(ranked.withColumns({"alone": alone, "keys": keys}).filter("keys > 0").select(
+        "node", "size", "alone", F.posexplode(F.slice("r", F.lit(1), F.col("keys"))).alias("i", "r")).select("r.x", "node", "size", (F.col("alone") + F.col("i") + 1).alias("place")))
 
     # dense groups are joined by stars first; then only pairs between what is still apart are made
-    first = verified(starred(heads, tau, least))
-    known = heads.join(components(first).withColumnRenamed("node", "fp"), "fp", "left").select("fp", "size", F.coalesce("root", "fp").alias("group"))
-    groups = components(first.unionByName(verified(linked(checkpointed(known), tau, least))))
-    label = heads.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    of_print = checkpointed(alike.groupBy("fp").agg(F.min(F.struct("node", "size")).alias("m")).select("fp", "m.node", "m.size"))
+    bits = starred(of_print.select("fp", "size"), tau, least)
+    bits = bits.join(of_print.select(F.col("fp").alias("a"), F.col("node").alias("x")), "a").join(of_print.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b")
+    same = alike.select("fp", F.col("node").alias("y")).join(of_print.select("fp", F.col("node").alias("x")), "fp").filter("x <> y")
+    close = bits.select("x", "y").unionByName(same.select("x", "y")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    first = verified(close.unionByName(_met(keys, least)).distinct())
+    groups = components(first.unionByName(verified(_rest(keys, components(first), least))))
+    label = heads.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     stays = label.groupBy("root").agg(F.min("key").alias("first"))
-    kept = label.join(stays, "root").select("fp", "first")
-    gone = checkpointed(prints.join(kept, "fp").filter(F.col("key") != F.col("first")).select(F.col("key").alias("_key")).distinct())
+    kept = label.join(stays, "root").select("node", "first")
+    gone = checkpointed(prints.join(kept, "node").filter(F.col("key") != F.col("first")).select(F.col("key").alias("_key")).distinct())
     left = rows.join(_small(gone), "_key", "left_anti")
     # rows that repeat an id: only those are few enough to be numbered
     twice = checkpointed(prints.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("_key")))
