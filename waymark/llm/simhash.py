@@ -225,9 +225,9 @@ def _rest(keys: DataFrame, groups: DataFrame, least: float) -> DataFrame:
 def one_of_each_group(docs: DataFrame, tau: int = 8, width: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay when one document of each group of near duplicates is kept, the one with the smallest id.
 
-    Documents are linked when their texts have the same SimHash (of three-word shingles), or a Jaccard similarity of their
-    sets of `width`-word shingles of at least `least`; one text per SimHash is compared. All such pairs count: `tau` is the
-    number of SimHash bits within which dense groups are joined first, by stars, and changes no result.
+    Documents are linked when the sets of `width`-word shingles of their texts have a Jaccard similarity of at least `least`;
+    equal sets are one node, and equal SimHashes (of three-word shingles) link nothing by themselves. All such pairs count:
+    `tau` is the number of SimHash bits within which dense groups are joined first, by stars, and changes no result.
 
     Which texts can have a partner at all is read from their lowest shingle hashes: alike texts share many of them. Of those
     texts the rarest shingles are the keys of an equi-join, one more than a text can lose in an alike text. Rows without an
@@ -240,13 +240,10 @@ def one_of_each_group(docs: DataFrame, tau: int = 8, width: int = 5, least: floa
         x, first = T.WordBlock(texts).shingle_block(width)
         return [np.unique(x[a:b]) for a, b in zip(first[:-1], first[1:])]
 
-    def node(text, found):
-        return simhash(text, 3)
-
     def run(batch):
         texts = batch.column(1).to_pylist()
         found = sets(texts)
-        nodes = np.array([node(t, u) for t, u in zip(texts, found)], np.uint64).view(np.int64)
+        nodes = np.array([xxhash.xxh64_intdigest(u.tobytes(), SEED) for u in found], np.uint64).view(np.int64)
         low = [(u[:_low(len(u), least)] >> np.uint64(24)).astype(np.int64) for u in found]
         wanted = [_low_common(_least_common(len(u), least), least) for u in found]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes), pa.array(wanted, pa.int64()), pa.array(low, pa.list_(pa.int64()))], names=["key", "node", "wanted", "low"])
@@ -262,7 +259,7 @@ def one_of_each_group(docs: DataFrame, tau: int = 8, width: int = 5, least: floa
     def full(batch):
         texts = batch.column(1).to_pylist()
         found = sets(texts)
-        nodes, fp = (np.array(v, np.uint64).view(np.int64) for v in ([node(t, u) for t, u in zip(texts, found)], [simhash(t, 3) for t in texts]))
+        nodes, fp = (np.array(v, np.uint64).view(np.int64) for v in ([xxhash.xxh64_intdigest(u.tobytes(), SEED) for u in found], [simhash(t, 3) for t in texts]))
         yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(fp), pa.array([len(u) for u in found], pa.int64()), pa.array([u.view(np.int64) for u in found], pa.list_(pa.int64()))],
                                          names=["node", "fp", "size", "members"])
 
