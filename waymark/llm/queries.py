@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from waymark.llm import contamination, hmm, licenses, merkle, packing, pii, quality, simhash, token_files, warc
+from waymark.llm import contamination, dialogues, hmm, licenses, merkle, packing, pii, quality, simhash, token_files, toxicity, vector_codes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +104,48 @@ ORACLES["op9_decontamination"] = ("WITH patterns AS (SELECT item_id AS key, text
 @query
 def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), tau=2, width=3)
+
+
+@query
+def op11_toxicity(spark, sf_dir):
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    rows = vector_codes.with_label_error(coded)
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.books_sha256(books)).alias("codebooks_sha256"))
+
+
+def _lloyd_sql(rounds: int = 2) -> str:
+    """Full search in every round, in DuckDB."""
+    out = ["""WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v, row_number() OVER (ORDER BY vec_id) AS rn
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+parts AS (SELECT vec_id, label, rn, p, v[p * 4 + 1] AS a, v[p * 4 + 2] AS b, v[p * 4 + 3] AS c, v[p * 4 + 4] AS d FROM kept, range(16) AS t(p)),
+book0 AS (SELECT p, rn - 1 AS e, a, b, c, d FROM parts WHERE rn <= 64)"""]
+    for k in range(rounds + 1):
+        out.append(f"""near{k} AS (
+  SELECT p, rn, min({{'d': (x.a - y.a) ** 2 + (x.b - y.b) ** 2 + (x.c - y.c) ** 2 + (x.d - y.d) ** 2, 'e': e}}) AS best
+  FROM parts x JOIN book{k} y USING (p) GROUP BY p, rn)""")
+        if k < rounds:
+            mean = ", ".join(f"coalesce(CAST(floor(m.{c} / m.n) AS BIGINT), o.{c}) AS {c}" for c in "abcd")
+            out.append(f"""means{k} AS (
+  SELECT p, best.e AS e, count(*) AS n, sum(a) AS a, sum(b) AS b, sum(c) AS c, sum(d) AS d FROM near{k} JOIN parts USING (p, rn) GROUP BY p, best.e),
+book{k + 1} AS (SELECT o.p, o.e, {mean} FROM book{k} o LEFT JOIN means{k} m USING (p, e))""")
+    last = rounds
+    out.append(f"""coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', CAST(best.e AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM near{last} JOIN kept USING (rn) GROUP BY vec_id, label, rn),
+digest AS (SELECT sha256(string_agg(a || ',' || b || ',' || c || ',' || d, ',' ORDER BY p, e)) AS s FROM book{last})""")
+    return ",\n".join(out) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, s AS codebooks_sha256 FROM coded, digest"""
+
+
+ORACLES["op12_vector_codes"] = _lloyd_sql()
+
+
+@query
+def op13_dialogue_repair(spark, sf_dir):
+    return dialogues.repair(dialogues.damaged(table(spark, sf_dir, "conversations")))

@@ -66,12 +66,14 @@ def _powers(base: int, n: int) -> np.ndarray:
 class WordBlock:
     """The words of some texts in one run: `hashes` of all words, `first` word number of each text (one more at the end)."""
 
+    BLANK = _BLANK  # bytes that lie between words
+
     def __init__(self, texts: list[str | None]):
         raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
         buf = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
         sizes = np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw))
         ends_at = np.cumsum(sizes)
-        blank = _BLANK[buf]
+        blank = self.BLANK[buf]
         edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
         if len(buf) and not blank[0]:
             edge = np.concatenate(([0], edge))
