@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from waymark.functions import geo
 from waymark.functions.rules import contains_any, first_match, yes
+from waymark.operators.containment import holders
+from waymark.operators.durable import durable
 from waymark.operators.filters import bare_region
 from waymark.operators.ranking import top_n
+from waymark.operators.skew import join_one_per_key
 
 # Food words, slot templates per pace, price and cost defaults, travel pace.
 FOOD_WORDS = ["kuliner", "culinary", "resto", "makanan"]
@@ -34,7 +36,7 @@ def category_score(category: Column, wanted: Column, is_food: Column) -> Column:
     """Food slots want food places; other slots want one of the requested categories, if any."""
     cat = F.lower(category)
     food = F.when(contains_any(cat, FOOD_SCORE_WORDS), F.lit(1.0)).otherwise(F.lit(0.3))
-    asked = F.when(F.exists(wanted, lambda w: cat.contains(F.lower(w))), F.lit(1.0)).otherwise(F.lit(0.3))
+    asked = F.when(yes(F.exists(wanted, lambda w: cat.contains(F.lower(w)))), F.lit(1.0)).otherwise(F.lit(0.3))
     return F.when(is_food, food).when(F.size(wanted) > 0, asked).otherwise(F.lit(0.8))
 
 
@@ -50,57 +52,75 @@ def default_cost(tier: Column, is_food: Column) -> Column:
     return F.when(tier == "Standar", by(45000.0, 35000.0)).when(tier == "Mewah", by(120000.0, 85000.0)).otherwise(by(25000.0, 15000.0))
 
 
-def region_pools(items: DataFrame, regions: list[str], need: int) -> DataFrame:
+def wished(categories: Column, primary: Column | None = None, any_label: str = "semua") -> Column:
+    """The categories asked for, lower-cased and trimmed: the array, then the parts of the comma-separated text; the label for any category is left out."""
+    named = F.filter(F.coalesce(categories, F.array().cast("array<string>")), lambda c: yes((c != "") & (F.lower(c) != any_label)))
+    if primary is not None:
+        parts = F.when(yes(F.lower(primary) != any_label), F.filter(F.split(primary, ","), lambda c: (c != "") & (F.trim(F.lower(c)) != any_label)))
+        named = F.concat(named, F.coalesce(parts, F.array().cast("array<string>")))
+    return F.array_distinct(F.transform(named, lambda c: F.trim(F.lower(c))))
+
+
+def placed_items(items: DataFrame, asked: DataFrame, region: str = "pool_region") -> tuple[DataFrame, DataFrame]:
+    """Items once per asked region that their region or address text contains, and once for the empty region, which stands for
+    the whole catalog; and the asked regions that any item lies in. Regions are bare_region texts in the column `region`."""
+    address = F.lower(F.coalesce("address", F.lit(""))) if "address" in items.columns else F.lit("")
+    texts = items.select("*", bare_region(F.col("region")).alias("_reg"), address.alias("_addr"))
+    index = holders(asked, region, texts.select(F.explode(F.array("_reg", "_addr")).alias("text")), "text")
+    by = lambda key: index.select(F.col("text").alias(key), F.col("terms").alias(f"{key}_terms"))
+    both = join_one_per_key(join_one_per_key(texts, by("_reg"), "_reg"), by("_addr"), "_addr")
+    none = F.array().cast("array<string>")
+    pools = F.array_append(F.array_union(F.coalesce("_reg_terms", none), F.coalesce("_addr_terms", none)), F.lit(""))
+    served = index.select(F.explode("terms").alias(region)).distinct()
+    return both.select(*items.columns, F.explode(pools).alias(region)), served
+
+
+def served_region(requests: DataFrame, served: DataFrame, region: str = "pool_region") -> DataFrame:
+    """Requests with the empty region where no item lies in theirs."""
+    known = requests.join(served.select(F.col(region).alias("_known")), F.col(region) == F.col("_known"), "left")
+    return known.withColumn(region, F.coalesce("_known", F.lit(""))).drop("_known")
+
+
+def region_pools(placed: DataFrame, need: int) -> DataFrame:
     """The places that can be needed per region and pool, from which every request is served.
 
-    A place belongs to each listed region named in its region or address text. Its score for a request
-    depends on category, price and rating only, and within one category and price band on the rating
-    alone; so the `need` best rated places per region, category and band hold every possible choice.
-    The empty region stands for the whole catalog (used when a region has no place).
+    A place's score for a request depends on category, price and rating only, and within one category and price band on the
+    rating alone; so the `need` best rated places per region, category and band hold every possible choice.
     """
-    names = F.array(*[F.lit(r) for r in regions])
-    reg, addr = bare_region(F.col("region")), F.lower(F.coalesce("address", F.lit("")))
-    hits = F.filter(names, lambda r: reg.contains(r) | addr.contains(r))
     cat = F.lower("category")
     food = contains_any(cat, FOOD_WORDS)
     # price limits of all tiers cut the price axis into bands of equal budget score
     band = F.size(F.filter(F.array(*[F.lit(float(b)) for b in (0, 15000, 20000, 25000, 35000, 50000, 75000, 120000)]), lambda b: F.col("price") > b))
     exact = F.size(F.filter(F.array(*[F.lit(float(b)) for b in (15000, 20000, 25000, 35000, 50000, 75000, 120000)]), lambda b: F.col("price") == b))
-    placed = items.select(
-        "*", cat.alias("_cat"), food.alias("is_food"), F.coalesce(band, F.lit(0)).alias("_band"), F.coalesce(exact, F.lit(0)).alias("_edge"),
-        F.explode(F.array_append(F.coalesce(hits, F.array().cast("array<string>")), F.lit(""))).alias("pool_region"))
-    stars = F.least(F.lit(1.0), F.coalesce("rating", F.lit(4.5)) / 5.0)
-    return top_n(placed.withColumn("_stars", stars), ["pool_region", "is_food", "_cat", "_band", "_edge"], [F.col("_stars").desc(), F.col("item_id").asc()], need).drop("_stars", "_band", "_edge", "_cat")
+    rated = placed.select("*", cat.alias("_cat"), food.alias("is_food"), F.coalesce(band, F.lit(0)).alias("_band"), F.coalesce(exact, F.lit(0)).alias("_edge"),
+                          F.least(F.lit(1.0), F.coalesce("rating", F.lit(4.5)) / 5.0).alias("_stars"))
+    return top_n(rated, ["pool_region", "is_food", "_cat", "_band", "_edge"], [F.col("_stars").desc(), F.col("item_id").asc()], need).drop("_stars", "_band", "_edge", "_cat")
 
 
-def plan(requests: DataFrame, items: DataFrame, regions: list[str] | None = None, seed: int = 42, max_days: int = 5) -> DataFrame:
-    """Itinerary slots per request: request_id, day, slot, time, item_id, score.
+def plan(requests: DataFrame, items: DataFrame, seed: int = 42, max_days: int = 5) -> DataFrame:
+    """Itinerary slots per request: request_id, day, slot, time, is_food, item_id, score.
 
-    requests: request_id, region, wanted array, tier, pace, days.
+    requests: request_id, region, wanted array, tier, pace, days and, if it is there, primary_category (comma-separated).
     items: item_id, region, address, category, price, rating.
 
-    `max_days` is the longest itinerary; longer requests end there. `regions` are the region names served; by default all
-    that are asked for (one name per distinct region reaches the driver), a region without any place gets the whole catalog.
+    A request is served from the places whose region or address contains its region, or from the whole catalog where there are
+    none; its wishes are cleaned by wished(), a missing tier is the middle one. `max_days` is the longest itinerary; longer requests end there.
 
-    Per request only as many places as it has slots (plus the size of the draw) are kept per pool.
-    The short sequential pick - best five unused, drawn by score with a seeded hash - then runs on
-    two short lists per request.
+    Per request only as many places as it has slots (plus the size of the draw) are kept per pool. The short sequential pick
+    (best five unused, drawn by score with a seeded hash) is a fold over the slots, on two short lists per request. A pool
+    whose places are all used gives its places again, in id order by the number of the slot.
     """
-    if regions is None:
-        regions = sorted(r[0] for r in requests.select(bare_region(F.col("region"))).distinct().collect() if r[0])
-    slots = max(len(s) for s in PACED_SLOTS.values()) * max_days
-    need = slots + CHOICES
-    pools = region_pools(items, regions, need)
-    served = pools.select("pool_region").distinct()
-    req = requests.withColumn("pool_region", bare_region(F.col("region")))
-    known = req.join(served.withColumn("_has", F.lit(True)), "pool_region", "left")
-    req = known.withColumn("pool_region", F.when(F.col("_has"), F.col("pool_region")).otherwise(F.lit(""))).drop("_has")
+    need = max(len(s) for s in PACED_SLOTS.values()) * max_days + CHOICES
+    wish = wished(F.col("wanted"), F.col("primary_category") if "primary_category" in requests.columns else None)
+    req = requests.select("request_id", F.coalesce(F.when(F.col("tier") != "", F.col("tier")), F.lit("Standar")).alias("tier"), "pace", "days", bare_region(F.col("region")).alias("pool_region"), F.array_sort(wish).alias("wanted"))
+    placed, served = placed_items(items, req)
+    pools = region_pools(placed, need)
+    req = served_region(req, served)
     has_food = pools.groupBy("pool_region").agg(F.bool_or("is_food").alias("has_food"), F.bool_or(~F.col("is_food")).alias("has_sights"))
     req = req.join(has_food, "pool_region")
     # what a place is worth depends on region, wished categories and budget only: score once per profile
-    req = req.withColumn("wish", F.array_join(F.array_sort(F.transform("wanted", lambda w: F.lower(w))), "|"))
-    profile = ["pool_region", "wish", "tier"]
-    profiles = req.groupBy(*profile).agg(F.first("wanted").alias("wanted"), F.first("has_food").alias("has_food"), F.first("has_sights").alias("has_sights"))
+    profile = ["pool_region", "wanted", "tier"]
+    profiles = req.groupBy(*profile).agg(F.first("has_food").alias("has_food"), F.first("has_sights").alias("has_sights"))
     cand = profiles.join(pools.drop("region"), "pool_region")
     # a region without food places serves food slots from its sights, and the other way round
     uses = F.filter(F.array(
@@ -112,44 +132,53 @@ def plan(requests: DataFrame, items: DataFrame, regions: list[str] | None = None
     entry = F.struct((-F.col("score")).alias("neg"), F.col("item_id"))
     lists = short.groupBy(*profile).agg(*[F.array_sort(F.collect_list(F.when(F.col("pool") == p, entry))).alias(p) for p in ("food", "sight")])
     lists = req.select("request_id", "pace", "days", *profile).join(lists, profile)
-    kind, item_kind = dict(requests.dtypes)["request_id"], dict(items.dtypes)["item_id"]
-    slot_rows = f"array<struct<day:int,slot:int,time:string,is_food:boolean,item_id:{item_kind},score:double>>"
-    ids = lists.select(
-        "request_id", "pace", "days", *[c for p in ("food", "sight") for c in (
-            F.transform(p, lambda e: e["item_id"]).alias(f"{p}_ids"), F.transform(p, lambda e: -e["neg"]).alias(f"{p}_scores"))])
-    drawn = ids.mapInPandas(lambda batches: _draw(batches, seed, max_days), f"request_id {kind}, slots {slot_rows}")
-    return drawn.select("request_id", F.explode("slots").alias("s")).select("request_id", "s.*")
-
-
-def _draw(batches, seed: int, max_days: int):
-    """Fills the slots of each request from its two short lists."""
-    import xxhash
-
-    for pdf in batches:
-        plans = []
-        for r in pdf.itertuples(index=False):
-            pools = {True: list(zip(r.food_ids, r.food_scores)), False: list(zip(r.sight_ids, r.sight_scores))}
-            used, rows = set(), []
-            template = PACED_SLOTS.get(r.pace, PACED_SLOTS["Santai"])
-            for day in range(1, min(int(r.days), max_days) + 1):
-                for slot, (time, food) in enumerate(template):
-                    pool = pools[food]
-                    free = [e for e in pool if e[0] not in used][:CHOICES]
-                    if not free and pool:  # everything is used: start again
-                        free = [pool[slot % len(pool)]]
-                    if not free:
-                        continue
-                    draw = xxhash.xxh64_intdigest(f"{seed}|{r.request_id}|{day}|{slot}") / 2.0**64 * sum(e[1] for e in free)
-                    reached, chosen = 0.0, free[0]
-                    for e in free:
-                        reached += e[1]
-                        if reached >= draw:
-                            chosen = e
-                            break
-                    used.add(chosen[0])
-                    rows.append({"day": day, "slot": slot, "time": time, "is_food": food, "item_id": chosen[0], "score": float(chosen[1])})
-            plans.append(rows)
-        yield pd.DataFrame({"request_id": pdf["request_id"], "slots": plans})
+    drawn = lists.select("request_id", F.explode(_drawn(seed, max_days, dict(items.dtypes)["item_id"])).alias("s"))
+    return drawn.select("request_id", "s.*")
+
+
+def _let(value: Column, use) -> Column:
+    """use(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _template(pace: list[tuple[str, bool]]) -> Column:
+    return F.array(*[F.struct(F.lit(time).alias("time"), F.lit(food).alias("is_food")) for time, food in pace])
+
+
+def _drawn(seed: int, max_days: int, item_kind: str) -> Column:
+    """The filled slots of a request, folded from its columns request_id, pace, days, food and sight (best entries first)."""
+    template = F.coalesce(F.create_map(*[x for k, v in PACED_SLOTS.items() for x in (F.lit(k), _template(v))])[F.col("pace")], _template(PACED_SLOTS["Santai"]))
+    days = F.when(F.col("days") >= 1, F.sequence(F.lit(1), F.least(F.col("days").cast("int"), F.lit(max_days)))).otherwise(F.array().cast("array<int>"))
+    slots = F.flatten(F.transform(days, lambda d: F.transform(template, lambda t, i: F.struct(d.alias("day"), i.alias("slot"), t["time"].alias("time"), t["is_food"].alias("is_food")))))
+    row = f"struct<day:int,slot:int,time:string,is_food:boolean,item_id:{item_kind},score:double>"
+    start = F.struct(F.array().cast(f"array<{item_kind}>").alias("used"), F.array().cast(f"array<{row}>").alias("rows"))
+
+    def unit(s):
+        text = F.concat_ws("|", F.lit(str(seed)), F.col("request_id").cast("string"), s["day"].cast("string"), s["slot"].cast("string"))
+        return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
+
+    def picked(options, s):
+        """The first option at which the running sum of scores reaches the draw."""
+        draw = unit(s) * F.aggregate(options, F.lit(0.0), lambda a, e: a - e["neg"])
+        begun = F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("at"), F.lit(0).alias("n"))
+        walk = F.aggregate(options, begun, lambda a, e: F.struct(
+            (a["sum"] - e["neg"]).alias("sum"), F.when((a["at"] < 0) & (a["sum"] - e["neg"] >= draw), a["n"]).otherwise(a["at"]).alias("at"), (a["n"] + 1).alias("n")))
+        return F.get(options, F.greatest(walk["at"], F.lit(0)))
+
+    def step(acc, s):
+        def use(pool):
+            free = F.slice(F.filter(pool, lambda e: ~F.array_contains(acc["used"], e["item_id"])), 1, CHOICES)
+            again = F.filter(F.array(F.get(F.array_sort(pool, lambda a, b: F.when(a["item_id"] < b["item_id"], -1).when(a["item_id"] > b["item_id"], 1).otherwise(0)),
+                                           F.pmod(s["slot"], F.greatest(F.size(pool), F.lit(1))))), lambda e: e.isNotNull())
+            return _let(F.when(F.size(free) > 0, free).otherwise(again), lambda options: _let(picked(options, s), put))
+
+        def put(e):
+            made = F.struct(s["day"].alias("day"), s["slot"].alias("slot"), s["time"].alias("time"), s["is_food"].alias("is_food"), e["item_id"].alias("item_id"), (-e["neg"]).alias("score"))
+            return F.when(e.isNull(), acc).otherwise(F.struct(F.array_append(acc["used"], e["item_id"]).alias("used"), F.array_append(acc["rows"], made).alias("rows")))
+
+        return _let(F.when(s["is_food"], F.col("food")).otherwise(F.col("sight")), use)
+
+    return F.aggregate(slots, start, step, lambda acc: acc["rows"])
 
 
 def legs(slots: DataFrame, default_point: tuple[float, float] = (-5.4292, 105.2611)) -> DataFrame:
@@ -168,28 +197,42 @@ def legs(slots: DataFrame, default_point: tuple[float, float] = (-5.4292, 105.26
 
 
 def swap_alternatives(requests: DataFrame, items: DataFrame, exclusions: DataFrame, k: int = 3) -> DataFrame:
-    """Best rated alternatives per swap request.
+    """Best rated alternatives per swap request: request_id, rank, item_id, rating, review_count.
+
+    A place fits whose region or address contains the request's region (the whole catalog where none does), that the request
+    does not exclude and whose category contains the request's category; where no such place is left, any category fits.
 
-    Requests name a region and a category. Items are first cut to the k + (excluded per request) best per
-    region and category (and per region), so a request meets a bounded list; then the excluded ones
-    drop out. A region without places falls back to the catalog, a category without hits to all of them.
+    requests: request_id, region, category; exclusions: request_id, item_id; items may have an address.
 
-    requests: request_id, region, category; exclusions: request_id, item_id.
+    Lists are made per region and category asked for, best first, as deep as the most exclusions of their own requests plus k.
+    They are cut into segments that double in length, and a request meets the segments down to its own exclusions plus k: never
+    more than twice that many rows, however long another request's list is.
     """
     order = [F.col("rating").desc_nulls_last(), F.col("review_count").desc_nulls_last(), F.col("item_id").asc()]
-    most = exclusions.groupBy("request_id").count().agg(F.max("count")).first()[0] or 0
-    placed = items.select("*", F.explode(F.array(bare_region(F.col("region")), F.lit(""))).alias("pool_region"))
-    placed = placed.select("*", F.explode(F.array(F.lower("category"), F.lit(""))).alias("pool_category"))
-    lists = top_n(placed, ["pool_region", "pool_category"], order, most + k).select("pool_region", "pool_category", "item_id", "rating", "review_count")
-    want = requests.select("request_id", bare_region(F.col("region")).alias("reg"), F.lower(F.trim(F.coalesce("category", F.lit("")))).alias("cat"))
-    known = lists.select(F.col("pool_region").alias("reg")).distinct().withColumn("_r", F.lit(True))
-    want = want.join(known, "reg", "left").withColumn("reg", F.when(F.col("_r"), F.col("reg")).otherwise(F.lit(""))).drop("_r")
-
-    def options(category: Column, wide: bool) -> DataFrame:
-        keyed = want.select("request_id", F.col("reg").alias("pool_region"), category.alias("pool_category"))
-        return keyed.join(lists, ["pool_region", "pool_category"]).join(exclusions, ["request_id", "item_id"], "left_anti").withColumn("wide", F.lit(wide))
-
-    both = options(F.col("cat"), False).unionByName(options(F.lit(""), True))
-    narrow = both.groupBy("request_id").agg(F.bool_or(~F.col("wide")).alias("narrow"))
-    use = both.join(narrow, "request_id").filter(F.col("wide") != F.col("narrow"))
-    return top_n(use, ["request_id"], order, k, "rank").select("request_id", "rank", "item_id", "rating", "review_count")
+    gone = exclusions.select("request_id", "item_id").distinct()
+    own = gone.groupBy("request_id").agg(F.count("*").alias("_n"))
+    asked = requests.select("request_id", bare_region(F.col("region")).alias("pool_region"), F.lower(F.trim(F.coalesce("category", F.lit("")))).alias("term"))
+    placed, served = placed_items(items, asked)
+    asked = join_one_per_key(served_region(asked, served), own, "request_id").withColumn("depth", F.coalesce("_n", F.lit(0)) + k).drop("_n")
+    # each request asks for its category and, in case nothing is left of it, for any
+    asked = durable(asked.select("request_id", "pool_region", "depth", F.explode(F.array_distinct(F.array("term", F.lit("")))).alias("term")))
+    most = asked.agg(F.max("depth")).first()[0] or 0
+
+    regions = asked.groupBy("pool_region").agg(F.max("depth").alias("_depth"))
+    rated = placed.select("pool_region", F.lower(F.coalesce("category", F.lit(""))).alias("cat"), "item_id", "rating", "review_count")
+    rated = rated.join(asked.select("pool_region").distinct(), "pool_region", "left_semi")
+    best = top_n(rated, ["pool_region", "cat"], order, most, "rank").join(regions, "pool_region").filter(F.col("rank") <= F.col("_depth")).drop("rank", "_depth")
+    named = holders(asked, "term", rated, "cat").withColumnRenamed("text", "cat")
+    offered = join_one_per_key(best, named, "cat")
+    offered = offered.select("pool_region", "item_id", "rating", "review_count", F.explode(F.array_append(F.coalesce("terms", F.array().cast("array<string>")), F.lit(""))).alias("term"))
+    profiles = asked.groupBy("pool_region", "term").agg(F.max("depth").alias("_depth"))
+    lists = top_n(offered.join(profiles, ["pool_region", "term"]), ["pool_region", "term"], order, most, "rank").filter(F.col("rank") <= F.col("_depth"))
+    segment = lambda n: F.length(F.bin(n)) - 1
+    lists = lists.select("pool_region", "term", segment(F.col("rank")).alias("segment"), "rank", "item_id", "rating", "review_count")
+    meets = asked.select("*", F.explode(F.sequence(F.lit(0), segment(F.col("depth")))).alias("segment"))
+    options = meets.join(lists, ["pool_region", "term", "segment"]).filter(F.col("rank") <= F.col("depth")).join(gone, ["request_id", "item_id"], "left_anti")
+    options = top_n(options.select("request_id", F.col("term") == "", "item_id", "rating", "review_count").toDF("request_id", "wide", "item_id", "rating", "review_count"),
+                    ["request_id", "wide"], order, k, "rank")
+    narrow = W.partitionBy("request_id")
+    use = options.withColumn("_narrow", F.bool_or(~F.col("wide")).over(narrow)).filter(F.col("wide") != F.col("_narrow"))
+    return use.select("request_id", F.col("rank"), "item_id", "rating", "review_count")

@@ -101,22 +101,54 @@ def _(t):
     return i.select("item_id", F.round(pln.relevance(C("category"), F.array(F.lit("Promo"), F.lit("small")), tier, price, rating, C("item_id") % 2 == 0), 6).alias("relevance"))
 
 
+# every third place names another region in its address
+_addressed = [*views.CATALOG, ("address", "CASE WHEN p_partkey % 3 = 0 THEN concat('Jl. ', CAST(p_partkey % 90 AS varchar(9)), ' dekat BRAND#', CAST(p_partkey % 40 AS varchar(9)), ' utara') END")]
+
+
 def _plan_items(t):
-    cat = F.when(C("category") == "medium", "kuliner").otherwise(C("category"))
-    return views.catalog(t).select("item_id", C("region"), F.lit(None).cast("string").alias("address"), cat.alias("category"), (C("price") * 40).alias("price"), "rating")
+    cat = F.when(C("category") == "medium", "Wisata Kuliner").otherwise(C("category"))
+    return views.columns(t.part, _addressed).select("item_id", "region", "address", cat.alias("category"), (C("price") * 40).alias("price"), "rating")
 
 
 def _plan_requests(t):
+    seg = C("c_mktsegment")
+    wanted = F.when(seg == "BUILDING", F.array(F.lit("Semua"), F.lit(" ECO"))).when(seg == "MACHINERY", F.array(F.lit("promo "), F.lit(""), F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))
+    primary = F.when(seg == "HOUSEHOLD", "Large, semua").when(seg == "FURNITURE", "Semua").when(seg == "BUILDING", "standard,,Sma")
     return t.customer.select(
-        C("c_custkey").alias("request_id"), F.concat(F.lit("Kota Brand#"), C("c_nationkey") + 1).alias("region"), F.array(F.lower("c_mktsegment")).alias("wanted"),
-        F.when(C("c_acctbal") < 2000, "Ekonomis").when(C("c_acctbal") < 6000, "Standar").otherwise("Mewah").alias("tier"), F.when(C("c_nationkey") % 2 == 0, "Padat").otherwise("Santai").alias("pace"), (C("c_custkey") % 3 + 1).cast("int").alias("days"))
+        C("c_custkey").alias("request_id"), F.concat(F.lit("Kota Brand#"), C("c_nationkey") + 1).alias("region"), wanted.alias("wanted"), primary.alias("primary_category"),
+        F.when(C("c_acctbal") < 2000, "Ekonomis").when(C("c_acctbal") < 6000, F.lit(None).cast("string")).otherwise("Mewah").alias("tier"),
+        F.when(C("c_nationkey") % 2 == 0, "Padat").otherwise("Santai").alias("pace"), (C("c_custkey") % 7).cast("int").alias("days"))
 
 
 def _plan(t):
     return pln.plan(_plan_requests(t), _plan_items(t))
 
 
-@query("pln02_itinerary")
+_slot_sql = ", ".join(f"('{pace}', {k}, '{time}', {str(food).lower()})" for pace, slots in pln.PACED_SLOTS.items() for k, (time, food) in enumerate(slots))
+_held = lambda cols, words: " OR ".join(f"contains({cols}, '{w}')" for w in words)
+
+
+@query("pln02_itinerary", f"""
+WITH RECURSIVE i AS (SELECT item_id, lower(region) AS reg, lower(coalesce(address, '')) AS addr, CASE WHEN category = 'medium' THEN 'wisata kuliner' ELSE category END AS cat, price * 40 AS price, rating FROM {views.sql("part", _addressed)}),
+q AS (SELECT c_custkey AS request_id, 'brand#' || (c_nationkey + 1) AS reg, CASE c_mktsegment WHEN 'BUILDING' THEN [' ECO', 'standard', 'Sma'] WHEN 'MACHINERY' THEN ['promo '] WHEN 'HOUSEHOLD' THEN ['Large'] ELSE [] END AS w,
+  CASE WHEN c_acctbal < 2000 THEN 'Ekonomis' WHEN c_acctbal < 6000 THEN 'Standar' ELSE 'Mewah' END AS tier, CASE WHEN c_nationkey % 2 = 0 THEN 'Padat' ELSE 'Santai' END AS pace, CAST(least(c_custkey % 7, 5) AS INTEGER) AS days FROM customer),
+wish AS (SELECT * REPLACE (list_transform(w, lambda x: lower(trim(x))) AS w) FROM q),
+hit AS (SELECT q.*, i.* EXCLUDE (reg, addr), {_held('cat', pln.FOOD_WORDS)} AS food FROM wish q JOIN i ON contains(i.reg, q.reg) OR contains(i.addr, q.reg) OR NOT EXISTS (SELECT 1 FROM i z WHERE contains(z.reg, q.reg) OR contains(z.addr, q.reg))),
+has AS (SELECT request_id, bool_or(food) AS hf, bool_or(NOT food) AS hs FROM hit GROUP BY 1),
+pool AS (SELECT *, u.p AS for_food, CASE WHEN price > 0 THEN price WHEN u.p THEN 25000.0 ELSE 15000.0 END AS pr FROM hit JOIN has USING (request_id), (VALUES (true), (false)) u(p) WHERE CASE WHEN u.p THEN food OR NOT hf ELSE NOT food OR NOT hs END),
+sc AS (SELECT request_id, for_food, item_id, round((CASE WHEN for_food THEN CASE WHEN {_held('cat', pln.FOOD_SCORE_WORDS)} THEN 1.0 ELSE 0.3 END WHEN len(w) = 0 THEN 0.8 WHEN len(list_filter(w, lambda x: contains(cat, x))) > 0 THEN 1.0 ELSE 0.3 END)::DOUBLE * 0.4::DOUBLE
+  + ({_bud})::DOUBLE * 0.4::DOUBLE + least(1.0::DOUBLE, coalesce(rating, 4.5::DOUBLE) / 5.0::DOUBLE) * 0.2::DOUBLE, 8) AS score FROM pool),
+l AS (SELECT request_id, list({{'id': item_id, 's': score}} ORDER BY score DESC, item_id) FILTER (for_food) AS fl, list({{'id': item_id, 's': score}} ORDER BY score DESC, item_id) FILTER (NOT for_food) AS sl FROM sc GROUP BY 1),
+t AS (SELECT * FROM (VALUES {_slot_sql}) v(pace, slot, time, is_food)),
+s AS (SELECT request_id, CAST(d AS INTEGER) AS day, slot, time, is_food, row_number() OVER (PARTITION BY request_id ORDER BY d, slot) AS n FROM q JOIN t USING (pace), range(1, 6) AS r(d) WHERE d <= days),
+walk AS (SELECT request_id, 0::BIGINT AS n, []::BIGINT[] AS used, NULL::STRUCT(id BIGINT, s DOUBLE) AS e FROM q
+  UNION ALL
+  SELECT request_id, n, list_append(used, e.id), e FROM (
+    SELECT request_id, n, used, o[coalesce(list_filter(range(1, len(o) + 1), lambda k: list_sum(list_transform(o[1:k], lambda x: x.s)) >= draw * list_sum(list_transform(o, lambda x: x.s)))[1], 1)] AS e FROM (
+      SELECT request_id, n, used, draw, CASE WHEN len(free) > 0 THEN free ELSE [list_sort(p)[slot % len(p) + 1]] END AS o FROM (
+        SELECT request_id, n, used, slot, p, list_filter(p, lambda x: NOT list_contains(used, x.id))[1:5] AS free, ('0x' || md5(concat_ws('|', 42, request_id, day, slot))[1:13])::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS draw FROM (
+          SELECT w.request_id, s.n, w.used, s.slot, s.day, CASE WHEN s.is_food THEN l.fl ELSE l.sl END AS p FROM walk w JOIN s ON s.request_id = w.request_id AND s.n = w.n + 1 JOIN l ON l.request_id = w.request_id)))))
+SELECT request_id, day, slot, time, is_food, e.id AS item_id, e.s AS score FROM walk JOIN s USING (request_id, n)""")
 def _(t):
     return _plan(t)
 
@@ -134,16 +166,16 @@ def _(t):
 
 
 @query("pln04_swap", f"""
-WITH q AS (SELECT c_custkey AS request_id, 'brand#' || (c_nationkey + 3) AS reg, CASE c_mktsegment WHEN 'BUILDING' THEN 'economy' WHEN 'MACHINERY' THEN 'promo' WHEN 'FURNITURE' THEN 'nothing' ELSE 'small' END AS cat FROM customer),
-i AS (SELECT item_id, lower(region) AS reg, category, rating, review_count FROM {CAT}), x AS (SELECT DISTINCT o_custkey AS request_id, o_orderkey % 2000 AS item_id FROM orders),
-m AS (SELECT q.request_id, q.cat, i.* FROM q JOIN i ON i.reg = q.reg OR NOT EXISTS (SELECT 1 FROM i z WHERE z.reg = q.reg) WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.request_id = q.request_id AND x.item_id = i.item_id)),
-h AS (SELECT request_id, bool_or(category = cat) AS hit FROM m GROUP BY 1), r AS (SELECT m.*, row_number() OVER (PARTITION BY request_id ORDER BY rating DESC, review_count DESC, item_id) AS rank FROM m JOIN h USING (request_id) WHERE category = cat OR NOT hit)
+WITH q AS (SELECT c_custkey AS request_id, 'brand#' || (c_nationkey + 3) AS reg, CASE c_mktsegment WHEN 'BUILDING' THEN 'eco' WHEN 'MACHINERY' THEN 'rom' WHEN 'FURNITURE' THEN 'nothing' WHEN 'HOUSEHOLD' THEN '' ELSE 'a' END AS cat FROM customer),
+i AS (SELECT item_id, lower(region) AS reg, lower(coalesce(address, '')) AS addr, category, rating, review_count FROM {views.sql("part", _addressed)}), x AS (SELECT DISTINCT o_custkey AS request_id, o_orderkey % 2000 AS item_id FROM orders),
+m AS (SELECT q.request_id, q.cat, i.* FROM q JOIN i ON contains(i.reg, q.reg) OR contains(i.addr, q.reg) OR NOT EXISTS (SELECT 1 FROM i z WHERE contains(z.reg, q.reg) OR contains(z.addr, q.reg)) WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.request_id = q.request_id AND x.item_id = i.item_id)),
+h AS (SELECT request_id, bool_or(cat <> '' AND contains(category, cat)) AS hit FROM m GROUP BY 1), r AS (SELECT m.*, row_number() OVER (PARTITION BY request_id ORDER BY rating DESC, review_count DESC, item_id) AS rank FROM m JOIN h USING (request_id) WHERE contains(category, cat) OR NOT hit)
 SELECT request_id, rank, item_id, rating, review_count FROM r WHERE rank <= 3""")
 def _(t):
-    cat = F.when(C("c_mktsegment") == "BUILDING", "economy").when(C("c_mktsegment") == "MACHINERY", "Promo").when(C("c_mktsegment") == "FURNITURE", "nothing").otherwise("small")
+    cat = F.when(C("c_mktsegment") == "BUILDING", " Eco ").when(C("c_mktsegment") == "MACHINERY", "ROM").when(C("c_mktsegment") == "FURNITURE", "nothing").when(C("c_mktsegment") == "HOUSEHOLD", F.lit(None).cast("string")).otherwise("a")
     q = t.customer.select(C("c_custkey").alias("request_id"), F.concat(F.lit("Kabupaten Brand#"), C("c_nationkey") + 3).alias("region"), cat.alias("category"))
-    gone = t.orders.select(C("o_custkey").alias("request_id"), (C("o_orderkey") % 2000).alias("item_id")).distinct()
-    return pln.swap_alternatives(q, views.catalog(t).select("item_id", "region", "category", "rating", "review_count"), gone)
+    gone = t.orders.select(C("o_custkey").alias("request_id"), (C("o_orderkey") % 2000).alias("item_id"))
+    return pln.swap_alternatives(q, views.columns(t.part, _addressed).select("item_id", "region", "address", "category", "rating", "review_count"), gone)
 
 
 # ---- sampling ------------------------------------------------------------
