@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from waymark import config
 from waymark.functions import geo
 from waymark.functions.similarity import block_ratio, indel_ratio
-from waymark.functions.text import sorted_tokens
+from waymark.functions.text import is_filled, sorted_tokens
 from waymark.operators import joins, nearby, normalize as nrm, resolve
 from waymark.plans import views
 from waymark.plans.registry import query
@@ -133,40 +134,89 @@ def _(t):
         F.round(block_ratio(C("p_name"), C("other")), 6).alias("block"))
 
 
-_person = [("record_id", "c_custkey"), ("name", "lower(c_mktsegment)"), ("phone", "CASE WHEN c_custkey % 6 < 2 THEN concat('+62', CAST(floor(c_custkey / 6) AS varchar(9))) END"),
-           ("website", "CASE c_custkey % 7 WHEN 0 THEN 'https://a.id/x' WHEN 1 THEN 'https://a.id/x' WHEN 2 THEN 'https://instagram.com/p' WHEN 3 THEN 'https://instagram.com/p' END"),
-           ("trusted", "(c_custkey % 11 < 2)"), *views._point("0.0009")]
+# Records of several sources with shared phones and sites, near addresses and near names, in chains of five points
+_NEAR_NAMES = ["bukit melati", "lembah hijau indah", "lembah hijaw indah", "indah lembah hijaw", "curug kembar tujuh indah raya", "curug kembar tujuh indah rayo", "waterpark bukit melati", "bukit melati"]
+_NEAR_ADDRESSES = {0: "Jl Raya Pantai 12 Metro", 1: "Jl Raya Pantai 13 Metro", 2: "", 3: "metro 12 raya pantai  jl", 4: "Dusun Tiga Way Kanan"}
+_cases = lambda key, values: f"CASE {key} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in values.items()) + " END"
 
 
-@query("er03_pair_rules", f"""
-WITH r AS {views.sql("customer", _person)}, p AS (SELECT b.record_id, a.trusted AND b.trusted AS bl, coalesce(a.phone = b.phone, false) AS ph,
-  coalesce(a.website = b.website AND a.website NOT LIKE '%instagram%', false) AS we, a.name = b.name AND {dist_sql('a', 'b')} <= 500 AS nm FROM r a JOIN r b ON b.record_id = a.record_id + 1)
-SELECT record_id, CASE WHEN bl THEN 0.0::DOUBLE WHEN ph THEN 0.95::DOUBLE WHEN we THEN 0.95::DOUBLE WHEN nm THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS confidence,
-  CASE WHEN bl THEN 'different_trusted_ids' WHEN ph THEN 'same_phone' WHEN we THEN 'same_website' WHEN nm THEN 'exact_name_distance_500m' ELSE 'no_match' END AS reason FROM p""")
+def _person(shift: int) -> list[tuple[str, str]]:
+    k = f"(c_custkey + {shift})"
+    point = {n: f"CASE WHEN {k} % 13 <> 0 THEN {e} END" for n, e in views._point("0.0009")}
+    return [
+        ("record_id", "c_custkey"), ("seq", f"({k} * 7919) % 100003"), ("name", _cases(f"{k} % 8", dict(enumerate(_NEAR_NAMES)))), ("address", _cases(f"{k} % 9", _NEAR_ADDRESSES)),
+        ("phone", f"CASE WHEN {k} % 29 = 5 THEN '+440' WHEN {k} % 29 = 6 THEN '' WHEN {k} % 6 < 2 THEN concat('+62', CAST(floor({k} / 6) AS varchar(9))) END"),
+        ("website", f"CASE {k} % 17 WHEN 0 THEN concat('https://s', CAST({k} % 60 AS varchar(9)), '.id/a') WHEN 1 THEN concat('https://s', CAST(({k} - 1) % 60 AS varchar(9)), '.id/a') WHEN 2 THEN 'https://instagram.com/p' WHEN 3 THEN 'https://instagram.com/p' END"),
+        ("source", _cases(f"{k} % 10", {0: "google_places", 1: "apify_google_maps", 2: "official_sites", 3: "official_sites", 4: "blog", **{n: "osm" for n in range(5, 10)}})), ("lat", point["lat"]), ("lon", point["lon"])]
+
+
+def _tokens_sql(c: str) -> str:
+    return f"array_to_string(list_sort(string_split(trim(regexp_replace({c}, '\\s+', ' ', 'g')), ' ')), ' ')"
+
+
+def _indel_sql(a: str, b: str) -> str:
+    """Longest common subsequence as a fold over the characters of one text: rows of the usual table, made monotone by running maxima."""
+    hits = f"list_transform(string_split({a}, ''), lambda c: list_concat([0], list_transform(string_split({b}, ''), lambda d: CASE WHEN c = d THEN 1 ELSE 0 END)))"
+    zeros = f"list_transform(range(0, length({b}) + 1), lambda z: 0)"
+    step = "lambda p, e: list_transform(range(1, len(p) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda i: CASE WHEN e[i] = 1 THEN p[i - 1] + 1 ELSE p[i] END)))"
+    return f"200.0::DOUBLE * list_reduce({hits}, {step}, {zeros})[length({b}) + 1] / (length({a}) + length({b}))"
+
+
+def _scores_sql(name: str, column: str, source: str) -> str:
+    """CTEs name_t (text, its sorted tokens) and name (x, y, score) over the distinct token texts of a column."""
+    return f"""{name}_t AS (SELECT DISTINCT {_tokens_sql(column)} AS t FROM {source} WHERE {column} <> ''),
+{name} AS (SELECT a.t AS x, b.t AS y, {_indel_sql('a.t', 'b.t')} AS score FROM {name}_t a, {name}_t b)"""
+
+
+_trusted = "source IN ('google_places', 'apify_google_maps')"
+
+
+def _rules_sql(shift: int, pairs: str) -> str:
+    """CTEs o (records in order) and p (pairs a before b with confidence and reason); `pairs` says which pairs."""
+    return f"""o AS (SELECT *, {_trusted} AS trusted, regexp_extract(website, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1) AS dom, {_tokens_sql('name')} AS nt, {_tokens_sql('lower(address)')} AS ta,
+  row_number() OVER (ORDER BY CASE WHEN {_trusted} THEN 0 WHEN source = 'osm' THEN 1 WHEN source = 'official_sites' THEN 2 ELSE 9 END, seq, record_id) AS ord FROM {views.sql("customer", _person(shift))}),
+low AS (SELECT lower(address) AS address FROM o), {_scores_sql('names', 'name', 'o')}, {_scores_sql('addrs', 'address', 'low')},
+d AS (SELECT a.record_id AS ra, b.record_id AS rb, a.ord AS oa, b.ord AS ob, a.trusted AND b.trusted AS blocked, coalesce(a.phone <> '' AND a.phone = b.phone, false) AS ph,
+  coalesce(a.website = b.website AND a.dom NOT IN ('instagram.com', 'facebook.com', 'maps.google.com', 'google.com', ''), false) AS we, {dist_sql('a', 'b')} AS m, a.name AS na, b.name AS nb, a.nt AS ta, b.nt AS tb, a.ta AS da, b.ta AS db
+  FROM o a JOIN o b ON {pairs}),
+p AS (SELECT ra, rb, oa, ob, CASE WHEN blocked THEN {{'c': 0.0::DOUBLE, 'r': 'different_trusted_ids'}} WHEN ph THEN {{'c': 0.95, 'r': 'same_phone'}} WHEN we THEN {{'c': 0.95, 'r': 'same_website'}}
+  WHEN na = nb AND m <= 500 THEN {{'c': 1.0, 'r': 'exact_name_distance_500m'}}
+  WHEN names.score >= 90 AND m <= 300 AND na <> nb AND (contains(na, nb) OR contains(nb, na) OR names.score < 95) THEN {{'c': 0.0, 'r': 'potential_parent_child'}}
+  WHEN names.score >= 90 AND m <= 300 THEN {{'c': 0.9, 'r': 'fuzzy_name_distance_300m'}}
+  WHEN addrs.score >= 85 AND m <= 500 THEN {{'c': 0.85, 'r': 'similar_address_distance_500m'}} ELSE {{'c': 0.0, 'r': 'no_match'}} END AS rule
+  FROM d LEFT JOIN names ON names.x = ta AND names.y = tb LEFT JOIN addrs ON addrs.x = da AND addrs.y = db)"""
+
+
+@query("er03_pair_rules", f"WITH {_rules_sql(0, 'b.record_id = a.record_id + 1')} SELECT rb AS record_id, rule.c AS confidence, rule.r AS reason FROM p")
 def _(t):
-    r = views.columns(t.customer, _person)
-    row = F.struct("record_id", "name", "phone", "website", "trusted", "lat", "lon")
+    r = views.columns(t.customer, _person(0))
+    tok = lambda side, f: F.when(is_filled(C(f"{side}.{f}")), sorted_tokens(F.lower(C(f"{side}.{f}"))))
+    row = F.struct("record_id", "name", "address", "phone", "website", C("source").isin("google_places", "apify_google_maps").alias("trusted"), "lat", "lon")
     a = r.select((C("record_id") + 1).alias("record_id"), row.alias("anchor"))
     pairs = r.select("record_id", row.alias("row")).join(a, "record_id").withColumns({
-        "distance_m": geo.haversine_m(C("row.lat"), C("row.lon"), C("anchor.lat"), C("anchor.lon")), "name_score": F.lit(0.0), "address_score": F.lit(0.0)})
-    rule = resolve.pair_rule("row", "anchor", ["instagram.com", ""])
+        "distance_m": geo.haversine_m(C("row.lat"), C("row.lon"), C("anchor.lat"), C("anchor.lon")),
+        "name_score": indel_ratio(tok("row", "name"), tok("anchor", "name")), "address_score": indel_ratio(tok("row", "address"), tok("anchor", "address"))})
+    rule = resolve.pair_rule("row", "anchor", config.SHARED_DOMAINS)
     return pairs.select("record_id", rule.alias("r")).select("record_id", "r.confidence", "r.reason")
 
 
-def _records(t, phones=False):
-    g = views.geo(t)
-    phone = F.when(C("place_id") % 4 == 0, F.concat(F.lit("+62"), (C("place_id") % 40).cast("string"))) if phones else F.lit(None).cast("string")
-    return g.select(C("place_id").alias("record_id"), C("place_id").alias("seq"), F.lit("osm").alias("source"), C("name").alias("normalized_name"),
-                    F.lit(None).cast("string").alias("address"), phone.alias("phone"), F.lit(None).cast("string").alias("website"),
-                    C("lat").alias("latitude"), C("lon").alias("longitude"))
+def _records(t, shift=0):
+    return views.columns(t.customer, _person(shift)).withColumnsRenamed({"name": "normalized_name", "lat": "latitude", "lon": "longitude"})
 
 
-_cluster = f"(SELECT place_id AS record_id, min(place_id) OVER (PARTITION BY place_id - place_id % 5, name) AS canonical_id FROM {GEO})"
+def _resolve_sql(shift: int) -> str:
+    """One ordered pass: a record becomes an anchor unless an earlier anchor matches it; then each other record takes its best anchor."""
+    return f"""WITH RECURSIVE {_rules_sql(shift, 'a.ord < b.ord AND (a.phone = b.phone OR a.website = b.website OR abs(a.lat - b.lat) < 0.005 AND abs(a.lon - b.lon) < 0.006)')},
+m AS (SELECT oa, ob, rule FROM p WHERE rule.c > 0), l AS (SELECT ob, list(oa) AS l FROM m GROUP BY 1),
+walk AS (SELECT 0::BIGINT AS n, []::BIGINT[] AS anchors UNION ALL
+  SELECT n + 1, CASE WHEN l.l IS NOT NULL AND list_has_any(l.l, anchors) THEN anchors ELSE list_append(anchors, n + 1) END FROM walk LEFT JOIN l ON l.ob = n + 1 WHERE n < (SELECT count(*) FROM o)),
+anchor AS (SELECT unnest(anchors) AS a FROM (SELECT anchors FROM walk ORDER BY n DESC LIMIT 1)),
+best AS (SELECT ob, arg_min({{'a': oa, 'rule': rule}}, (-rule.c, oa)) AS b FROM m JOIN anchor ON oa = a WHERE ob NOT IN (SELECT a FROM anchor) GROUP BY 1),
+mapping AS (SELECT o.record_id, coalesce(t.record_id, o.record_id) AS canonical_id, coalesce(b.rule.c, 1.0)::DOUBLE AS confidence, CASE WHEN b IS NULL THEN 'new' ELSE 'merged' END AS match_status, coalesce(b.rule.r, 'new_record') AS dedup_reason
+  FROM o LEFT JOIN best ON best.ob = o.ord LEFT JOIN o t ON t.ord = b.a)"""
 
 
-@query("er04_resolve", f"""
-SELECT record_id, canonical_id, 1.0::DOUBLE AS confidence, CASE WHEN record_id = canonical_id THEN 'new' ELSE 'merged' END AS match_status,
-  CASE WHEN record_id = canonical_id THEN 'new_record' ELSE 'exact_name_distance_500m' END AS dedup_reason FROM {_cluster}""")
+@query("er04_resolve", _resolve_sql(0) + " SELECT * FROM mapping")
 def _(t):
     return resolve.resolve(_records(t))
 
@@ -197,26 +247,28 @@ def _(t):
         F.array_join("category_tags", ",").alias("tags"))
 
 
-@query("er06_mapping")
+@query("er06_mapping", _resolve_sql(3) + " SELECT * FROM mapping")
 def _(t):
-    return resolve.resolve(_records(t, phones=True))
+    """As er04 with other names, phones and sites at the points."""
+    return resolve.resolve(_records(t, 3))
 
 
-_annex = ("concat(lower(c_mktsegment), ' place', CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN ' annex' ELSE ' parkir' END)")
+_annex = ("concat(lower(c_mktsegment), CASE c_custkey % 4 WHEN 0 THEN ' place' WHEN 1 THEN ' place annex' WHEN 2 THEN ' place parkir' ELSE ' plaza' END)")
 _pc = [("place_id", "c_custkey"), ("nn", _annex), ("reg", "CASE WHEN c_custkey % 4 = 0 THEN '' ELSE concat('R', CAST(c_nationkey % 2 AS varchar(9))) END"), *views._point("0.0009")]
 
 
 @query("er07_parent_child", f"""
-WITH p AS {views.sql("customer", _pc)}, l AS (SELECT b.place_id AS child, a.place_id AS parent, least(a.place_id, b.place_id) AS lo, greatest(a.place_id, b.place_id) AS hi FROM p a JOIN p b
-  ON a.place_id - a.place_id % 5 = b.place_id - b.place_id % 5 AND a.place_id <> b.place_id AND a.nn <> b.nn AND contains(' ' || b.nn || ' ', ' ' || a.nn || ' ')
-  AND (a.reg = '' OR b.reg = '' OR a.reg = b.reg) AND {dist_sql('a', 'b')} <= 300),
-f AS (SELECT child, arg_min(parent, (lo, hi)) AS parent FROM l GROUP BY 1)
+WITH p AS {views.sql("customer", _pc)}, {_scores_sql('names', 'nn', 'p')},
+v AS (SELECT a.place_id AS i, b.place_id AS j, length(a.nn) < length(b.nn) AS shorter FROM p a JOIN p b ON a.place_id <> b.place_id AND abs(a.lat - b.lat) < 0.003 AND a.nn <> b.nn
+  AND (a.reg = '' OR b.reg = '' OR a.reg = b.reg) AND {dist_sql('a', 'b')} <= 300 JOIN names ON x = {_tokens_sql('a.nn')} AND y = {_tokens_sql('b.nn')}
+  WHERE contains(' ' || b.nn || ' ', ' ' || a.nn || ' ') OR contains(' ' || a.nn || ' ', ' ' || b.nn || ' ') OR score >= 80 AND score < 90),
+f AS (SELECT child, arg_min(parent, (i, j)) AS parent FROM (SELECT i, j, CASE WHEN shorter THEN i ELSE j END AS parent, CASE WHEN shorter THEN j ELSE i END AS child FROM v) GROUP BY 1)
 SELECT p.place_id, f.parent AS parent_id, CASE WHEN f.parent IS NOT NULL THEN CASE WHEN contains(nn, 'parkir') THEN 'supporting_facility' ELSE 'part_of' END
   WHEN p.place_id IN (SELECT parent FROM f) THEN 'same_place' END AS relationship, f.parent IS NOT NULL AS needs_review FROM p LEFT JOIN f ON f.child = p.place_id""")
 def _(t):
     p = views.columns(t.customer, _pc).select("place_id", C("place_id").alias("ord"), C("nn").alias("name"), C("nn").alias("normalized_name"),
                                               C("reg").alias("region"), C("lat").alias("latitude"), C("lon").alias("longitude"))
-    return resolve.parent_child(p, fuzzy=False)
+    return resolve.parent_child(p)
 
 
 _nd = views.geo_columns("0.0008")
@@ -232,7 +284,7 @@ def _(t):
     return resolve.near_duplicates(p)
 
 
-@query("er09_rekey", f"SELECT record_id AS place_id, canonical_id AS cluster_id FROM {_cluster}")
+@query("er09_rekey", _resolve_sql(0) + " SELECT record_id AS place_id, canonical_id AS cluster_id FROM mapping")
 def _(t):
     mapping = resolve.resolve(_records(t)).select(C("record_id").alias("place_id"), C("canonical_id").alias("cluster_id"))
     return views.geo(t).select("place_id").join(mapping, "place_id", "left")
