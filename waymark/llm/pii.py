@@ -16,6 +16,8 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from waymark.llm.store import saved
+
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "A-Za-z0-9._%+-"
 # The strict patterns. Possessive runs and look-behinds keep them linear and change no match:
@@ -44,21 +46,81 @@ YES_WORDS = {
 }
 NO_WORDS = r"(?i)\b(?:version|release|section|isbn|doi|build|invoice|order|serial|commit|chapter|figure)\b"
 CONTEXT = 40
-SPAN = "struct<start:int,end:int,hit:string>"
+SPAN = "struct<start:int,end:int,hit:string,before:string,after:string>"
+#: Items of a block whose running values are found by going through the block.
+STEP = 32
+
+
+def _let(value: Column, use) -> Column:
+    """use(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _none(kind: str) -> Column:
+    return F.from_json(F.lit("[]"), f"array<{kind}>")
+
+
+def _over(xs: Column, first: Column, stop: Column, combine, zero: Column) -> Column:
+    """combine over the elements from `first` to before `stop`."""
+    return F.when(stop > first, F.aggregate(F.sequence(first, stop - 1), zero, lambda a, i: combine(a, F.get(xs, i)))).otherwise(zero)
+
+
+def _blocks(xs: Column, combine, zero: Column) -> Column:
+    count = ((F.size(xs) + (STEP - 1)) / STEP).cast("int")
+    return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda k: _over(xs, k * STEP, F.least((k + 1) * STEP, F.size(xs)), combine, zero))).otherwise(F.array().cast("array<int>"))
+
+
+def running(numbers: Column, combine, zero: Column) -> Column:
+    """For each of an array's whole numbers, `combine` over those before it.
+
+    Blocks, blocks of blocks and so on are combined first; an element then looks at fewer than STEP of each level. No array is
+    carried along, which Spark would copy at every step, so the time grows with the elements, not with their square.
+    """
+    def at(levels: list):
+        def one(i):
+            value, stop = zero, i
+            for xs in levels[:-1]:
+                first = stop - stop % STEP
+                value = combine(value, _over(xs, first, stop, combine, zero))
+                stop = (first / STEP).cast("int")
+            return combine(value, _over(levels[-1], F.lit(0), stop, combine, zero))
+        return F.transform(F.sequence(F.lit(0), F.size(levels[0]) - 1), one)
+
+    def leveled(levels: list):
+        return at(levels) if len(levels) == 4 else _let(_blocks(levels[-1], combine, zero), lambda more: leveled([*levels, more]))
+
+    return F.when(F.size(numbers) > 0, _let(numbers, lambda xs: leveled([xs]))).otherwise(F.array().cast("array<int>"))
 
 
 def located(text: Column, pattern: str) -> Column:
-    """Start, end (code points, end exclusive) and text of all leftmost non-overlapping matches of a pattern that matches no empty text."""
-    pairs = F.arrays_zip(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    start = F.struct(F.lit(0).alias("pos"), F.from_json(F.lit("[]"), f"array<{SPAN}>").alias("out"))
+    """Start, end (code points, end exclusive), text, the CONTEXT characters before and the one after of all leftmost non-overlapping
+    matches of a pattern that matches no empty text."""
+    def last(c: Column) -> Column:
+        return F.right(c, F.lit(CONTEXT))
+
+    def placed(hits, pieces, begins):
+        def back(i, n):
+            """The last n matches and pieces before match i, joined."""
+            return F.array_join(F.transform(F.sequence(F.greatest(i - n, F.lit(0)), i), lambda j: F.concat(
+                F.when(j > F.greatest(i - n, F.lit(0)), last(F.get(hits, j - 1))).otherwise(""), last(F.get(pieces, j)))), "")
+
+        def one(i):
+            piece, following = F.get(pieces, i), F.get(pieces, i + 1)
+            # every match has a character, so CONTEXT matches always reach far enough
+            before = F.when(F.length(piece) >= CONTEXT, last(piece)).otherwise(_let(back(i, 2), lambda near: F.when((F.length(near) >= CONTEXT) | (i < 3), last(near)).otherwise(last(back(i, CONTEXT)))))
+            after = F.left(F.when(following != "", following).otherwise(F.coalesce(F.get(hits, i + 1), F.lit(""))), F.lit(1))
+            start = F.get(begins, i) + F.length(piece)
+            return F.struct(start.alias("start"), (start + F.length(F.get(hits, i))).alias("end"), F.get(hits, i).alias("hit"), before.alias("before"), after.alias("after"))
 
-    def step(acc, z):
-        at = acc["pos"] + F.length(z["0"])
-        end = at + F.length(z["1"])
-        return F.when(z["1"].isNull(), acc).otherwise(F.struct(
-            end.alias("pos"), F.array_append(acc["out"], F.struct(at.alias("start"), end.alias("end"), z["1"].alias("hit"))).alias("out")))
+        return F.transform(F.sequence(F.lit(0), F.size(hits) - 1), one)
 
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    def found(hits):
+        def cut(pieces):
+            sizes = F.transform(hits, lambda h, i: F.length(h) + F.length(F.get(pieces, i)))
+            return _let(running(sizes, lambda a, b: a + b, F.lit(0)), lambda begins: placed(hits, pieces, begins))
+        return F.when(F.size(hits) > 0, _let(F.split(text, pattern, -1), cut)).otherwise(_none(SPAN))
+
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), found)
 
 
 def _digits(c: Column) -> Column:
@@ -102,9 +164,8 @@ def _seen(kind: str, strict: bool, text: Column) -> Column:
     found = located(text, (STRICT if strict else LOOSE)[kind])
 
     def described(s):
-        hit = s["hit"]
-        before = F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
-        around = F.concat(F.substring(text, F.greatest(s["start"], F.lit(1)), F.least(s["start"], F.lit(1))), F.substring(text, s["end"] + 1, F.lit(1)))
+        hit, before = s["hit"], s["before"]
+        around = F.concat(F.right(before, F.lit(1)), s["after"])
         valid = _valid(kind, hit) if strict else F.lit(False)
         glued = F.regexp_like(around, F.lit(r"[\p{L}\p{N}@_]"))
         return F.struct(
@@ -181,14 +242,17 @@ def train(spark: SparkSession, rows: list[dict]) -> tuple[list[float], float] |
     return [float(x) for x in model.coefficients], float(model.intercept)
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5, only: list[str] | None = None) -> DataFrame:
     """The rows with `base` and `spans`: arrays of (kind, start, end) by kind as in KINDS, then start.
 
     `base` are the strict matches that pass their checks; `spans` adds loose candidates that the classifier gives at least
     `least` and that overlap no base span. Null and empty texts have none; repeated rows are treated alike; without
-    candidates of both sorts nothing is added.
+    candidates of both sorts nothing is added. If `only` names the columns wanted beside them, these and the candidates are
+    written once and read for both the counts and the result; else the texts are searched for each.
     """
     rows = with_candidates(docs, id_col, text_col)
+    if only is not None:
+        rows = saved(rows.select(*only, "seen"))
     counts = counted(rows)
     expectation_maximisation(counts)
     model = train(docs.sparkSession, counts) if counts else None
@@ -217,15 +281,27 @@ def listed(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in brackets; of overlapping spans the first gives the name and all are covered."""
+    """The text with every span replaced by its kind in brackets; of overlapping spans the first gives the name and all are covered.
+
+    The text is cut into blocks once and each part is taken from its own blocks, so long texts with many spans stay linear.
+    """
+    size = 512
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).alias("pos"), F.from_json(F.lit("[]"), "array<string>").alias("out"))
 
-    def step(acc, s):
-        fresh = F.struct(s["end"].alias("pos"), F.concat(acc["out"], F.array(
-            F.substring(text, acc["pos"] + 1, s["start"] - acc["pos"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))).alias("out"))
-        longer = F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), acc["out"].alias("out"))
-        return F.when(s["start"] >= acc["pos"], fresh).otherwise(longer)
+    def written(blocks):
+        def cut(a, b):
+            """Characters a to b (exclusive)."""
+            first, last = (a / size).cast("int"), ((b - 1) / size).cast("int")
+            head = F.substring(F.get(blocks, first), a % size + 1, b - a)
+            inner = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+            several = F.concat(head, inner, F.substring(F.get(blocks, last), F.lit(1), b - last * size))
+            return F.when(a >= b, "").when(first == last, head).otherwise(several)
+
+        def parts(ordered, covered):
+            written = F.transform(ordered, lambda s, i: F.when(s["start"] >= F.get(covered, i), F.concat(cut(F.get(covered, i), s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(""))
+            return F.concat(F.array_join(written, ""), cut(F.array_max(F.transform(ordered, lambda s: s["end"])), F.length(text)))
+
+        return _let(ordered, lambda xs: _let(running(F.transform(xs, lambda s: s["end"]), F.greatest, F.lit(0)), lambda covered: parts(xs, covered)))
 
-    done = F.aggregate(ordered, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["pos"] + 1, F.length(text))))
+    done = _let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0)), written)
     return F.when(text.isNull() | (F.size(spans) == 0), text).otherwise(done)
