@@ -14,7 +14,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
-from waymark.llm.store import checkpointed
+from waymark.llm.store import checkpointed, saved
 
 #: Labelled documents the document classifier is fitted on at most; the sites' statistics always cover all documents.
 MOST_LABELS = 20_000
@@ -93,8 +93,10 @@ def _sigmoid(x: Column) -> Column:
 
 
 def with_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None, most: int = MOST_LABELS,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(_row, _q) of every row: all its columns, and a struct of host, path, p_document, p_host, p_path and p_quality.
+                 id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """(_row, _q) of every row: all its columns (or those named in `keep`), and a struct of host, path, p_document, p_host, p_path and p_quality.
+
+    A text's features are computed once: rows and evidence are written to the shared folder and read for the sites and for the result.
 
     Host and path default to `source` and `lang`; nulls are sites of their own (empty name). The sites' table is broadcast
     while it is small (its rows are counted), else documents meet it on site and one of SALTS salts, so that a site with a
@@ -105,7 +107,8 @@ def with_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None,
     model = fit(docs, labels, most, id_col, text_col)
     own, ratio = evidence(F.col(text_col), model)
     salt = F.pmod(F.xxhash64(id_col, text_col), F.lit(SALTS)).cast("int").alias("_own_salt")
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.struct(host.alias("host"), path.alias("path"), own.alias("own"), ratio.alias("ratio")).alias("_e"), salt)
+    rows = docs.select(F.struct(*(keep or docs.columns)).alias("_row"), F.struct(host.alias("host"), path.alias("path"), own.alias("own"), ratio.alias("ratio")).alias("_e"), salt)
+    rows = saved(rows)
     table = checkpointed(sites(rows.select("_e.host", "_e.path", _sigmoid(F.col("_e.own")).alias("vote"))))
     if table.count() <= BROADCAST_SITES:
         site = table.select(F.struct("host", "path").alias("_site"), F.struct("p_host", "p_path").alias("_p"))
@@ -120,5 +123,5 @@ def with_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None,
 
 def classified(docs: DataFrame, labels: DataFrame, least: float = 0.5, most: int = MOST_LABELS) -> DataFrame:
     """(doc_id, host, path, p_document, p_host, p_path, p_quality, rejected) of every row; rejected where p_quality is below `least`."""
-    rows = with_quality(docs.select("doc_id", "text", "source", "lang"), labels, most=most)
+    rows = with_quality(docs.select("doc_id", "text", "source", "lang"), labels, most=most, keep=["doc_id"])
     return rows.select("_row.doc_id", "_q.*", (F.col("_q.p_quality") < least).alias("rejected"))
