@@ -146,8 +146,10 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, grain: int = 16, id_col: str
 
     `cut` has a row per piece (id, start, length 1 to capacity, ..); it is read several times, so it should be a table.
     A length counts as the next multiple of the grain while patterns are made, which costs half a grain of padding per
-    piece on average. No pieces give no rows.
+    piece on average. No pieces give no rows. The capacity must be a multiple of the grain.
     """
+    if capacity % grain:
+        raise ValueError(f"a capacity of {capacity} is no multiple of {grain}")
     units = F.ceil(F.col("length") / grain).cast("int")
     sized = cut.withColumn("_size", units)
     demand = {r["_size"]: r["n"] for r in sized.groupBy("_size").agg(F.count("*").alias("n")).collect()}
@@ -177,5 +179,10 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, grain: int = 16, id_col: str
 
 
 def packed(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = CAPACITY, grain: int = 16, with_ids: bool = False) -> DataFrame:
-    """Documents to packed pieces: encoded once, the pieces kept as a table."""
-    return pack(saved(pieces(docs, tokenizer_path, end_id, capacity, with_ids)), capacity, grain)
+    """Documents to packed pieces: encoded once, the pieces kept as a table. Ids stay out of the ranking and meet their pieces once, at the end."""
+    cut = pieces(docs, tokenizer_path, end_id, capacity, with_ids)
+    if not with_ids:
+        return pack(saved(cut), capacity, grain)
+    cut = saved(cut.withColumn("_piece", F.monotonically_increasing_id()))
+    placed = pack(cut.drop("ids"), capacity, grain)
+    return placed.join(cut.select("_piece", "ids"), "_piece").select(*[c for c in cut.columns if c != "_piece"], "sequence_id", "offset")
