@@ -1,9 +1,9 @@
 """Packing into fixed-length sequences as a cutting-stock problem, solved by column generation.
 
-Documents are cut into full sequences and a remainder. The histogram of remainder lengths (in grains) is the demand; the
-linear program over patterns starts from one-length patterns, a knapsack dynamic program prices new ones, and the solution
+Documents are cut into full sequences and a remainder. The histogram of remainder lengths (exact where short) is the demand; the
+linear program over patterns starts from greedily filled patterns, a knapsack dynamic program prices new ones, and the solution
 rounded down plus a first-fit for the few lengths left gives whole patterns with multiplicities. Only the histogram
-reaches the driver: its size is the capacity over the grain, whatever the corpus. Pieces are ranked within their length
+reaches the driver: its size follows from capacity and grain (384 sizes at most here), whatever the corpus. Pieces are ranked within their length
 and rank ranges map to pattern copies.
 """
 
@@ -13,7 +13,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from waymark.llm import text as T
 from waymark.llm.store import saved
@@ -50,43 +50,66 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int
 
 
 def knapsack(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Best value and counts of an unbounded knapsack; sizes ascending, items of no value stay out."""
-    best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    upto = np.searchsorted(sizes, np.arange(capacity + 1), "right")
-    for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
-        if k := upto[c]:
-            got = best[c - sizes[:k]] + values[:k]
-            j = int(got.argmax())
-            if got[j] > best[c] + 1e-12:
-                best[c], pick[c] = got[j], j
+    """Best value and counts of an unbounded knapsack; sizes ascending, items of no value stay out.
+
+    Item by item: with k copies of a size, cells that lie k sizes apart are compared, so one running maximum over the rows
+    of a table as wide as the size covers every number of copies. An item that smaller ones match is left out.
+    """
+    best, steps = np.zeros(capacity + 1), []
+    for j, (s, v) in enumerate(zip(sizes.tolist(), values.tolist())):
+        if v <= best[s] + 1e-12:
+            continue
+        rows = capacity // s + 1
+        grid = np.full(rows * s, -np.inf)
+        grid[:capacity + 1] = best
+        bonus = (np.arange(rows) * v)[:, None]
+        steps.append((j, s, v, best))
+        best = (np.maximum.accumulate(grid.reshape(rows, s) - bonus, 0) + bonus).ravel()[:capacity + 1]
     counts, c = np.zeros(len(sizes), np.int64), capacity
-    while c > 0:
-        if pick[c] < 0:
-            c -= 1
-        else:
-            counts[pick[c]] += 1
-            c -= sizes[pick[c]]
-    return float(best[capacity]), counts
+    for j, s, v, before in reversed(steps):
+        copies = np.arange(c // s + 1)
+        counts[j] = int((before[c - copies * s] + copies * v).argmax())
+        c -= int(counts[j]) * s
+    return float(values @ counts), counts
+
 
+def greedy_start(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """A feasible basis: pattern columns and how often each is used (fractions allowed).
 
-def column_generation(demand: dict[int, int], capacity: int, rounds: int = 4000) -> list[tuple[dict[int, int], int]]:
+    Each pattern is filled largest size first from the sizes still wanted and used until one of them is met. That size is its
+    column, and no later pattern holds it, so the columns are triangular.
+    """
+    columns, used = np.diag(capacity // sizes).astype(float), np.zeros(len(sizes))
+    rest = demand.copy()
+    while (rest > 0).any():
+        a, left = np.zeros(len(sizes)), capacity
+        for j in np.flatnonzero(rest > 0)[::-1]:
+            a[j], left = left // sizes[j], left % sizes[j]
+        held = np.flatnonzero(a)
+        r = held[(rest[held] / a[held]).argmin()]
+        used[r], columns[:, r] = rest[r] / a[r], a
+        rest = np.maximum(rest - used[r] * a, 0.0)
+        rest[r] = 0.0
+    return columns, used
+
+
+def column_generation(demand: dict[int, int], capacity: int, rounds: int = 4000, gap: float = 1e-5) -> list[tuple[dict[int, int], int]]:
     """Patterns {size: pieces} with their number of copies that meet the demand {size: pieces} exactly.
 
-    The linear program is solved by the revised simplex method on the pattern columns. `rounds` bounds the pricing steps;
-    reaching it leaves a feasible, less tight solution.
+    The linear program is solved by the revised simplex method on the pattern columns. It ends when no column prices in, or
+    when the Lagrangian bound of a round shows that `gap` of the sequences at most could be saved. `rounds` bounds the pricing
+    steps; reaching it leaves a feasible, less tight solution.
     """
     sizes = np.array(sorted(s for s, n in demand.items() if n > 0), np.int64)
     if not len(sizes):
         return []
     d = np.array([demand[int(s)] for s in sizes], float)
-    m = len(sizes)
-    columns = np.diag(capacity // sizes).astype(float)
-    inverse = np.diag(1.0 / (capacity // sizes))
-    x = inverse @ d
+    columns, x = greedy_start(sizes, d, capacity)
+    inverse = np.linalg.inv(columns)
     for step in range(rounds):
-        value, a = knapsack(sizes, np.maximum(inverse.sum(0), 0.0), capacity)
-        if value <= 1 + 1e-7:
+        duals = np.maximum(inverse.sum(0), 0.0)
+        value, a = knapsack(sizes, duals, capacity)
+        if value <= 1 + 1e-7 or x.sum() - d @ duals / value <= gap * x.sum():
             break
         y = inverse @ a
         ok = y > 1e-9
@@ -120,14 +143,15 @@ def first_fit(rest: dict[int, int], capacity: int) -> list[tuple[dict[int, int],
     """What rounding left over, largest first into the fullest pattern that holds it."""
     open_: list[list] = []
     for s in sorted(rest, reverse=True):
-        for _ in range(rest[s]):
-            fits = [b for b in open_ if b[0] >= s]
-            if fits:
-                b = min(fits, key=lambda b: b[0])
-            else:
+        n = rest[s]
+        while n:
+            b = min((b for b in open_ if b[0] >= s), key=lambda b: b[0], default=None)
+            if b is None:
                 open_.append(b := [capacity, {}])
-            b[0] -= s
-            b[1][s] = b[1].get(s, 0) + 1
+            k = min(n, b[0] // s)
+            b[0] -= k * s
+            b[1][s] = b[1].get(s, 0) + k
+            n -= k
     return [(b[1], 1) for b in open_]
 
 
@@ -141,21 +165,27 @@ def ranked(df: DataFrame, group: str, order: list[str], name: str, rows: int) ->
     return local.join(before, [group, "_b"]).withColumn(name, F.col("_r") + F.col("_before")).drop("_b", "_r", "_before")
 
 
+def counted_length(length: Column, capacity: int, grain: int) -> Column:
+    """The size a length counts as: the next multiple of its step, never above the capacity."""
+    steps = [2**k for k in range(1, grain.bit_length()) if 2**k < grain] + [grain]
+    step = F.greatest(F.lit(1), F.lit(1), *[F.when(length > 32 * s, s).otherwise(1) for s in steps])
+    return F.least(F.ceil(length / step) * step, F.lit(capacity)).cast("int")
+
+
 def pack(cut: DataFrame, capacity: int = CAPACITY, grain: int = 16, id_col: str = "doc_id") -> DataFrame:
     """The pieces with sequence_id and offset: no sequence is longer than the capacity, offsets have no gaps.
 
     `cut` has a row per piece (id, start, length 1 to capacity, ..); it is read several times, so it should be a table.
-    A length counts as the next multiple of the grain while patterns are made, which costs half a grain of padding per
-    piece on average. No pieces give no rows. The capacity must be a multiple of the grain.
+    While patterns are made a length counts as the next multiple of a step of at most a 32nd of it (1 up to 64 tokens, then
+    2, 4, ..) and at most the grain, so short pieces have exact sizes and padding stays within a few per cent. No pieces
+    give no rows. The capacity must be a multiple of the grain.
     """
     if capacity % grain:
         raise ValueError(f"a capacity of {capacity} is no multiple of {grain}")
-    units = F.ceil(F.col("length") / grain).cast("int")
-    sized = cut.withColumn("_size", units)
+    sized = cut.withColumn("_size", counted_length(F.col("length"), capacity, grain))
     demand = {r["_size"]: r["n"] for r in sized.groupBy("_size").agg(F.count("*").alias("n")).collect()}
-    limit = capacity // grain
-    plan = [({limit: 1}, demand.pop(limit))] if limit in demand else []
-    plan += column_generation(demand, limit)
+    plan = [({capacity: 1}, demand.pop(capacity))] if capacity in demand else []
+    plan += column_generation(demand, capacity)
     total = sum(n * k for p, n in plan for k in p.values())
     # per size: rank ranges [.., end) with the first sequence and the pieces per sequence of the pattern that takes them
     ranges: dict[int, list[tuple[int, int, int, int]]] = {}
