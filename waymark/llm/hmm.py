@@ -1,12 +1,14 @@
 """Hidden Markov language model.
 
-Words with the largest training counts are symbols of their own (`vocabulary` of them), all others share one symbol per
-text position and are told apart by their smoothed training counts, so the model covers every word; the end of a text is a
-symbol too. A start state is drawn, then every token is a transition and an emission.
-
-Baum-Welch starts on a bounded sample and then runs over all training texts: each task sums expected counts over its texts,
-Spark sums them over tasks. Exact likelihoods come from the scaled forward recursion. Texts are cut into segments whose
-transfer matrices are multiplied up side by side and then chained per text: the same sums as token by token.
+Every word of the training texts has emission counts of its own and the end of a text is a symbol too; a word that training
+has not seen is one more symbol. A start state is drawn, then every token is a transition and an emission.
+
+Baum-Welch runs all its rounds over all training texts. The texts are cut once into parts of whole texts, written as
+numbers of the part's own distinct words. A round is an E-step per part (expected counts of the part's words), a sum over
+parts per range of word hashes, and a table of sums laid out by part, from which the parts read their words' emissions in
+the next round. So the emission table is as long as the vocabulary, no task or driver holds it whole, and nothing but the
+transition matrix and totals travels with the tasks. Exact likelihoods come from the scaled forward recursion; only texts
+longer than a segment need transfer matrices, which are multiplied up side by side and chained per text.
 """
 
 from __future__ import annotations
@@ -16,49 +18,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from waymark.llm import text as T
-from waymark.llm.store import saved
+from waymark.llm.store import opened, remove, saved, shared_folder
 
-SEGMENT = 64
+SEGMENT = 1024
 RESCALE = 8
+SMOOTH = 4.0
+STATS = -1  # the part of rows that hold totals
 
 
 @dataclass
 class Model:
-    """Start, transition and emission probabilities; symbols are the places in `words` (ascending hashes), then rare, then end."""
+    """Start, transition and emission probabilities; `emit` has a row per symbol."""
 
-    words: np.ndarray
     start: np.ndarray
     move: np.ndarray
-    emit: np.ndarray  # symbols x states
-
-    @property
-    def rare(self) -> int:
-        return len(self.words)
-
-    @property
-    def end(self) -> int:
-        return len(self.words) + 1
-
-
-def symbols(words: np.ndarray, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of the texts in a row with an end after each, the first place of each text, and the hashes (0 at ends)."""
-    block = T.WordBlock(texts)
-    n = np.diff(block.first)
-    first = np.concatenate(([0], np.cumsum(n + 1)))
-    hashes = np.zeros(first[-1], np.uint64)
-    inside = np.ones(first[-1], bool)
-    inside[first[1:] - 1] = False
-    hashes[inside] = block.hashes
-    out = np.full(first[-1], len(words) + 1, np.int64)
-    if len(words):
-        at = np.minimum(np.searchsorted(words, block.hashes), len(words) - 1)
-        out[inside] = np.where(words[at] == block.hashes, at, len(words))
-    else:
-        out[inside] = 0
-    return out, first, hashes
+    emit: np.ndarray
 
 
 class Lattice:
@@ -68,191 +47,331 @@ class Lattice:
         self.model, self.sym = model, sym
         length = np.diff(first)
         count = -(-length // SEGMENT)
-        self.doc = np.repeat(np.arange(len(length)), count)
-        self.place = np.arange(len(self.doc)) - np.repeat(np.cumsum(count) - count, count)
-        begin = first[:-1][self.doc] + self.place * SEGMENT
-        size = np.minimum(SEGMENT, first[1:][self.doc] - begin)
+        doc = np.repeat(np.arange(len(length)), count)
+        place = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+        begin = first[:-1][doc] + place * SEGMENT
+        size = np.minimum(SEGMENT, first[1:][doc] - begin)
         order = np.argsort(-size, kind="stable")
-        self.doc, self.place, self.begin, self.size = self.doc[order], self.place[order], begin[order], size[order]
-        self.active = np.searchsorted(-self.size, -np.arange(SEGMENT), "left")  # segments longer than t
+        self.doc, self.place, self.begin, self.size = doc[order], place[order], begin[order], size[order]
+        self.steps = int(size.max()) if len(size) else 0
+        self.active = np.searchsorted(-self.size, -np.arange(self.steps), "left")  # segments longer than t
         self.n_docs = len(length)
-        # segments by place: one of each text at most
-        by_place = np.argsort(self.place, kind="stable")
+        # segments of texts that have several, and those by place: one of each text at most
+        self.chained = np.flatnonzero(count[self.doc] > 1)
+        by_place = self.chained[np.argsort(self.place[self.chained], kind="stable")]
         self.rounds = np.split(by_place, np.flatnonzero(np.diff(self.place[by_place])) + 1) if len(by_place) else []
 
     def seen(self, t: int) -> tuple[np.ndarray, np.ndarray]:
         at = self.begin[:self.active[t]] + t
         return at, self.model.emit[self.sym[at]]
 
-    def transfer(self) -> None:
-        """Scaled product of transition and emission matrices of every segment."""
-        k = len(self.model.start)
-        m = np.tile(np.eye(k), (len(self.doc), 1, 1))
-        self.scale = np.zeros(len(self.doc))
-        for t in range(SEGMENT):
-            a = self.active[t]
+    def transfer(self) -> np.ndarray:
+        """Products of transition and emission matrices of the chained segments, each up to a factor."""
+        k, segs = len(self.model.start), self.chained
+        m = np.tile(np.eye(k), (len(segs), 1, 1))
+        active = np.searchsorted(-self.size[segs], -np.arange(self.steps), "left")
+        for t, a in enumerate(active):
             if not a:
                 break
-            _, b = self.seen(t)
+            b = self.model.emit[self.sym[self.begin[segs[:a]] + t]]
             m[:a] = (m[:a].reshape(-1, k) @ self.model.move).reshape(a, k, k) * b[:, None, :]
             if t % RESCALE == RESCALE - 1:
-                s = m[:a].max((1, 2))
-                m[:a] /= s[:, None, None]
-                self.scale[:a] += np.log(s)
-        self.matrix = m
-
-    def forward(self) -> np.ndarray:
-        """Natural log-likelihood of every text; keeps the state distribution before every segment."""
-        self.transfer()
+                m[:a] /= m[:a].max((1, 2))[:, None, None]
+        out = np.zeros((len(self.doc), k, k)) if len(segs) else np.zeros((0, k, k))
+        if len(segs):
+            out[segs] = m
+        return out
+
+    def forward(self, keep: list | None = None) -> np.ndarray:
+        """Natural log-likelihood of every text; the state distributions before every step go to `keep`."""
         k = len(self.model.start)
-        alpha = np.tile(self.model.start, (self.n_docs, 1))
-        total = np.zeros(self.n_docs)
-        self.before = np.zeros((len(self.doc), k))
+        self.matrix = self.transfer()
+        state = np.tile(self.model.start, (self.n_docs, 1))
+        alpha = np.tile(self.model.start, (len(self.doc), 1))
         for segs in self.rounds:
             d = self.doc[segs]
-            self.before[segs] = alpha[d]
-            a = np.einsum("ns,nst->nt", alpha[d], self.matrix[segs])
-            s = a.sum(1)
-            alpha[d] = a / s[:, None]
-            total[d] += np.log(s) + self.scale[segs]
-        return total
+            alpha[segs] = state[d]
+            a = np.einsum("ns,nst->nt", state[d], self.matrix[segs])
+            state[d] = a / a.sum(1)[:, None]
+        logs = np.zeros(len(self.doc))
+        if keep is not None:
+            keep.append(alpha)
+        for t in range(self.steps):
+            _, b = self.seen(t)
+            x = (alpha[:len(b)] @ self.model.move) * b
+            s = x @ np.ones(k)
+            alpha = x / s[:, None]
+            logs[:len(b)] += np.log(s)
+            if keep is not None:
+                keep.append(alpha)
+        return np.bincount(self.doc, logs, minlength=self.n_docs)
 
     def expected(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
         """Expected emission, transition and start counts and the log-likelihood of all texts."""
         model, k = self.model, len(self.model.start)
-        total = self.forward()
-        after = np.ones((len(self.doc), k))
-        beta = np.ones((self.n_docs, k))
+        alphas: list[np.ndarray] = []
+        total = self.forward(alphas)
+        beta = np.ones((len(self.doc), k))
+        state = np.ones((self.n_docs, k))
         for segs in reversed(self.rounds):
             d = self.doc[segs]
-            after[segs] = beta[d]
-            b = np.einsum("nst,nt->ns", self.matrix[segs], beta[d])
-            beta[d] = b / b.sum(1)[:, None]
-        begin = model.start * beta
-        begin = (begin / begin.sum(1)[:, None]).sum(0)
-        alphas = [self.before]
-        for t in range(SEGMENT):
-            a, = (self.active[t],)
-            if not a:
-                break
-            _, b = self.seen(t)
-            x = (alphas[-1][:a] @ model.move) * b
-            alphas.append(x / x.sum(1)[:, None])
+            beta[segs] = state[d]
+            b = np.einsum("nst,nt->ns", self.matrix[segs], state[d])
+            state[d] = b / b.sum(1)[:, None]
         emitted = np.zeros((len(self.sym), k))
         moved = np.zeros((k, k))
-        beta = after
-        for t in range(len(alphas) - 2, -1, -1):
-            a = self.active[t]
+        one = np.ones(k)
+        for t in range(self.steps - 1, -1, -1):
             at, b = self.seen(t)
+            a = len(at)
             g = alphas[t + 1] * beta[:a]
-            emitted[at] = g / g.sum(1)[:, None]
+            emitted[at] = g / (g @ one)[:, None]
             w = b * beta[:a]
-            past = alphas[t][:a]
-            norm = ((past @ model.move) * w).sum(1)
-            moved += past.T @ (w / norm[:, None])
             back = w @ model.move.T
-            beta[:a] = back / back.sum(1)[:, None]
-        counts = np.stack([np.bincount(self.sym, emitted[:, s], minlength=len(model.words) + 2) for s in range(k)], 1)
-        return counts, moved * model.move, begin, float(total.sum())
+            past = alphas[t][:a]
+            moved += past.T @ (w / ((past * back) @ one)[:, None])
+            beta[:a] = back / (back @ one)[:, None]
+        begin = model.start * beta[self.place == 0]
+        counts = np.stack([np.bincount(self.sym, emitted[:, s], minlength=len(model.emit)) for s in range(k)], 1)
+        return counts, moved * model.move, (begin / begin.sum(1)[:, None]).sum(0), float(total.sum())
+
 
+@dataclass
+class Totals:
+    """What tasks need beside the counts of their own words."""
 
-def maximised(words: np.ndarray, share: np.ndarray, counts: np.ndarray, moved: np.ndarray, begin: np.ndarray, smooth: float = 4.0) -> Model:
-    """Probabilities from expected counts.
+    states: int
+    words: float  # training words
+    types: float  # distinct training words
+    ends: int
+    start: np.ndarray
+    move: np.ndarray
+    shares: np.ndarray  # of the states
+    end_counts: np.ndarray
+    norm: np.ndarray  # sum of all symbols' weights, by state
+
+    @property
+    def mass(self) -> float:
+        """All smoothed training counts: 0.5 more for every word, the end and an unknown word."""
+        return self.words + self.ends + 0.5 * (self.types + (self.ends > 0) + 1)
 
-    A symbol's posterior over the states is smoothed with `smooth` counts towards the overall shares of the states, and its
-    emissions are its overall share times that posterior over the state's share: a rare symbol stays near the unigram model.
+
+def noise(words: np.ndarray, states: int) -> np.ndarray:
+    """Exponential draws by word and state, from the word's hash: where Baum-Welch starts."""
+    seeds = np.arange(1, states + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    u = (T.mixed(words[:, None] ^ seeds[None, :]) >> np.uint64(11)).astype(float) / 2.0**53
+    return 0.1 - np.log1p(-u)
+
+
+def emissions(words: np.ndarray, n: np.ndarray, sums: np.ndarray | None, of: Totals) -> np.ndarray:
+    """Emission rows of words with training counts `n` and expected counts `sums`, then the end's.
+
+    A word's posterior over the states is smoothed with SMOOTH counts towards the overall shares of the states, and its
+    emissions are its smoothed share times that posterior over the state's share: a rare word stays near the unigram
+    model and an unknown one is there.
     """
-    states = (counts.sum(0) + 1.0) / (counts.sum(0) + 1.0).sum()
-    post = (counts + smooth * states) / (counts.sum(1) + smooth)[:, None]
-    emit = share[:, None] * post / states
-    move = (moved + 1.0) / (moved + 1.0).sum(1)[:, None]
-    return Model(words, (begin + 1.0) / (begin + 1.0).sum(), move, emit / emit.sum(0))
+    weight = np.append(n + 0.5, of.ends + 0.5)[:, None] / of.mass
+    if sums is None:
+        lean = np.vstack((np.where(n[:, None] > 0, noise(words, of.states), 1.0), np.ones(of.states)))
+    else:
+        c = np.vstack((sums, of.end_counts))
+        lean = (c + SMOOTH * of.shares) / (np.append(n, of.ends)[:, None] + SMOOTH) / of.shares
+    return weight * lean / of.norm
+
 
+def parted(rows: DataFrame, id_col: str, text_col: str, part_chars: int) -> DataFrame:
+    """Parts of whole texts (about `part_chars` characters): ids, marks, the sorted hashes of the part's words, and the
+    texts in a row as places among them, with an end (the number of words) after each text."""
+    kind = rows.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        task, made, held, chars = TaskContext.get().partitionId(), 0, [], 0
+
+        def part():
+            ids, marks, hashes, lengths = zip(*held)
+            words, at = np.unique(np.concatenate(hashes), return_inverse=True)
+            lengths = np.concatenate(lengths)
+            first = np.concatenate(([0], np.cumsum(lengths + 1)))
+            sym = np.full(first[-1], len(words), np.int32)
+            inside = np.ones(first[-1], bool)
+            inside[first[1:] - 1] = False
+            sym[inside] = at
+            whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(lengths)], pa.int32()), pa.concat_arrays(x))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([task << 24 | made]), whole(ids), whole(marks), pa.array([len(words)], pa.int64()), pa.array([words.tobytes()]), pa.array([first.astype(np.int64).tobytes()]),
+                 pa.array([sym.tobytes()])], names=["part", "ids", "marks", "n_words", "words", "first", "sym"])
+
+        for b in batches:
+            sizes = [len(t or "") for t in b.column(1).to_pylist()]
+            for lo, hi in T.blocks(sizes, min(part_chars, 1 << 20)):
+                block = T.WordBlock(b.column(1).slice(lo, hi - lo).to_pylist())
+                held.append((b.column(0).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo), block.hashes, np.diff(block.first)))
+                chars += sum(sizes[lo:hi])
+                if chars >= part_chars:
+                    yield part()
+                    made, held, chars = made + 1, [], 0
+        if held:
+            yield part()
+
+    return saved(rows.select(id_col, text_col, "held_out").mapInArrow(
+        run, f"part long, ids array<{kind}>, marks array<boolean>, n_words long, words binary, first binary, sym binary"))
+
+
+def _piece(folder: str, part: int, dtype, width: int) -> np.ndarray:
+    """A part's sums in the order of its words."""
+    fs, path = opened(folder)
+    t = pq.read_table(f"{path}/part={part}", filesystem=fs, partitioning=None).sort_by("bucket")
+    return np.frombuffer(b"".join(t.column("data").to_pylist()), dtype).reshape(-1, width)
+
+
+def _loaded(batch, i: int, counts: str | None, sums: str | None, of: Totals | None):
+    part = batch.column("part")[i].as_py()
+    array = lambda c, d: np.frombuffer(batch.column(c)[i].as_buffer() or b"", d)
+    words, first, sym = array("words", np.uint64), array("first", np.int64), array("sym", np.int32)
+    if counts is None:
+        return part, words, first, sym, None, None
+    n = _piece(counts, part, np.float64, 1)[:, 0] if len(words) else np.zeros(0)
+    c = _piece(sums, part, np.float32, of.states).astype(float) if sums and len(words) else None if not sums else np.zeros((0, of.states))
+    return part, words, first, sym, n, emissions(words, n, c, of)
+
+
+def _texts(first: np.ndarray, sym: np.ndarray, chosen: np.ndarray, limit: int = 1 << 18):
+    """The chosen texts in runs of about `limit` tokens, of like length (few steps do for a run): (numbers, places, firsts)."""
+    size = np.diff(first)[chosen]
+    order = np.argsort(size, kind="stable")
+    for lo, hi in T.blocks(size[order].tolist(), limit):
+        docs = chosen[order[lo:hi]]
+        n = size[order[lo:hi]]
+        begin = np.concatenate(([0], np.cumsum(n)))
+        yield docs, sym[np.arange(begin[-1]) + np.repeat(first[docs] - begin[:-1], n)], begin
+
+
+def _training(batch, i: int) -> np.ndarray:
+    return np.flatnonzero(~np.asarray(batch.column("marks")[i].values.to_numpy(zero_copy_only=False), bool))
 
-def initial(words: np.ndarray, share: np.ndarray, states: int, seed: int = 5) -> Model:
-    """States that mostly stay, with emissions at random around the overall shares."""
-    rng = np.random.default_rng(seed)
-    emit = share[:, None] * rng.gamma(1.0, 1.0, (len(share), states)) + share[:, None] * 0.1
-    move = np.full((states, states), 0.05 / max(states - 1, 1)) + np.eye(states) * (0.95 - 0.05 / max(states - 1, 1))
-    return Model(words, np.full(states, 1 / states), move / move.sum(1)[:, None], emit / emit.sum(0))
 
+def _cut(part: int, words: np.ndarray, data: np.ndarray, stats: np.ndarray, buckets: int):
+    """One row per range of word hashes, and one with totals."""
+    bucket = ((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(words)])) if len(words) else np.zeros(1, int)
+    spans = list(zip(edges[:-1], edges[1:]))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([int(bucket[a]) for a, _ in spans] + [-1 - part % 64], pa.int64()), pa.array([part] * (len(spans) + 1), pa.int64()),
+         pa.array([words[a:b].tobytes() for a, b in spans] + [b""]), pa.array([data[a:b].tobytes() for a, b in spans] + [stats.tobytes()])],
+        names=["bucket", "part", "words", "data"])
 
-def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(h, n): every word's 64-bit hash and its count in all texts."""
 
-    def run(batch):
-        h, n = np.unique(T.WordBlock(batch.column(0).to_pylist()).hashes, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
+_BLOCKS = "bucket long, part long, words binary, data binary"
+_SUMS = "part long, bucket long, data binary, of_words array<double>, of_parts array<double>"
 
-    return T.mapped(docs.select(text_col), run, "h long, n long", text_col).groupBy("h").agg(F.sum("n").alias("n"))
 
+def _summed(blocks: DataFrame, folder: str, dtype, width: int, totals, n_words: int, n_parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Adds the blocks of each range over parts, writes every part's sums below `folder` and returns the totals of words and of parts.
+
+    `totals(words, sums)` gives `n_words` numbers of a range; the `n_parts` numbers of the parts are added up beside them.
+    """
+
+    def run(key, table):
+        data, parts, bucket = table.column("data").to_pylist(), table.column("part").to_pylist(), key[0].as_py()
+        lists = pa.list_(pa.float64())
+        if bucket < 0:
+            own = [np.sum([np.frombuffer(d) for d in data], 0).tolist()]
+            columns = [STATS], [None], [None], own
+        else:
+            words = [np.frombuffer(w, np.uint64) for w in table.column("words").to_pylist()]
+            uniq, at = np.unique(np.concatenate(words), return_inverse=True)
+            rows = np.frombuffer(b"".join(data), dtype).reshape(-1, width)
+            sums = np.stack([np.bincount(at, rows[:, s], minlength=len(uniq)) for s in range(width)], 1)
+            out = [sums[a].astype(dtype).tobytes() for a in np.split(at, np.cumsum([len(w) for w in words])[:-1])]
+            blank = [None] * len(out)
+            columns = parts + [STATS], out + [None], blank + [totals(uniq, sums).tolist()], blank + [None]
+        kinds = pa.int64(), pa.binary(), lists, lists
+        part, found, of_words, of_parts = (pa.array(c, t) for c, t in zip(columns, kinds))
+        return pa.table([part, pa.array([bucket] * len(part), pa.int64()), found, of_words, of_parts], names=["part", "bucket", "data", "of_words", "of_parts"])
+
+    blocks.groupBy("bucket").applyInArrow(run, _SUMS).repartition("part").write.partitionBy("part").parquet(folder)
+    stats = blocks.sparkSession.read.schema(_SUMS).parquet(folder).filter(F.col("part") == STATS)
+    got = stats.agg(*[F.sum(F.col("of_words")[i]) for i in range(n_words)], *[F.sum(F.col("of_parts")[i]) for i in range(n_parts)]).first()
+    got = np.array([x or 0.0 for x in got])
+    return got[:n_words], got[n_words:]
+
+
+@dataclass
+class Trained:
+    """A fitted model: its totals, the folders of training counts and expected counts by part, and the log-likelihood before each round."""
+
+    of: Totals
+    counts: str
+    sums: str | None
+    log_likelihoods: list[float]
 
-def frequent(counts: DataFrame, most: int) -> list:
-    """The `most` words with the largest counts, ties by hash.
 
-    The lowest count that can matter is read from the number of words per count first, so that tasks do not each hand on
-    `most` rows of which few are needed.
+def baum_welch(parts: DataFrame, states: int = 8, rounds: int = 6, tolerance: float = 1e-3, range_words: int = 500_000) -> Trained:
+    """Rounds over all training texts until the log-likelihood rises by less than `tolerance` of itself, `rounds` at most.
+
+    Word ranges are made so that the parts bring about `range_words` rows to each. Every round's sums are a table of their
+    own in the shared folder, so a lost executor costs its tasks only; the table before is removed.
     """
-    per_count = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.col("n").desc()).limit(most).collect()
-    reached, least = 0, 0
-    for r in per_count:
-        reached, least = reached + r.words, r.n
-        if reached >= most:
+    k = states
+    one = parts.agg(F.sum("n_words").alias("pairs"), F.sum(F.size(F.filter("marks", lambda m: ~m))).alias("ends")).first()
+    buckets, ends = max(1, -(-(one.pairs or 0) // range_words)), one.ends or 0
+    base = shared_folder(parts.sparkSession)
+
+    def counted(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                part, words, first, sym, *_ = _loaded(b, i, None, None, None)
+                n = np.zeros(len(words) + 1)
+                for _, s, _ in _texts(first, sym, _training(b, i)):
+                    n += np.bincount(s, minlength=len(n))
+                yield from _cut(part, words, n[:-1], np.zeros(1), buckets)
+
+    def count_totals(words, sums):
+        n = sums[:, 0]
+        return np.concatenate(([n.sum(), (n > 0).sum()], ((n + 0.5) * (n > 0)) @ noise(words, k)))
+
+    counts = f"{base}/counts"
+    got, _ = _summed(parts.mapInArrow(counted, _BLOCKS), counts, np.float64, 1, count_totals, 2 + k, 1)
+    stay = np.full((k, k), 0.05 / max(k - 1, 1)) + np.eye(k) * (0.95 - 0.05 / max(k - 1, 1))
+    of = Totals(k, got[0], got[1], ends, np.full(k, 1 / k), stay / stay.sum(1)[:, None], np.full(k, 1 / k), np.zeros(k), np.ones(k))
+    of.norm = (got[2:] + (ends + 0.5) * (ends > 0) + 0.5) / of.mass
+    sums, seen = None, []
+    for r in range(rounds if ends else 0):
+        of, fresh, total = _round(parts, counts, sums, f"{base}/sums-{r}", of, buckets)
+        if sums:
+            remove(sums)
+        sums = fresh
+        seen.append(total)
+        if r and seen[-1] - seen[-2] < tolerance * abs(seen[-2]):
             break
-    return counts.filter(F.col("n") >= least).orderBy(F.col("n").desc(), "h").limit(most).collect()
+    return Trained(of, counts, sums, seen)
 
 
-def baum_welch(docs: DataFrame, model: Model, share: np.ndarray, text_col: str = "text") -> tuple[Model, float]:
-    """One round over all texts: expected counts summed in each task, then over tasks; the new model and the old one's log-likelihood."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    k = len(model.start)
-    names = [f"c{s}" for s in range(k)]
+def _round(parts: DataFrame, counts: str, sums: str | None, folder: str, of: Totals, buckets: int) -> tuple[Totals, str, float]:
+    k, mass = of.states, of.mass
 
     def run(batches):
-        sums, m = None, shared.value
         for b in batches:
-            texts = b.column(0).to_pylist()
-            for lo, hi in T.blocks([len(t or "") for t in texts], 1 << 20):
-                sym, first, _ = symbols(m.words, texts[lo:hi])
-                counts, moved, begin, total = Lattice(sym, first, m).expected()
-                extra = np.zeros((k + 2, k))
-                extra[:k], extra[k], extra[k + 1, 0] = moved, begin, total
-                sums = (counts, extra) if sums is None else (sums[0] + counts, sums[1] + extra)
-        if sums is not None:
-            rows = np.concatenate(sums)
-            keep = np.flatnonzero(rows.any(1))
-            for part in np.array_split(keep, max(1, len(keep) // 20_000)):
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), *(pa.array(rows[part, s]) for s in range(k))], names=["row", *names])
-
-    parts = docs.select(text_col).mapInArrow(run, "row long, " + ", ".join(f"{c} double" for c in names))
-    got = parts.groupBy("row").agg(*[F.sum(c).alias(c) for c in names]).collect()
-    n = len(model.words) + 2
-    sums = np.zeros((n + k + 2, k))
-    for r in got:
-        sums[r.row] = [r[c] for c in names]
-    return maximised(model.words, share, sums[:n], sums[n:n + k], sums[n + k]), float(sums[n + k + 1, 0])
-
-
-def warm_start(docs: DataFrame, model: Model, share: np.ndarray, id_col: str, text_col: str, sample: int, most_chars: int = 4_000_000, rounds: int = 12) -> Model:
-    """A few rounds on whole texts of at most `sample` documents (smallest id hashes) and `most_chars` characters; only the start of the training."""
-    sized = docs.select(F.xxhash64(id_col).alias("k"), F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("c"), F.col(text_col).alias("t"))
-    fit = sized.filter(F.col("c") <= most_chars // 40)
-    texts, chars = [], 0
-    for r in fit.orderBy("k", "t").limit(sample).toLocalIterator():
-        if chars + r.c > most_chars:
-            break
-        texts.append(r.t)
-        chars += r.c
-    if not texts:
-        return model
-    runs = [symbols(model.words, texts[lo:hi])[:2] for lo, hi in T.blocks([len(t or "") for t in texts], 1 << 20)]
-    for _ in range(rounds):
-        sums = None
-        for sym, first in runs:
-            got = Lattice(sym, first, model).expected()
-            sums = got if sums is None else tuple(a + b for a, b in zip(sums, got))
-        model = maximised(model.words, share, *sums[:3])
-    return model
+            for i in range(b.num_rows):
+                part, words, first, sym, n, emit = _loaded(b, i, counts, sums, of)
+                model = Model(of.start, of.move, emit)
+                c, moved, begin, total = np.zeros((len(words) + 1, k)), np.zeros((k, k)), np.zeros(k), 0.0
+                for _, s, f in _texts(first, sym, _training(b, i)):
+                    got = Lattice(s, f, model).expected()
+                    c, moved, begin, total = c + got[0], moved + got[1], begin + got[2], total + got[3]
+                yield from _cut(part, words, c[:-1].astype(np.float32), np.concatenate((c[-1], moved.ravel(), begin, [total])), buckets)
+
+    def totals(words, c):
+        n = np.rint(c.sum(1))
+        weight = np.where(n > 0, (n + 0.5) / (n + SMOOTH), 0.0) / mass
+        return np.concatenate((weight @ c, [SMOOTH * weight.sum()], c.sum(0)))
+
+    got, own = _summed(parts.mapInArrow(run, _BLOCKS), folder, np.float32, k, totals, 2 * k + 1, 2 * k + k * k + 1)
+    end_counts, moved, begin = own[:k], own[k:k + k * k].reshape(k, k) + 1.0, own[k + k * k:2 * k + k * k] + 1.0
+    shares = got[k + 1:] + end_counts + 1.0
+    shares /= shares.sum()
+    norm = got[:k] / shares + got[k] + (of.ends + 0.5) / mass * (end_counts + SMOOTH * shares) / (of.ends + SMOOTH) / shares + 0.5 / mass
+    return Totals(k, of.words, of.types, of.ends, begin / begin.sum(), moved / moved.sum(1)[:, None], shares, end_counts, norm), folder, float(own[-1])
 
 
 def is_held_out(id_col: str = "doc_id") -> Column:
@@ -260,55 +379,34 @@ def is_held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5)) == 1, F.lit(False))
 
 
-def scored(docs: DataFrame, held_out: Column | None = None, states: int = 8, vocabulary: int = 65_536, rounds: int = 2, sample: int = 1500,
+def scored(docs: DataFrame, held_out: Column | None = None, states: int = 8, rounds: int = 6, tolerance: float = 1e-3, part_chars: int = 16 << 20,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text; log10 probabilities.
 
-    `held_out` marks rows that nothing is learned from. A null or empty text is the end alone. Counts of all words are
-    gathered; frequent ones travel with the tasks (`vocabulary` bounds them), the others meet their counts in a join on
-    the word's hash. Repeated rows are scored alike. Without training texts every word is unknown.
+    `held_out` marks rows that nothing is learned from. A null or empty text is the end alone. Repeated rows are scored
+    alike. Without training texts every word is unknown. `part_chars` is the text a task holds at once (one text at least);
+    results do not depend on it but for the rounding of sums.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias(text_col), (held_out if held_out is not None else is_held_out(id_col)).alias("held_out"))
-    train = rows.filter(~F.col("held_out"))
-    counts = saved(word_counts(train, text_col))
-    ends = train.count()
-    total = counts.agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
-    n_all, v_all = (total.n or 0) + ends, total.v + (ends > 0)
-    top = frequent(counts, vocabulary)
-    h = np.array([r.h for r in top], np.int64).view(np.uint64)
-    order = np.argsort(h)
-    words, known = h[order], np.array([r.n for r in top], float)[order]
-    rare_n, rare_v = (total.n or 0) - int(known.sum()), total.v - len(words)
-    weight = np.concatenate((known, [rare_n, ends])) + 0.5
-    share = weight / weight.sum()
-    model = warm_start(train, initial(words, share, states), share, id_col, text_col, sample)
-    for _ in range(rounds):
-        model, _ = baum_welch(train, model, share, text_col)
-    shared = spark.sparkContext.broadcast((model, np.log10(np.concatenate((known, [0, ends])) + 0.5)))
+    parts = parted(rows, id_col, text_col, part_chars)
+    fit = baum_welch(parts, states, rounds, tolerance)
+    of, counts, sums = fit.of, fit.counts, fit.sums
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def run(batch):
-        model, logs = shared.value
-        sym, first, hashes = symbols(model.words, batch.column(1).to_pylist())
-        got = Lattice(sym, first, model).forward() / math.log(10)
-        rare = sym == model.rare
-        base = np.add.reduceat(np.where(rare, 0.0, logs[sym]), first[:-1])
-        n = np.diff(first)
-        cut = np.concatenate(([0], np.cumsum(np.add.reduceat(rare.astype(np.int64), first[:-1]))))
-        lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(hashes[rare].view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n), pa.array(base), pa.array(got), lists],
-                                         names=[id_col, "held_out", "n_tokens", "base", "hmm", "rare"])
-
-    seen = saved(T.mapped(rows.select(id_col, text_col, "held_out"), run, f"{id_col} {kind}, held_out boolean, n_tokens long, base double, hmm double, rare array<long>", text_col)
-                 .withColumn("row", F.monotonically_increasing_id()))
-    words_of = seen.select("row", F.explode("rare").alias("h"))
-    met = words_of.join(counts, "h", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    rare = met.groupBy("row").agg(F.sum(F.log10(F.col("n") + 0.5)).alias("rare_log"), F.sum((F.col("n") > 0).cast("long")).alias("rare_known"))
-    out = seen.withColumn("n_rare", F.size("rare")).drop("rare").join(rare, "row", "left")
-    some = F.coalesce("rare_log", F.lit(0.0))
-    return out.select(
-        id_col, "held_out", "n_tokens", (F.col("n_tokens") - F.col("n_rare") + F.coalesce("rare_known", F.lit(0)) - F.lit(int(ends == 0))).alias("n_known"),
-        F.lit(n_all).cast("bigint").alias("train_tokens"),
-        (F.col("base") + some - F.col("n_tokens") * math.log10(n_all + 0.5 * (v_all + 1))).alias("base_score"),
-        (F.col("hmm") + some - F.col("n_rare") * math.log10(rare_n + 0.5 * (rare_v + 1))).alias("score"))
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                _, words, first, sym, n, emit = _loaded(b, i, counts, sums, of)
+                n = np.append(n, of.ends)
+                model, logs = Model(of.start, of.move, emit), np.log10(n + 0.5)
+                score, base = np.zeros(len(first) - 1), np.add.reduceat(logs[sym], first[:-1])
+                known = np.add.reduceat((n > 0)[sym].astype(np.int64), first[:-1])
+                for docs_, s, f in _texts(first, sym, np.arange(len(first) - 1)):
+                    score[docs_] = Lattice(s, f, model).forward() / math.log(10)
+                size = np.diff(first)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("ids")[i].values, b.column("marks")[i].values, pa.array(size), pa.array(known), pa.array(np.full(len(size), round(of.words) + of.ends)),
+                     pa.array(base - size * math.log10(of.mass)), pa.array(score)],
+                    names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return parts.mapInArrow(run, f"{id_col} {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
