@@ -13,6 +13,7 @@ longer than a segment need transfer matrices, which are multiplied up side by si
 
 from __future__ import annotations
 
+import gc
 import math
 from dataclasses import dataclass
 
@@ -224,15 +225,14 @@ def _piece(folder: str, part: int, dtype, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(t.column("data").to_pylist()), dtype).reshape(-1, width)
 
 
-def _loaded(batch, i: int, counts: str | None, sums: str | None, of: Totals | None):
+def _loaded(batch, i: int, counts: str | None = None, sums: str | None = None, of: Totals | None = None):
+    """Number, words, places of texts, symbols, training counts and expected counts of a part."""
     part = batch.column("part")[i].as_py()
     array = lambda c, d: np.frombuffer(batch.column(c)[i].as_buffer() or b"", d)
     words, first, sym = array("words", np.uint64), array("first", np.int64), array("sym", np.int32)
-    if counts is None:
-        return part, words, first, sym, None, None
-    n = _piece(counts, part, np.float64, 1)[:, 0] if len(words) else np.zeros(0)
-    c = _piece(sums, part, np.float32, of.states).astype(float) if sums and len(words) else None if not sums else np.zeros((0, of.states))
-    return part, words, first, sym, n, emissions(words, n, c, of)
+    read = lambda folder, dtype, width: _piece(folder, part, dtype, width) if len(words) else np.zeros((0, width), dtype)
+    n = read(counts, np.float64, 1)[:, 0] if counts else None
+    return part, words, first, sym, n, read(sums, np.float32, of.states) if sums else None
 
 
 def _texts(first: np.ndarray, sym: np.ndarray, chosen: np.ndarray, limit: int = 1 << 18):
@@ -246,6 +246,14 @@ def _texts(first: np.ndarray, sym: np.ndarray, chosen: np.ndarray, limit: int =
         yield docs, sym[np.arange(begin[-1]) + np.repeat(first[docs] - begin[:-1], n)], begin
 
 
+def _lattices(words: np.ndarray, n: np.ndarray, sums: np.ndarray | None, of: Totals, first: np.ndarray, sym: np.ndarray, chosen: np.ndarray):
+    """(numbers of the texts, their symbols, lattice) of the chosen texts, each run with the emissions of its own symbols only."""
+    for docs, s, begin in _texts(first, sym, chosen):
+        own, at = np.unique(s, return_inverse=True)
+        w = own[:-1]  # the end is the last
+        yield docs, own, Lattice(at, begin, Model(of.start, of.move, emissions(words[w], n[w], None if sums is None else sums[w].astype(float), of)))
+
+
 def _training(batch, i: int) -> np.ndarray:
     return np.flatnonzero(~np.asarray(batch.column("marks")[i].values.to_numpy(zero_copy_only=False), bool))
 
@@ -320,7 +328,7 @@ def baum_welch(parts: DataFrame, states: int = 8, rounds: int = 6, tolerance: fl
     def counted(batches):
         for b in batches:
             for i in range(b.num_rows):
-                part, words, first, sym, *_ = _loaded(b, i, None, None, None)
+                part, words, first, sym, *_ = _loaded(b, i)
                 n = np.zeros(len(words) + 1)
                 for _, s, _ in _texts(first, sym, _training(b, i)):
                     n += np.bincount(s, minlength=len(n))
@@ -341,24 +349,31 @@ def baum_welch(parts: DataFrame, states: int = 8, rounds: int = 6, tolerance: fl
         if sums:
             remove(sums)
         sums = fresh
+        _release(parts.sparkSession)
         seen.append(total)
         if r and seen[-1] - seen[-2] < tolerance * abs(seen[-2]):
             break
     return Trained(of, counts, sums, seen)
 
 
+def _release(spark) -> None:
+    """Lets Spark's cleaner drop the shuffle files of rounds that are over, which it otherwise does every half hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _round(parts: DataFrame, counts: str, sums: str | None, folder: str, of: Totals, buckets: int) -> tuple[Totals, str, float]:
     k, mass = of.states, of.mass
 
     def run(batches):
         for b in batches:
             for i in range(b.num_rows):
-                part, words, first, sym, n, emit = _loaded(b, i, counts, sums, of)
-                model = Model(of.start, of.move, emit)
+                part, words, first, sym, n, before = _loaded(b, i, counts, sums, of)
                 c, moved, begin, total = np.zeros((len(words) + 1, k)), np.zeros((k, k)), np.zeros(k), 0.0
-                for _, s, f in _texts(first, sym, _training(b, i)):
-                    got = Lattice(s, f, model).expected()
-                    c, moved, begin, total = c + got[0], moved + got[1], begin + got[2], total + got[3]
+                for _, own, lattice in _lattices(words, n, before, of, first, sym, _training(b, i)):
+                    got = lattice.expected()
+                    c[own] += got[0]
+                    moved, begin, total = moved + got[1], begin + got[2], total + got[3]
                 yield from _cut(part, words, c[:-1].astype(np.float32), np.concatenate((c[-1], moved.ravel(), begin, [total])), buckets)
 
     def totals(words, c):
@@ -396,13 +411,15 @@ def scored(docs: DataFrame, held_out: Column | None = None, states: int = 8, rou
     def run(batches):
         for b in batches:
             for i in range(b.num_rows):
-                _, words, first, sym, n, emit = _loaded(b, i, counts, sums, of)
+                _, words, first, sym, n, c = _loaded(b, i, counts, sums, of)
+                everything = np.arange(len(first) - 1)
+                found = _lattices(words, n, c, of, first, sym, everything)
                 n = np.append(n, of.ends)
-                model, logs = Model(of.start, of.move, emit), np.log10(n + 0.5)
-                score, base = np.zeros(len(first) - 1), np.add.reduceat(logs[sym], first[:-1])
+                logs = np.log10(n + 0.5)
+                score, base = np.zeros(len(everything)), np.add.reduceat(logs[sym], first[:-1])
                 known = np.add.reduceat((n > 0)[sym].astype(np.int64), first[:-1])
-                for docs_, s, f in _texts(first, sym, np.arange(len(first) - 1)):
-                    score[docs_] = Lattice(s, f, model).forward() / math.log(10)
+                for numbers, _, lattice in found:
+                    score[numbers] = lattice.forward() / math.log(10)
                 size = np.diff(first)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("ids")[i].values, b.column("marks")[i].values, pa.array(size), pa.array(known), pa.array(np.full(len(size), round(of.words) + of.ends)),
