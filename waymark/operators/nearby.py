@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from waymark.functions import geo
 from waymark.functions.similarity import block_ratio, gram_keys, indel_ratio, most_edits
+from waymark.operators.skew import join_shuffled
 
 
 def points_in_boxes(points: DataFrame, boxes: DataFrame, key: str, cell_deg: float = 0.25) -> DataFrame:
@@ -51,7 +52,7 @@ def similar_within(left: DataFrame, right: DataFrame, radius_m: float, cut: floa
     r = _spots(right, "r").select("rtext", "rlabel", "rlat", "rlon", y, x, F.explode(gram_keys(F.col("rtext"), cut)).alias("key"))
     n, m = F.length("ltext"), F.length("rtext")
     edits = most_edits(n, m, cut)
-    met = l.join(r, ["cell_y", "cell_x", "key"]).filter(F.abs(n - m) <= edits)
+    met = join_shuffled(l, r, ["cell_y", "cell_x", "key"]).filter(F.abs(n - m) <= edits)
     if not equal_texts:
         met = met.filter("llabel <> rlabel")
     met = met.withColumn("distance_m", geo.haversine_m(F.col("llat"), F.col("llon"), F.col("rlat"), F.col("rlon"))).filter(F.col("distance_m") <= radius_m)
@@ -60,7 +61,7 @@ def similar_within(left: DataFrame, right: DataFrame, radius_m: float, cut: floa
     score = indel_ratio(F.col("ltext"), F.col("rtext")) / 100.0 if measure == "indel" else block_ratio(F.col("ltext"), F.col("rtext"))
     good = pairs.withColumn("similarity", score).filter(F.col("similarity") >= F.lit(cut) - F.lit(1e-12))
     named = lambda df, side: df.select(F.col("id").alias(f"{side}_id"), *[F.col(c).alias(f"{side[0]}{c}") for c in SPOT])
-    return good.join(named(left, "left"), spot[:4]).join(named(right, "right"), spot[4:]).select(
+    return join_shuffled(join_shuffled(good, named(left, "left"), spot[:4]), named(right, "right"), spot[4:]).select(
         "left_id", "right_id", "distance_m", "similarity")
 
 
@@ -84,7 +85,7 @@ def contained_names(nodes: DataFrame, radius_m: float) -> DataFrame:
         F.explode(geo.cells_within(F.col("lat"), F.col("lon"), radius_m)).alias("c")
     ).select("part_id", "part", "plat", "plon", "c.cell_y", "c.cell_x")
     d = geo.haversine_m(F.col("plat"), F.col("plon"), F.col("wlat"), F.col("wlon"))
-    return whole.filter("part <> wtext").join(part, ["cell_y", "cell_x", "part"]).withColumn("distance_m", d).filter(
+    return join_shuffled(whole.filter("part <> wtext"), part, ["cell_y", "cell_x", "part"]).withColumn("distance_m", d).filter(
         F.col("distance_m") <= radius_m).select("part_id", "whole_id", "distance_m")
 
 
@@ -97,8 +98,8 @@ def nearest_named(records: DataFrame, places: DataFrame, region_ok: Column | Non
     r = records.select(F.col("record_id").alias("id"), F.lower(F.trim("name")).alias("text"), "lat", "lon")
     p = places.select(F.col("place_id").alias("id"), F.lower(F.trim("name")).alias("text"), "lat", "lon")
     pairs = similar_within(r, p, radius_m, cut, "block").withColumnsRenamed({"left_id": "record_id", "right_id": "place_id"})
-    pairs = pairs.join(places.select("place_id", F.col("ord"), F.col("region").alias("place_region")), "place_id")
-    pairs = pairs.join(records.select("record_id", F.col("region").alias("record_region")), "record_id")
+    pairs = join_shuffled(pairs, places.select("place_id", F.col("ord"), F.col("region").alias("place_region")), "place_id")
+    pairs = join_shuffled(pairs, records.select("record_id", F.col("region").alias("record_region")), "record_id")
     if region_ok is not None:
         pairs = pairs.filter(region_ok)
     score = F.col("similarity") * (1.0 - (F.col("distance_m") / F.lit(radius_m)) * 0.1)

@@ -20,6 +20,7 @@ from waymark.functions.similarity import indel_ratio
 from waymark.functions.text import is_filled, sorted_tokens
 from waymark.operators.durable import durable
 from waymark.operators.nearby import contained_names, similar_within
+from waymark.operators.skew import join_shuffled
 
 NAME_RADIUS = 500.0
 FUZZY_RADIUS = 300.0
@@ -127,9 +128,8 @@ def _similar_spots(nodes: DataFrame) -> DataFrame:
     both = by_name.unionByName(by_address).filter("left_id <> right_id").select(
         F.col("left_id").alias("spot"), F.col("right_id").alias("other")).distinct()
     equal = spots.select(F.col("spot"), F.col("name"), F.lower("address").alias("addr"))
-    return both.join(equal, "spot").join(
-        equal.select(F.col("spot").alias("other"), F.col("name").alias("name_o"), F.col("addr").alias("addr_o")), "other"
-    ).filter((F.col("name") != F.col("name_o")) & ~F.coalesce(sorted_tokens(F.col("addr")) == sorted_tokens(F.col("addr_o")), F.lit(False))
+    other = equal.select(F.col("spot").alias("other"), F.col("name").alias("name_o"), F.col("addr").alias("addr_o"))
+    return join_shuffled(join_shuffled(both, equal, "spot"), other, "other").filter((F.col("name") != F.col("name_o")) & ~F.coalesce(sorted_tokens(F.col("addr")) == sorted_tokens(F.col("addr_o")), F.lit(False))
              ).select("spot", "other")
 
 
@@ -145,18 +145,17 @@ def _pairs_with(rows: DataFrame, anchors: DataFrame, spots: DataFrame, first_per
         keyed = durable(keyed)
     else:
         keyed = _as(keyed, "anchor", "key")
-    by_key = _as(rows.select("*", F.explode("keys").alias("key")), "row", "key").join(keyed, "key").select("row", "anchor")
+    by_key = join_shuffled(_as(rows.select("*", F.explode("keys").alias("key")), "row", "key"), keyed, "key").select("row", "anchor")
 
     zoned = _as(anchors.select("*", F.explode("zones").alias("zone"),
                                F.col("lat").alias("_lat")).select("*", F.explode(_around(F.col("cell_y"), F.col("cell_x"), F.col("_lat"))).alias("c"))
                 .drop("cell_y", "cell_x").select("*", "c.cell_y", "c.cell_x"), "anchor", "zone", "cell_y", "cell_x")
-    by_zone = _as(rows.select("*", F.explode("zones").alias("zone")), "row", "zone", "cell_y", "cell_x").join(
-        zoned, ["zone", "cell_y", "cell_x"]).filter(
+    by_zone = join_shuffled(_as(rows.select("*", F.explode("zones").alias("zone")), "row", "zone", "cell_y", "cell_x"), zoned, ["zone", "cell_y", "cell_x"]).filter(
         geo.haversine_m(F.col("row.lat"), F.col("row.lon"), F.col("anchor.lat"), F.col("anchor.lon")) <= NAME_RADIUS
     ).select("row", "anchor")
 
-    near = _as(anchors.withColumnRenamed("spot", "other"), "anchor", "other").join(spots, "other").select("anchor", "spot")
-    by_spot = _as(rows, "row", "spot").join(near, "spot").select("row", "anchor")
+    near = join_shuffled(_as(anchors.withColumnRenamed("spot", "other"), "anchor", "other"), spots, "other").select("anchor", "spot")
+    by_spot = join_shuffled(_as(rows, "row", "spot"), near, "spot").select("row", "anchor")
     return by_key.unionByName(by_zone).unionByName(by_spot)
 
 
@@ -174,13 +173,11 @@ def _round_winners(open_rows: DataFrame, spots: DataFrame) -> DataFrame:
         F.min("m").alias("lowest"), F.min(F.when(own, F.col("m"))).alias("mine")
     ).filter(F.col("lowest") == F.col("mine")).groupBy(F.col("mine.id").alias("id")).agg(F.count("*").alias("zone_wins"))
     spot_min = open_rows.filter(F.col("spot").isNotNull()).groupBy("spot").agg(F.min("ord").alias("o"))
-    rival = spots.join(spot_min.withColumnsRenamed({"spot": "other", "o": "o"}), "other").groupBy("spot").agg(F.min("o").alias("rival"))
-    return (
-        open_rows.join(key_wins, "id", "left").join(zone_wins, "id", "left")
-        .filter((F.size("keys") == F.coalesce("key_wins", F.lit(0))) & (F.size("zones") == F.coalesce("zone_wins", F.lit(0))))
-        .drop("key_wins", "zone_wins")
-        .join(rival, "spot", "left").filter(F.col("rival").isNull() | (F.col("ord") < F.col("rival"))).drop("rival")
-    )
+    rival = join_shuffled(spots, spot_min.withColumnRenamed("spot", "other"), "other").groupBy("spot").agg(F.min("o").alias("rival"))
+    first = join_shuffled(join_shuffled(open_rows, key_wins, "id", "left"), zone_wins, "id", "left").filter(
+        (F.size("keys") == F.coalesce("key_wins", F.lit(0))) & (F.size("zones") == F.coalesce("zone_wins", F.lit(0)))
+    ).drop("key_wins", "zone_wins")
+    return join_shuffled(first, rival, "spot", "left").filter(F.col("rival").isNull() | (F.col("ord") < F.col("rival"))).drop("rival")
 
 
 def resolve(records: DataFrame, order: str = "seq", rank: dict[str, int] = config.SOURCE_RANK,
@@ -199,15 +196,15 @@ def resolve(records: DataFrame, order: str = "seq", rank: dict[str, int] = confi
     rest = nodes.filter("NOT (trusted OR (size(keys) = 0 AND size(zones) = 0))")
     anchors = durable(fixed)
     matched = _scored(_pairs_with(rest, anchors.filter("trusted"), spots, True), shared_domains).select(F.col("row.id").alias("id")).distinct()
-    open_rows = durable(rest.join(matched, "id", "left_anti"))
+    open_rows = durable(join_shuffled(rest, matched, "id", "left_anti"))
     while not open_rows.isEmpty():
         won = durable(_round_winners(open_rows, spots).select(*nodes.columns))
         anchors = anchors.unionByName(won)
-        left = open_rows.join(won.select("id"), "id", "left_anti")
+        left = join_shuffled(open_rows, won.select("id"), "id", "left_anti")
         matched = _scored(_pairs_with(left, won, spots, False), shared_domains).select(F.col("row.id").alias("id")).distinct()
-        open_rows = durable(left.join(matched, "id", "left_anti"))
+        open_rows = durable(join_shuffled(left, matched, "id", "left_anti"))
 
-    followers = nodes.join(anchors.select("id"), "id", "left_anti")
+    followers = join_shuffled(nodes, anchors.select("id"), "id", "left_anti")
     best = _scored(_pairs_with(followers, anchors, spots, True), shared_domains).groupBy(F.col("row.id").alias("record_id")).agg(
         F.min(F.struct((-F.col("rule.confidence")).alias("neg"), F.col("anchor.ord").alias("ord"),
                        F.col("rule.reason").alias("reason"), F.col("anchor.id").alias("id"))).alias("b"))
@@ -231,12 +228,12 @@ def keep_first_of_groups(rows: DataFrame, row_id: str, order: list[str], keys: l
     while not open_rows.isEmpty():
         wins = open_rows.select("id", "ord", F.explode("keys").alias("key")).groupBy("key").agg(F.min(me).alias("m")).groupBy(
             F.col("m.id").alias("id")).agg(F.count("*").alias("wins"))
-        won = durable(open_rows.join(wins, "id", "left").filter(F.size("keys") == F.coalesce("wins", F.lit(0))).drop("wins"))
+        won = durable(join_shuffled(open_rows, wins, "id", "left").filter(F.size("keys") == F.coalesce("wins", F.lit(0))).drop("wins"))
         kept = won.select("id") if kept is None else kept.unionByName(won.select("id"))
-        left = open_rows.join(won.select("id"), "id", "left_anti")
+        left = join_shuffled(open_rows, won.select("id"), "id", "left_anti")
         seen = won.select(F.explode("keys").alias("key"))
-        dropped = left.select("id", F.explode("keys").alias("key")).join(seen, "key", "left_semi").select("id").distinct()
-        open_rows = durable(left.join(dropped, "id", "left_anti"))
+        dropped = join_shuffled(left.select("id", F.explode("keys").alias("key")), seen, "key", "left_semi").select("id").distinct()
+        open_rows = durable(join_shuffled(left, dropped, "id", "left_anti"))
     ids = nodes.select("id").limit(0) if kept is None else kept
     return ids.withColumnRenamed("id", row_id)
 
@@ -247,7 +244,7 @@ def merge_clusters(records: DataFrame, mapping: DataFrame, tag_rule) -> DataFram
     Text fields: first filled value in match order. Rating: review-weighted mean,
     rounded once at the end (plain mean when no reviews are counted).
     """
-    r = records.join(mapping.select("record_id", "canonical_id", "confidence", "match_status"), "record_id")
+    r = join_shuffled(records, mapping.select("record_id", "canonical_id", "confidence", "match_status"), "record_id")
     pos = F.struct((F.col("match_status") != "new").alias("late"), F.col("source_rank"), F.col("seq"), F.col("record_id"))
 
     def first_filled(c: str) -> Column:
@@ -298,7 +295,7 @@ def parent_child(places: DataFrame, blocked_words: list[str] = config.NO_PARENT_
     ends = places.select("place_id", "ord", "name", F.col("normalized_name").alias("nn"),
                          F.lower(F.trim(F.coalesce("region", F.lit("")))).alias("reg"))
     side = lambda s: ends.select(F.col("place_id").alias(s), F.struct("ord", "place_id", "name", "nn", "reg").alias(f"{s}_"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(
+    both = join_shuffled(join_shuffled(pairs, side("a"), "a"), side("b"), "b").filter(
         (F.col("a_.nn") != F.col("b_.nn"))
         & ((F.col("a_.reg") == "") | (F.col("b_.reg") == "") | (F.col("a_.reg") == F.col("b_.reg"))))
     lo = F.when(F.col("a_.ord") < F.col("b_.ord"), F.col("a_")).otherwise(F.col("b_"))
@@ -319,7 +316,7 @@ def parent_child(places: DataFrame, blocked_words: list[str] = config.NO_PARENT_
     relation = F.when(F.col("parent_id").isNotNull(), F.when(
         contains_any(F.lower("name"), facility_words), F.lit("supporting_facility")).otherwise(F.lit("part_of"))
     ).when(F.col("is_parent"), F.lit("same_place"))
-    return places.join(links, "place_id", "left").join(is_parent, "place_id", "left").select(
+    return join_shuffled(join_shuffled(places, links, "place_id", "left"), is_parent, "place_id", "left").select(
         "place_id", "parent_id", relation.alias("relationship"), F.col("parent_id").isNotNull().alias("needs_review"))
 
 
@@ -337,7 +334,7 @@ def near_duplicates(places: DataFrame, radius_m: float = 100.0, cut: float = 0.8
     either_other = F.lit(False)
     for s in ("left", "right"):
         either_other = either_other | F.col(f"{s}_cat").isNull() | (F.col(f"{s}_cat") == "other")
-    return pairs.join(side("left"), "left_id").join(side("right"), "right_id").filter(
+    return join_shuffled(join_shuffled(pairs, side("left"), "left_id"), side("right"), "right_id").filter(
         (F.col("left_ord") < F.col("right_ord")) & ~F.arrays_overlap("left_ids", "right_ids")
         & (either_other | (F.col("left_cat") == F.col("right_cat")))
     ).select(F.col("left_id").alias("place_id_1"), F.col("right_id").alias("place_id_2"),

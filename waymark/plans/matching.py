@@ -9,6 +9,7 @@ from waymark.functions import geo
 from waymark.functions.similarity import block_ratio, indel_ratio
 from waymark.functions.text import is_filled, sorted_tokens
 from waymark.operators import joins, nearby, normalize as nrm, resolve
+from waymark.operators.skew import join_shuffled
 from waymark.plans import views
 from waymark.plans.registry import query
 
@@ -287,4 +288,4 @@ def _(t):
 @query("er09_rekey", _resolve_sql(0) + " SELECT record_id AS place_id, canonical_id AS cluster_id FROM mapping")
 def _(t):
     mapping = resolve.resolve(_records(t)).select(C("record_id").alias("place_id"), C("canonical_id").alias("cluster_id"))
-    return views.geo(t).select("place_id").join(mapping, "place_id", "left")
+    return join_shuffled(views.geo(t).select("place_id"), mapping, "place_id", "left")
