@@ -367,7 +367,7 @@ def _(t):
 
 
 @query("src12_assign_batches", """
-SELECT c_custkey, 'batch_' || lpad(CAST(b AS varchar), 3, '0') AS batch_id, m AS mode, CASE WHEN b = 1 THEN 'review_strategy_v1' ELSE 'review_strategy_v2' END AS strategy_version, 5 AS target_positive, CASE WHEN b = 1 THEN 5 ELSE 3 END AS target_negative, CASE WHEN b = 1 THEN 3 ELSE 2 END AS target_neutral
+SELECT c_custkey, 'batch_' || CASE WHEN b < 1000 THEN lpad(CAST(b AS varchar), 3, '0') ELSE CAST(b AS varchar) END AS batch_id, m AS mode, CASE WHEN b = 1 THEN 'review_strategy_v1' ELSE 'review_strategy_v2' END AS strategy_version, 5 AS target_positive, CASE WHEN b = 1 THEN 5 ELSE 3 END AS target_negative, CASE WHEN b = 1 THEN 3 ELSE 2 END AS target_neutral
 FROM (SELECT c_custkey, CAST(floor((row_number() OVER (ORDER BY c_custkey) - 1) / 50) + 1 AS bigint) AS b FROM customer), (VALUES ('positive'), ('negative'), ('neutral')) v(m)""")
 def _(t):
     return ingest.assign_batches(t.customer, "c_custkey", 50, ["positive", "negative", "neutral"])
