@@ -70,20 +70,20 @@ def canonical_region(c: Column, slugs: dict[str, str]) -> Column:
     ))
 
 
-def own_cell(lat: Column, lon: Column, radius_m: float) -> list[Column]:
-    """Grid cell of a point, cells one radius high."""
-    size = radius_m / METRES_PER_DEGREE
+def own_cell(lat: Column, lon: Column, radius_m: float, cells: int = 1) -> list[Column]:
+    """Grid cell of a point, cells so many radiuses high."""
+    size = cells * radius_m / METRES_PER_DEGREE
     return [F.floor(lat / size).alias("cell_y"), F.floor(lon / size).alias("cell_x")]
 
 
-def cells_within(lat: Column, lon: Column, radius_m: float) -> Column:
-    """All cells that can hold a point within the radius.
+def cells_within(lat: Column, lon: Column, radius_m: float, cells: int = 1) -> Column:
+    """All cells, so many radiuses high, that can hold a point within the radius.
 
     The longitude span widens with latitude, so the cover is complete at any
     latitude short of the poles (the date line is not wrapped).
     """
-    size = radius_m / METRES_PER_DEGREE
-    pad = size * 1.0001
+    size = cells * radius_m / METRES_PER_DEGREE
+    pad = radius_m / METRES_PER_DEGREE * 1.0001
     widest = F.least(F.abs(lat) + pad, F.lit(89.9))
     span = pad / F.cos(F.radians(widest))
     ys = F.sequence(F.floor((lat - pad) / size), F.floor((lat + pad) / size))

@@ -8,7 +8,7 @@ from waymark.functions.rules import first_match
 from waymark.operators.durable import durable
 from waymark.operators.nearby import nearest_named
 from waymark.operators.ranking import keep_first
-from waymark.operators.skew import join_one_per_key
+from waymark.operators.skew import join_one_per_key, join_shuffled
 
 
 def attach(population: DataFrame, key: str, summaries: list[DataFrame], counts: list[str] = ()) -> DataFrame:
@@ -72,7 +72,7 @@ def map_records(records: DataFrame, by_record: DataFrame, by_place: DataFrame, b
         left = out.filter(F.col("method").isNull())
         near = nearest_named(left, population, region_ok, radius_m, cut).select(
             "record_id", F.col("place_id").alias("_cid"), F.col("confidence").alias("_conf"))
-        out = out.join(near, "record_id", "left")
+        out = join_shuffled(out, near, "record_id", "left")
         hit = F.col("_cid").isNotNull() & F.col("method").isNull()
         out = out.withColumns({
             "canonical_id": F.coalesce("canonical_id", F.col("_cid")),

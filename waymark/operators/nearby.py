@@ -25,12 +25,8 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, key: str, cell_deg: flo
     return points.join(best, key, "left")
 
 
-SPOT = ("text", "label", "lat", "lon")
-
-
-def _spots(df: DataFrame, side: str) -> DataFrame:
-    """Distinct (text, label, point) rows; equal ones are one spot, whose ids come back at the end."""
-    return df.select(*[F.col(c).alias(f"{side}{c}") for c in SPOT]).distinct()
+#: Height of a grid cell in radiuses: a point lies in reach of (1 + 2 / CELLS) ** 2 cells, 9, 4 or 2.25 for 1, 2 or 4.
+CELLS = 4
 
 
 def similar_within(left: DataFrame, right: DataFrame, radius_m: float, cut: float, measure: str = "indel", equal_texts: bool = True) -> DataFrame:
@@ -44,24 +40,29 @@ def similar_within(left: DataFrame, right: DataFrame, radius_m: float, cut: floa
     The Ratcliff-Obershelp ratio never exceeds the indel ratio, so the same blocking holds for it.
     """
     usable = F.col("text").isNotNull() & (F.col("text") != "") & F.col("lat").isNotNull() & F.col("lon").isNotNull()
-    labelled = lambda df: df.filter(usable).withColumn("label", F.col("label" if "label" in df.columns else "text"))
-    left, right = labelled(left), labelled(right)
-    l = _spots(left, "l").select("*", F.explode(geo.cells_within(F.col("llat"), F.col("llon"), radius_m)).alias("c")).select(
-        "ltext", "llabel", "llat", "llon", "c.cell_y", "c.cell_x", F.explode(gram_keys(F.col("ltext"), cut)).alias("key"))
-    y, x = geo.own_cell(F.col("rlat"), F.col("rlon"), radius_m)
-    r = _spots(right, "r").select("rtext", "rlabel", "rlat", "rlon", y, x, F.explode(gram_keys(F.col("rtext"), cut)).alias("key"))
+    # a label only travels where it decides
+    kind = "text" if equal_texts or "label" not in left.columns else "label"
+    shape = list(dict.fromkeys(["text", kind, "lat", "lon"]))
+    own = lambda side: [f"{side}{c}" for c in shape]
+    left, right = left.filter(usable), right.filter(usable)
+    spots = lambda df, side: df.select(*[F.col(c).alias(f"{side}{c}") for c in shape]).distinct()
+    key = F.xxhash64("cell_y", "cell_x", "gram").alias("key")
+    l = spots(left, "l").select("*", F.explode(geo.cells_within(F.col("llat"), F.col("llon"), radius_m, CELLS)).alias("c")).select(
+        *own("l"), "c.cell_y", "c.cell_x", F.explode(gram_keys(F.col("ltext"), cut)).alias("gram")).select(*own("l"), key)
+    y, x = geo.own_cell(F.col("rlat"), F.col("rlon"), radius_m, CELLS)
+    r = spots(right, "r").select(*own("r"), y, x, F.explode(gram_keys(F.col("rtext"), cut)).alias("gram")).select(*own("r"), key)
     n, m = F.length("ltext"), F.length("rtext")
     edits = most_edits(n, m, cut)
-    met = join_shuffled(l, r, ["cell_y", "cell_x", "key"]).filter(F.abs(n - m) <= edits)
+    met = join_shuffled(l, r, "key").filter(F.abs(n - m) <= edits)
     if not equal_texts:
-        met = met.filter("llabel <> rlabel")
+        met = met.filter(F.col(f"l{kind}") != F.col(f"r{kind}"))
     met = met.withColumn("distance_m", geo.haversine_m(F.col("llat"), F.col("llon"), F.col("rlat"), F.col("rlon"))).filter(F.col("distance_m") <= radius_m)
-    spot = [f"{side}{c}" for side in "lr" for c in SPOT]
+    spot = own("l") + own("r")
     pairs = met.select(*spot, "distance_m").dropDuplicates(spot).filter(F.levenshtein("ltext", "rtext") <= edits)
     score = indel_ratio(F.col("ltext"), F.col("rtext")) / 100.0 if measure == "indel" else block_ratio(F.col("ltext"), F.col("rtext"))
     good = pairs.withColumn("similarity", score).filter(F.col("similarity") >= F.lit(cut) - F.lit(1e-12))
-    named = lambda df, side: df.select(F.col("id").alias(f"{side}_id"), *[F.col(c).alias(f"{side[0]}{c}") for c in SPOT])
-    return join_shuffled(join_shuffled(good, named(left, "left"), spot[:4]), named(right, "right"), spot[4:]).select(
+    named = lambda df, side: df.select(F.col("id").alias(f"{side}_id"), *[F.col(c).alias(f"{side[0]}{c}") for c in shape])
+    return join_shuffled(join_shuffled(good, named(left, "left"), own("l")), named(right, "right"), own("r")).select(
         "left_id", "right_id", "distance_m", "similarity")
 
 
@@ -102,7 +103,8 @@ def nearest_named(records: DataFrame, places: DataFrame, region_ok: Column | Non
     pairs = join_shuffled(pairs, records.select("record_id", F.col("region").alias("record_region")), "record_id")
     if region_ok is not None:
         pairs = pairs.filter(region_ok)
-    score = F.col("similarity") * (1.0 - (F.col("distance_m") / F.lit(radius_m)) * 0.1)
+    # rounded, so that places equally far away tie whatever the last digit of their distance is
+    score = F.round(F.col("similarity") * (1.0 - (F.col("distance_m") / F.lit(radius_m)) * 0.1), 9)
     best = F.min(F.struct((-score).alias("neg"), F.col("ord"), F.col("place_id")))
     return pairs.groupBy("record_id").agg(best.alias("b")).select(
         "record_id", F.col("b.place_id").alias("place_id"), F.bround(-F.col("b.neg"), 2).alias("confidence"))
