@@ -86,10 +86,17 @@ def _(t):
     return nearby.points_in_boxes(views.geo(t).select("place_id", "lat", "lon"), boxes, "place_id").select("place_id", "box_id")
 
 
+# Ratcliff-Obershelp: the longest common block, first in a and then in b, then both sides of it. 0.002 degrees are more than 100 m up to 60 degrees north or south.
 @query("jn06_nearest_named", f"""
-WITH r AS {views.sql("customer", _rec)}
-SELECT a.record_id, arg_min(b.record_id, ({dist_sql('a', 'b')}, b.record_id)) AS place_id, round(1.0 - min({dist_sql('a', 'b')}) / 100.0 * 0.1, 2) AS confidence
-FROM r a JOIN r b ON a.name = b.name AND NOT a.{_is_place} AND b.{_is_place} AND {dist_sql('a', 'b')} <= 100 GROUP BY 1""")
+WITH RECURSIVE r AS {views.sql("customer", _rec)}, g AS (SELECT record_id, lower(trim(name)) AS t, lat, lon, {_is_place} AS place, CAST(floor(lat / 0.002) AS bigint) AS gy, CAST(floor(lon / 0.002) AS bigint) AS gx FROM r),
+wide AS (SELECT g.*, gy + v.d AS hy, gx + w.d AS hx FROM g, (VALUES (-1), (0), (1)) v(d), (VALUES (-1), (0), (1)) w(d) WHERE NOT place),
+n AS (SELECT a.record_id, b.record_id AS place_id, a.t AS x, b.t AS y, {dist_sql('a', 'b')} AS d FROM wide a JOIN g b ON b.gy = a.hy AND b.gx = a.hx AND b.place WHERE {dist_sql('a', 'b')} <= 100 AND a.t <> '' AND b.t <> ''),
+walk AS (SELECT DISTINCT x, y, x AS a, y AS b, 0::BIGINT AS hit, 0 AS side FROM n UNION ALL
+  SELECT x, y, CASE s WHEN 0 THEN substr(a, 1, m.i - 1) ELSE substr(a, m.i + m.k) END, CASE s WHEN 0 THEN substr(b, 1, strpos(b, substr(a, m.i, m.k)) - 1) ELSE substr(b, strpos(b, substr(a, m.i, m.k)) + m.k) END, CASE s WHEN 0 THEN m.k ELSE 0 END, s
+  FROM (SELECT *, list_filter(flatten(list_transform(range(length(a), 0, -1), lambda k: list_transform(range(1, length(a) - k + 2), lambda i: {{'i': i, 'k': k}}))), lambda z: contains(b, substr(a, z.i, z.k)))[1] AS m FROM walk), (VALUES (0), (1)) t(s) WHERE m IS NOT NULL),
+sim AS (SELECT x, y, 2.0::DOUBLE * sum(hit)::DOUBLE / (length(x) + length(y)) AS s FROM walk GROUP BY x, y),
+c AS (SELECT record_id, place_id, round(s * (1.0::DOUBLE - (d / 100.0::DOUBLE) * 0.1::DOUBLE), 9) AS score FROM n JOIN sim USING (x, y) WHERE s >= 0.85::DOUBLE - 1e-12::DOUBLE)
+SELECT record_id, arg_min(place_id, (-score, place_id)) AS place_id, round_even(max(score), 2) AS confidence FROM c GROUP BY 1""")
 def _(t):
     r = views.columns(t.customer, _rec)
     places = r.filter(_is_place).select(C("record_id").alias("place_id"), "name", "lat", "lon", C("record_id").alias("ord"), "region")
