@@ -6,7 +6,7 @@ import re
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, StringIndexer
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
@@ -113,9 +113,58 @@ def train(df: DataFrame, text: str, label: str, terms: int = 2500, c: float = 1.
 def apply_model(model: PipelineModel, df: DataFrame, text: str) -> DataFrame:
     """Adds predicted_label and confidence (highest class probability)."""
     names = model.stages[0].labels
-    scored = model.transform(df.withColumns({"clean": lexicon_text(F.col(text)), "label": F.lit(names[0])}))
+    scored = model.transform(df.select(F.struct(*df.columns).alias("_row"), lexicon_text(F.col(text)).alias("clean"), F.lit(names[0]).alias("label")))
     label = F.element_at(F.array(*[F.lit(x) for x in names]), F.least(F.col("prediction").cast("int") + 1, F.lit(len(names))))
-    return scored.select(*df.columns, label.alias("predicted_label"), F.array_max(vector_to_array("probability")).alias("confidence"))
+    return scored.select("_row.*", label.alias("predicted_label"), F.array_max(vector_to_array("probability")).alias("confidence"))
+
+
+def _terms() -> PipelineModel:
+    """The one- and two-word terms of `clean`, as train() has them."""
+    return PipelineModel([RegexTokenizer(inputCol="clean", outputCol="one", pattern=r"\W+", minTokenLength=2), NGram(n=2, inputCol="one", outputCol="two"),
+                          SQLTransformer(statement="SELECT *, concat(one, two) AS terms FROM __THIS__")])
+
+
+def _confusions(df: DataFrame, text: str, label: str, folds: int, terms: int, c: float = 1.0, rounds: int = 100) -> DataFrame:
+    """(left_out, part, truth, predicted, n) of the classifiers of train() that leave out one of the folds 0 to `folds` - 1 of
+    the column `fold` each; without folds, of the one that leaves out none.
+
+    Terms are counted once, by fold, and every vocabulary is the most frequent terms of the whole less those of a fold (ties
+    by the term). Texts become counts over all those terms once; a fit weighs terms outside its vocabulary with zero, which
+    is as if they were not there.
+    """
+    fits = list(range(folds)) or [-1]
+    cleaned = df.select(lexicon_text(F.col(text)).alias("clean"), F.col(label).alias("label"), F.col("fold")).persist()
+    found = _terms().transform(cleaned)
+    # explode would repeat the cutting in a filter of its own
+    each = found.filter(F.col("label").isNotNull()).select("fold", F.explode_outer("terms").alias("term")).filter(F.col("term").isNotNull())
+    left = {f: F.count_if(F.col("fold") != f).alias(f"n{f}") for f in fits}
+    by_term = each.groupBy("term").agg(*left.values()).persist()
+    members = {f: {r.term for r in by_term.filter(F.col(f"n{f}") > 0).orderBy(F.col(f"n{f}").desc(), "term").limit(terms).select("term").collect()} for f in fits}  # `terms` rows per fit
+    by_term.unpersist()
+    vocabulary = sorted(set().union(*members.values())) or [""]
+    counted = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="terms", outputCol="tf").transform(found)
+    counted = durable(counted.select("fold", "label", "tf"))
+    cleaned.unpersist()
+    out = None
+    for f in fits:
+        mine = counted.filter((F.col("fold") != f) & F.col("label").isNotNull()) if folds else counted.filter(F.col("label").isNotNull())
+        index = StringIndexer(inputCol="label", outputCol="y", handleInvalid="error", stringOrderType="alphabetAsc").fit(mine)
+        weights = [w + 1.0 if t in members[f] else 0.0 for t, w in zip(vocabulary, IDF(inputCol="tf", outputCol="_").fit(mine).idf.toArray().tolist())]
+        back = PipelineModel([ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="tf", outputCol="tfidf"), Normalizer(inputCol="tfidf", outputCol="features")])
+        ready = back.transform(index.transform(mine)).select("y", "features")
+        model = LogisticRegression(featuresCol="features", labelCol="y", maxIter=rounds, tol=1e-4, regParam=1.0 / (c * max(mine.count(), 1)),
+                                   elasticNetParam=0.0, standardization=False, family="multinomial").fit(ready)
+        known = index.labels
+        predicted = F.element_at(F.array(*[F.lit(x) for x in known]), F.least(F.col("prediction").cast("int") + 1, F.lit(len(known))))
+        part = F.when(F.col("fold") == f, "validation").otherwise("train")
+        one = model.transform(back.transform(counted)).groupBy(part.alias("part"), F.col("label").alias("truth"), predicted.alias("predicted")).agg(F.count("*").alias("n")).withColumn("left_out", F.lit(f))
+        out = one if out is None else out.unionByName(one)
+    return durable(out)  # a few rows per fold
+
+
+def fitted_quality(df: DataFrame, text: str, label: str, terms: int = 2500) -> DataFrame:
+    """Quality of the classifier of train() on the rows it is trained on; texts are cut into terms twice, however many rounds it takes."""
+    return quality_of(_confusions(df.withColumn("fold", F.lit(0)), text, label, 0, terms))
 
 
 def assign_folds(df: DataFrame, key: str, label: str, folds: int = 5, seed: int = 42) -> DataFrame:
@@ -131,13 +180,7 @@ def assign_folds(df: DataFrame, key: str, label: str, folds: int = 5, seed: int
 def cross_validate(df: DataFrame, key: str, text: str, label: str, folds: int = 5, seed: int = 42, terms: int = 2500, gap_limit: float = 0.08) -> DataFrame:
     """Train and validation quality averaged over stratified folds, with a computed verdict on the gap."""
     data = durable(assign_folds(df.select(key, text, label), key, label, folds, seed))
-    counts = None
-    for f in range(folds):
-        model = train(data.filter(F.col("fold") != f), text, label, terms)
-        scored = apply_model(model, data, text).withColumn("part", F.when(F.col("fold") == f, "validation").otherwise("train"))
-        c = scored.groupBy("part", F.col(label).alias("truth"), F.col("predicted_label").alias("predicted")).agg(F.count("*").alias("n")).withColumn("fold", F.lit(f))
-        counts = c if counts is None else counts.unionByName(c)
-    counts = durable(counts)  # a few rows per fold
+    counts = _confusions(data, text, label, folds, terms).withColumnRenamed("left_out", "fold")
     parts = None
     for f in range(folds):
         for part in ("train", "validation"):
