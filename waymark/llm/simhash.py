@@ -99,7 +99,7 @@ def linked(distinct: DataFrame, tau: int = 2, least_size: float | None = None) -
     """Pairs (a, b), a < b, of a table of distinct fingerprints `fp` that differ in at most `tau` bits (1 to 15).
 
     With `least_size` the table also has `size`, and pairs whose sizes have a smaller ratio than that may be left out: sizes
-    are part of the join key in steps of that ratio. If the table has `group`, pairs of one group are left out in the join.
+    are part of the join key in steps of that ratio. If the table has `group`, pairs of one group (not null) are left out in the join.
     """
     if not 1 <= tau <= 15:
         raise ValueError("tau must be 1 to 15")
@@ -107,19 +107,21 @@ def linked(distinct: DataFrame, tau: int = 2, least_size: float | None = None) -
     m = len(segs)
     fp = F.col("fp")
     step = _size_step(least_size)
-    sizes = F.array(step) if least_size is None else F.array(step, step + 1)
+    sizes = [step] if least_size is None else [step, step - 1]
 
     def key(i: int, second: Column, size: Column) -> Column:
-        """Ring position, first segment and second segment of a chain, and the size step."""
-        return F.xxhash64(F.lit(i), _segment(fp, segs[i]), second, size)
+        """Ring position, first segment and second segment of a chain, and the size step; side by side where they fit, which keeps rows short."""
+        if tau == 1:
+            return F.xxhash64(F.lit(i), _segment(fp, segs[i]), second, size)
+        head = F.shiftleft((size * 16 + i).cast("bigint"), 44)
+        return head.bitwiseOR(F.shiftleft(_segment(fp, segs[i]), 22)).bitwiseOR(second)
 
     def variants(i: int) -> Column:
         masks = F.array(*[F.lit(mask).cast("bigint") for mask in (0, *(1 << j for j in range(segs[(i + 1) % m][1])))])
-        return F.flatten(F.transform(sizes, lambda size: F.transform(masks, lambda mask: F.struct(
-            F.lit(i).cast("tinyint").alias("i"), key(i, _segment(fp, segs[(i + 1) % m]).bitwiseXOR(mask), size).alias("key")))))
+        return F.transform(masks, lambda mask: F.struct(F.lit(i).cast("tinyint").alias("i"), key(i, _segment(fp, segs[(i + 1) % m]).bitwiseXOR(mask), step).alias("key")))
 
-    known = F.col("group") if "group" in distinct.columns else fp
-    index = distinct.select(fp.alias("b"), known.alias("group_b"), step.alias("step_b"), F.explode(F.array(*[key(i, _segment(fp, segs[(i + 1) % m]), step) for i in range(m)])).alias("key"))
+    known = F.col("group") if "group" in distinct.columns else F.lit(None).cast("bigint")
+    index = distinct.select(fp.alias("b"), known.alias("group_b"), step.alias("step_b"), F.explode(F.array(*[key(i, _segment(fp, segs[(i + 1) % m]), size) for size in sizes for i in range(m)])).alias("key"))
     probe = distinct.select(fp.alias("a"), known.alias("group_a"), step.alias("step_a"), F.explode(F.flatten(F.array(*[variants(i) for i in range(m)]))).alias("p")).select(
         "a", "group_a", "step_a", "p.i", "p.key")
     diff = F.col("a").bitwiseXOR(F.col("b"))
@@ -138,7 +140,7 @@ def linked(distinct: DataFrame, tau: int = 2, least_size: float | None = None) -
             first = first & ~before
         viable = F.when(F.col("i") == i, first).otherwise(viable)
     once = (F.col("step_a") != F.col("step_b")) | (F.col("a") < F.col("b"))
-    pairs = probe.join(index, "key").filter((F.col("group_a") != F.col("group_b")) & once).filter(viable)
+    pairs = probe.join(index, "key").filter((F.col("a") != F.col("b")) & F.coalesce(F.col("group_a") != F.col("group_b"), F.lit(True)) & once).filter(viable)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -214,14 +216,27 @@ def _rest(keys: DataFrame, groups: DataFrame, least: float) -> DataFrame:
     known = keys.join(groups, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
     several = known.groupBy("x").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("x")
     known = checkpointed(known.join(several, "x", "left_semi"))
-    a, b = (known.select("x", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "size", "place", "group")]) for s in "ab")
+    a, b = (known.select("x", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "size", "alone", "place", "group")]) for s in "ab")
     size_a, size_b = F.col("size_a"), F.col("size_b")
-    most = F.least("place_a", "place_b") + F.least(size_a - F.col("place_a"), size_b - F.col("place_b"))
+    # what both can have up to the key, of what other texts have too, and after it
+    most = F.least(F.col("place_a") - F.col("alone_a"), F.col("place_b") - F.col("alone_b")) + F.least(size_a - F.col("place_a"), size_b - F.col("place_b"))
     may = (size_a >= least * size_b - 1e-9) & (size_b >= least * size_a - 1e-9) & (most >= least / (1 + least) * (size_a + size_b) - 1e-6)
     met = a.join(b, "x").filter((F.col("node_a") < F.col("node_b")) & (F.col("group_a") != F.col("group_b")) & may)
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
+def _rarest(sets: DataFrame, least: float) -> DataFrame:
+    """Keys (x, node, size, alone, place) of sets (node, size, members): the rarest members, one more than a set can lose in one that is `least` alike."""
+    member = sets.select("node", "size", F.explode("members").alias("x"))
+    shared = member.groupBy("x").agg(F.count("*").alias("n")).filter("n > 1")
+    ranked = member.join(shared, "x").groupBy("node", "size").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("r"))
+    # members that no other text has come first in the order and meet nothing
+    alone = (F.col("size") - F.size("r")).cast("int")
+    keys = (F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1 - alone).cast("int")
+    return checkpointed(ranked.withColumns({"alone": alone, "keys": keys}).filter("keys > 0").select(
+        "node", "size", "alone", F.posexplode(F.slice("r", F.lit(1), F.col("keys"))).alias("i", "r")).select("r.x", "node", "size", "alone", (F.col("alone") + F.col("i") + 1).alias("place")))
+
+
 def _exact_groups(rows: DataFrame, tau: int, width: int, least: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """As _banded_groups, by a search that misses no pair.
 
@@ -264,14 +279,7 @@ def _exact_groups(rows: DataFrame, tau: int, width: int, least: float) -> tuple[
         side = lambda s: alike.select(F.col("node").alias(s), F.col("members").alias(f"set_{s}"))
         return checkpointed(_jaccard(checkpointed(pairs).join(side("b"), "b").join(side("a"), "a"), least))
 
-    member = alike.select("node", "size", F.explode("members").alias("x"))
-    shared = member.groupBy("x").agg(F.count("*").alias("n")).filter("n > 1")
-    ranked = member.join(shared, "x").groupBy("node", "size").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("r"))
-    # members that no other text has come first in the order and meet nothing
-    alone = (F.col("size") - F.size("r")).cast("int")
-    keys = (F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1 - alone).cast("int")
-    keys = checkpointed(ranked.withColumns({"alone": alone, "keys": keys}).filter("keys > 0").select(
-        "node", "size", "alone", F.posexplode(F.slice("r", F.lit(1), F.col("keys"))).alias("i", "r")).select("r.x", "node", "size", (F.col("alone") + F.col("i") + 1).alias("place")))
+    keys = _rarest(alike, least)
 
     # dense groups are joined by stars first; then only pairs between what is still apart are made
     of_print = checkpointed(alike.groupBy("fp").agg(F.min(F.struct("node", "size")).alias("m")).select("fp", "m.node", "m.size"))
@@ -288,6 +296,8 @@ def _exact_groups(rows: DataFrame, tau: int, width: int, least: float) -> tuple[
 BANDS, BAND_ROWS = 20, 5
 #: An estimate from all values that lies so far below the bound is five standard deviations away.
 SLACK = 0.2
+#: Texts of a band up to which all its pairs are made; those of larger bands meet on their rarest shingles, which loses none.
+BAND_PAIRS = 16
 _RNG = np.random.default_rng(20)
 _MULTIPLIERS = _RNG.integers(0, 1 << 63, BANDS * BAND_ROWS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -316,12 +326,16 @@ def _estimated(pairs: DataFrame, heads: DataFrame, least: float) -> DataFrame:
     return pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").mapInArrow(run, "a long, b long, est double")
 
 
+def _texts_of(nodes: DataFrame, rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """(node, _text) of distinct nodes."""
+    wanted = checkpointed(heads.join(nodes, "node").select("node", F.col("key").alias("_k"), F.col("t").alias("_u")))
+    return rows.join(_small(wanted), (F.col("_key") == F.col("_k")) & (F.xxhash64(F.coalesce("_text", F.lit(""))) == F.col("_u"))).select("node", "_text").dropDuplicates(["node"])
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, heads: DataFrame, width: int, least: float) -> DataFrame:
     """The pairs (a, b) of nodes whose texts have a Jaccard similarity of at least `least`; the texts are read and shuffled, not stored."""
     pairs = checkpointed(pairs.select("a", "b").distinct())
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = checkpointed(heads.join(nodes, "node").select("node", F.col("key").alias("_k"), F.col("t").alias("_u")))
-    texts = rows.join(_small(wanted), (F.col("_key") == F.col("_k")) & (F.xxhash64(F.coalesce("_text", F.lit(""))) == F.col("_u"))).select("node", "_text").dropDuplicates(["node"])
+    texts = _texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), rows, heads)
     side = lambda s: texts.select(F.col("node").alias(s), F.col("_text").alias(f"text_{s}"))
 
     def run(batch):
@@ -336,12 +350,31 @@ def _verified(pairs: DataFrame, rows: DataFrame, heads: DataFrame, width: int, l
     return checkpointed(T.mapped(pairs.join(side("b"), "b").join(side("a"), "a"), run, "a long, b long", "text_b"))
 
 
+def _sets(texts: DataFrame, width: int) -> DataFrame:
+    """(node, size, members) of (node, _text): the distinct shingle hashes."""
+
+    def run(batch):
+        x, first = T.WordBlock(batch.column(1).to_pylist()).shingle_block(width)
+        found = [np.unique(x[a:b]).view(np.int64) for a, b in zip(first[:-1], first[1:])]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(u) for u in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["node", "size", "members"])
+
+    return T.mapped(texts, run, "node long, size long, members array<long>", "_text")
+
+
+def _of_prints(pairs: DataFrame, prints: DataFrame) -> DataFrame:
+    """Pairs (a, b) of fingerprints as pairs of the texts that stand for them."""
+    side = lambda s: prints.select(F.col("fp").alias(f"_{s}"), F.col("node").alias(s))
+    return pairs.withColumnsRenamed({"a": "_a", "b": "_b"}).join(side("a"), "_a").join(side("b"), "_b").select("a", "b")
+
+
 def _banded_groups(rows: DataFrame, tau: int, width: int, least: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(key, node) of every row, (node, key) of each distinct text's first row, and (node, root) of the linked nodes.
 
-    Candidates share one of BANDS bands of BAND_ROWS MinHash values; a pair of Jaccard 0.8 does with probability 0.9996. A
-    dense group is joined by stars first: every text with the first ones of its bands, and of its SimHash chains, the
-    likeliest of them checked by the whole texts. Of the rest only pairs between what is still apart are made and checked.
+    Candidates are all pairs of fingerprints within `tau` bits, by `linked`, and the pairs that share one of BANDS bands of
+    BAND_ROWS MinHash values, whatever their fingerprints; a pair of Jaccard 0.8 does with probability 0.9996. A dense group is
+    joined by stars first: every text with the middle one and the first ones of its bands. The likeliest of each text are
+    checked by the whole texts, then those that are still apart. Both searches then make only pairs between different groups;
+    in bands of more than BAND_PAIRS texts, which one long passage can fill, alike texts are found by their rarest shingles.
     """
     def run(batch):
         texts = batch.column(1).to_pylist()
@@ -360,31 +393,45 @@ def _banded_groups(rows: DataFrame, tau: int, width: int, least: float) -> tuple
     width_of = 4 * BAND_ROWS
     bands = F.array(*[F.xxhash64(F.lit(i), F.substring(F.col("sig"), 1 + i * width_of, width_of)) for i in range(BANDS)])
     keys = heads.select("node", "size", F.explode(bands).alias("x"))
+    shared = keys.groupBy("x").agg(F.count("*").alias("n")).filter("n > 1")
+    keys = checkpointed(keys.join(shared, "x"))
+    # the text in the middle of a dense group shares the most bands with others: all near it meet it
+    middle = keys.groupBy("node").agg(F.sum("n").alias("met"))
     near = (F.col("size") >= least * F.col("f.size") - 1e-9) & (F.col("f.size") >= least * F.col("size") - 1e-9)
-    firsts = F.array(*[F.min_by(F.struct("node", "size"), F.xxhash64("node", F.lit(order))) for order in range(2)])
-    first = keys.groupBy("x").agg(F.array_distinct(firsts).alias("firsts"), F.count("*").alias("n")).filter("n > 1").select("x", F.explode("firsts").alias("f"))
+    entry = F.struct("node", "size")
+    firsts = F.array(F.max_by(entry, F.struct("met", "node")), *[F.min_by(entry, F.xxhash64("node", F.lit(order))) for order in range(2)])
+    first = keys.join(middle, "node").groupBy("x").agg(F.array_distinct(firsts).alias("firsts")).select("x", F.explode("firsts").alias("f"))
     stars = keys.join(first, "x").filter(near & (F.col("node") != F.col("f.node"))).select(F.col("node").alias("a"), F.col("f.node").alias("b"))
     of_print = checkpointed(heads.groupBy("fp").agg(F.min(F.struct("node", "size")).alias("m")).select("fp", "m.node", "m.size"))
-    bits = starred(of_print.select("fp", "size"), tau, least).withColumnsRenamed({"a": "_center", "b": "_leaf"})
-    bits = bits.join(of_print.select(F.col("fp").alias("_center"), F.col("node").alias("b")), "_center").join(of_print.select(F.col("fp").alias("_leaf"), F.col("node").alias("a")), "_leaf")
     same = heads.select("fp", F.col("node").alias("a")).join(of_print.select("fp", F.col("node").alias("b")), "fp").filter("a <> b")
-    stars = stars.unionByName(bits.select("a", "b")).unionByName(same.select("a", "b")).distinct()
+    stars = stars.unionByName(same.select("a", "b")).distinct()
     stars = checkpointed(_estimated(stars, heads, least - SLACK))
 
+    grouped = lambda df, s, groups: df.join(groups.select(F.col("node").alias(s), F.col("root").alias(f"_{s}")), s, "left").withColumn(f"_{s}", F.coalesce(f"_{s}", s))
+    ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     best = stars.groupBy("a").agg(F.max_by("b", F.struct("est", "b")).alias("b"))
-    linked_first = _verified(best, rows, heads, width, least)
-    groups = components(linked_first)
-    grouped = lambda df, s: df.join(groups.select(F.col("node").alias(s), F.col("root").alias(f"_{s}")), s, "left").withColumn(f"_{s}", F.coalesce(f"_{s}", s))
-    apart = grouped(grouped(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), "a"), "b").filter("_a <> _b").select("a", "b")
-    known = keys.join(groups, "node", "left").withColumn("group", F.coalesce("root", "node")).drop("root")
-    several = known.groupBy("x").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("x")
-    known = checkpointed(known.join(several, "x", "left_semi"))
-    one, two = (known.select("x", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "size", "group")]) for s in "ab")
+    links = _verified(best, rows, heads, width, least)
+    groups = components(links)
+    apart = grouped(grouped(stars.select("a", "b").join(best, ["a", "b"], "left_anti"), "a", groups), "b", groups).filter("_a <> _b")
+    links = links.unionByName(_verified(ordered(apart), rows, heads, width, least))
+
+    groups = components(links)
+    known = keys.join(groups, "node", "left").withColumn("group", F.coalesce("root", "node"))
+    several = known.groupBy("x").agg(F.min("group").alias("lo"), F.max("group").alias("hi"), F.count("*").alias("here")).filter("lo < hi").select("x", "here")
+    known = checkpointed(known.select("x", "node", "size", "group").join(several, "x"))
+    one, two = (known.filter(F.col("here") <= BAND_PAIRS).select("x", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "size", "group")]) for s in "ab")
     may = (F.col("size_a") >= least * F.col("size_b") - 1e-9) & (F.col("size_b") >= least * F.col("size_a") - 1e-9)
-    met = one.join(two, "x").filter((F.col("node_a") < F.col("node_b")) & (F.col("group_a") != F.col("group_b")) & may)
-    rest = _estimated(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), heads, least - SLACK).select("a", "b")
-    later = apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(rest)
-    return prints.select("key", "node"), heads.select("node", "key"), components(linked_first.unionByName(_verified(later, rows, heads, width, least)))
+    met = one.join(two, "x").filter((F.col("node_a") < F.col("node_b")) & (F.col("group_a") != F.col("group_b")) & may).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    wide = checkpointed(known.filter(F.col("here") > BAND_PAIRS).select("node").distinct())
+    if not wide.isEmpty():
+        met = met.unionByName(_rest(_rarest(_sets(_texts_of(wide, rows, heads), width), least), groups, least))
+    # the rarest shingles have already given all alike pairs of texts of large bands: to the bits these are one group
+    in_groups = of_print.join(groups.unionByName(wide.select("node", F.lit(0).cast("bigint").alias("root"))).groupBy("node").agg(F.min(F.struct(F.col("root") != 0, "root")).alias("g")), "node", "left")
+    in_groups = in_groups.select("fp", "size", F.col("g.root").alias("group"))
+    bits = _of_prints(linked(in_groups, tau, least), of_print)
+    rest = ordered(met.unionByName(bits)).join(ordered(stars), ["a", "b"], "left_anti")
+    rest = _estimated(rest, heads, least - SLACK)
+    return prints.select("key", "node"), heads.select("node", "key"), components(links.unionByName(_verified(rest, rows, heads, width, least)))
 
 
 def one_of_each_group(docs: DataFrame, tau: int = 8, width: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", exact: bool = False) -> DataFrame:
