@@ -11,6 +11,8 @@ Equal fingerprints are one row before any join, so copies are never paired with
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -125,20 +127,16 @@ def linked(distinct: DataFrame, tau: int = 2, least_size: float | None = None) -
     probe = distinct.select(fp.alias("a"), known.alias("group_a"), step.alias("step_a"), F.explode(F.flatten(F.array(*[variants(i) for i in range(m)]))).alias("p")).select(
         "a", "group_a", "step_a", "p.i", "p.key")
     diff = F.col("a").bitwiseXOR(F.col("b"))
-    # every prefix of the chain within its share of the budget; the whole ring is the Hamming check
-    chains = []
-    for i in range(m):
-        ok = F.lit(True)
-        for n in range(1, m + 1):
-            ok = ok & (F.bit_count(diff.bitwiseAND(F.lit(_ring(segs, i, n)).cast("bigint"))) <= n * tau // m)
-        chains.append(ok)
+    # every prefix of the chain within its share of the budget; the whole ring is the Hamming check. The masks of all chains lie in one
+    # literal, so the condition is as long as one chain: spelled out for each, planning it took hundreds of MB on the driver
+    masks = F.array(*[F.lit(_ring(segs, i, n)).cast("bigint") for i in range(m) for n in range(1, m + 1)])
+
+    def chain(i: Column) -> Column:
+        return reduce(and_, [F.bit_count(diff.bitwiseAND(F.get(masks, i * m + (n - 1)))) <= n * tau // m for n in range(1, m + 1)])
+
     # a pair is made once: at its first viable chain, and by the smaller fingerprint where both could ask for the other
-    viable = F.lit(False)
-    for i in range(m):
-        first = chains[i]
-        for before in chains[:i]:
-            first = first & ~before
-        viable = F.when(F.col("i") == i, first).otherwise(viable)
+    at = F.col("i").cast("int")
+    viable = reduce(and_, [chain(at), *[(at <= i) | ~chain(F.lit(i)) for i in range(m - 1)]])
     once = (F.col("step_a") != F.col("step_b")) | (F.col("a") < F.col("b"))
     pairs = probe.join(index, "key").filter((F.col("a") != F.col("b")) & F.coalesce(F.col("group_a") != F.col("group_b"), F.lit(True)) & once).filter(viable)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -428,7 +426,9 @@ def _banded_groups(rows: DataFrame, tau: int, width: int, least: float) -> tuple
     # the rarest shingles have already given all alike pairs of texts of large bands: to the bits these are one group
     in_groups = of_print.join(groups.unionByName(wide.select("node", F.lit(0).cast("bigint").alias("root"))).groupBy("node").agg(F.min(F.struct(F.col("root") != 0, "root")).alias("g")), "node", "left")
     in_groups = in_groups.select("fp", "size", F.col("g.root").alias("group"))
-    bits = _of_prints(linked(in_groups, tau, least), of_print)
+    # each search is a plan of its own: planned together they filled the driver
+    met = checkpointed(met.distinct())
+    bits = _of_prints(checkpointed(linked(checkpointed(in_groups), tau, least)), of_print)
     rest = ordered(met.unionByName(bits)).join(ordered(stars), ["a", "b"], "left_anti")
     rest = _estimated(rest, heads, least - SLACK)
     return prints.select("key", "node"), heads.select("node", "key"), components(links.unionByName(_verified(rest, rows, heads, width, least)))
