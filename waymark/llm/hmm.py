@@ -5,8 +5,9 @@ has not seen is one more symbol. A start state is drawn, then every token is a t
 
 Baum-Welch runs all its rounds over all training texts. The texts are cut once into parts of whole texts, written as
 numbers of the part's own distinct words. A round is an E-step per part (expected counts of the part's words), a sum over
-parts per range of word hashes, and a table of sums laid out by part, from which the parts read their words' emissions in
-the next round. So the emission table is as long as the vocabulary, no task or driver holds it whole, and nothing but the
+parts per range of word hashes, each word once, and a table of sums laid out by part, from which the parts read their words'
+emissions in the next round. The layout of the round before and the shuffle of the E-step are gone before the next layout is
+made, so only one of them takes disk at a time. So the emission table is as long as the vocabulary, no task or driver holds it whole, and nothing but the
 transition matrix and totals travels with the tasks. Exact likelihoods come from the scaled forward recursion; only texts
 longer than a segment need transfer matrices, which are multiplied up side by side and chained per text.
 """
@@ -258,52 +259,71 @@ def _training(batch, i: int) -> np.ndarray:
     return np.flatnonzero(~np.asarray(batch.column("marks")[i].values.to_numpy(zero_copy_only=False), bool))
 
 
-def _cut(part: int, words: np.ndarray, data: np.ndarray, stats: np.ndarray, buckets: int):
-    """One row per range of word hashes, and one with totals."""
+def _cut(part: int, words: np.ndarray, data: np.ndarray | None, stats: np.ndarray | None, buckets: int):
+    """One row per range of word hashes, and one with totals if there are any; without `data` the words alone."""
     bucket = ((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     edges = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(words)])) if len(words) else np.zeros(1, int)
     spans = list(zip(edges[:-1], edges[1:]))
+    end = [] if stats is None else [stats.tobytes()]
     yield pa.RecordBatch.from_arrays(
-        [pa.array([int(bucket[a]) for a, _ in spans] + [-1 - part % 64], pa.int64()), pa.array([part] * (len(spans) + 1), pa.int64()),
-         pa.array([words[a:b].tobytes() for a, b in spans] + [b""]), pa.array([data[a:b].tobytes() for a, b in spans] + [stats.tobytes()])],
+        [pa.array([int(bucket[a]) for a, _ in spans] + [-1 - part % 64] * len(end), pa.int64()), pa.array([part] * (len(spans) + len(end)), pa.int64()),
+         pa.array([words[a:b].tobytes() for a, b in spans] + [b""] * len(end), pa.binary()),
+         pa.array([None if data is None else data[a:b].tobytes() for a, b in spans] + end, pa.binary())],
         names=["bucket", "part", "words", "data"])
 
 
 _BLOCKS = "bucket long, part long, words binary, data binary"
-_SUMS = "part long, bucket long, data binary, of_words array<double>, of_parts array<double>"
+_SUMS = "bucket long, words binary, data binary, of_words array<double>, of_parts array<double>"
 
 
 def _summed(blocks: DataFrame, folder: str, dtype, width: int, totals, n_words: int, n_parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Adds the blocks of each range over parts, writes every part's sums below `folder` and returns the totals of words and of parts.
+    """Adds the blocks of each range over parts, writes the sums of its words below `folder` and returns the totals of words and of parts.
 
     `totals(words, sums)` gives `n_words` numbers of a range; the `n_parts` numbers of the parts are added up beside them.
     """
 
     def run(key, table):
-        data, parts, bucket = table.column("data").to_pylist(), table.column("part").to_pylist(), key[0].as_py()
-        lists = pa.list_(pa.float64())
+        data, bucket = table.column("data").to_pylist(), key[0].as_py()
         if bucket < 0:
-            own = [np.sum([np.frombuffer(d) for d in data], 0).tolist()]
-            columns = [STATS], [None], [None], own
+            row = None, None, None, np.sum([np.frombuffer(d) for d in data], 0).tolist()
         else:
-            words = [np.frombuffer(w, np.uint64) for w in table.column("words").to_pylist()]
-            uniq, at = np.unique(np.concatenate(words), return_inverse=True)
+            uniq, at = np.unique(np.frombuffer(b"".join(table.column("words").to_pylist()), np.uint64), return_inverse=True)
             rows = np.frombuffer(b"".join(data), dtype).reshape(-1, width)
             sums = np.stack([np.bincount(at, rows[:, s], minlength=len(uniq)) for s in range(width)], 1)
-            out = [sums[a].astype(dtype).tobytes() for a in np.split(at, np.cumsum([len(w) for w in words])[:-1])]
-            blank = [None] * len(out)
-            columns = parts + [STATS], out + [None], blank + [totals(uniq, sums).tolist()], blank + [None]
-        kinds = pa.int64(), pa.binary(), lists, lists
-        part, found, of_words, of_parts = (pa.array(c, t) for c, t in zip(columns, kinds))
-        return pa.table([part, pa.array([bucket] * len(part), pa.int64()), found, of_words, of_parts], names=["part", "bucket", "data", "of_words", "of_parts"])
-
-    blocks.groupBy("bucket").applyInArrow(run, _SUMS).repartition("part").write.partitionBy("part").parquet(folder)
-    stats = blocks.sparkSession.read.schema(_SUMS).parquet(folder).filter(F.col("part") == STATS)
+            row = uniq.tobytes(), sums.astype(dtype).tobytes(), totals(uniq, sums).tolist(), None
+        kinds = pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64())
+        return pa.table([pa.array([bucket], pa.int64()), *[pa.array([x], t) for x, t in zip(row, kinds)]], names=["bucket", "words", "data", "of_words", "of_parts"])
+
+    blocks.groupBy("bucket").applyInArrow(run, _SUMS).write.parquet(folder)
+    stats = blocks.sparkSession.read.schema(_SUMS).parquet(folder)
     got = stats.agg(*[F.sum(F.col("of_words")[i]) for i in range(n_words)], *[F.sum(F.col("of_parts")[i]) for i in range(n_parts)]).first()
     got = np.array([x or 0.0 for x in got])
     return got[:n_words], got[n_words:]
 
 
+def _laid_out(parts: DataFrame, summed: str, folder: str, dtype, width: int, buckets: int) -> str:
+    """Writes the sums of every part's words below `folder`, by part; the table `summed` is removed after."""
+
+    def words_of(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                yield from _cut(b.column("part")[i].as_py(), np.frombuffer(b.column("words")[i].as_buffer() or b"", np.uint64), None, None, buckets)
+
+    def run(key, table):
+        part, words, data = (table.column(c).to_pylist() for c in ("part", "words", "data"))
+        at = part.index(STATS)
+        known, sums = np.frombuffer(words[at], np.uint64), np.frombuffer(data[at], dtype).reshape(-1, width)
+        del words[at], part[at]
+        out = [sums[np.searchsorted(known, np.frombuffer(w, np.uint64))].tobytes() for w in words]
+        return pa.table([pa.array(part, pa.int64()), pa.array([key[0].as_py()] * len(part), pa.int64()), pa.array(out, pa.binary())], names=["part", "bucket", "data"])
+
+    sums = parts.sparkSession.read.schema(_SUMS).parquet(summed).filter("bucket >= 0").select("bucket", F.lit(STATS).cast("long").alias("part"), "words", "data")
+    both = parts.select("part", "words").mapInArrow(words_of, _BLOCKS).unionByName(sums)
+    both.groupBy("bucket").applyInArrow(run, "part long, bucket long, data binary").repartition("part").write.partitionBy("part").parquet(folder)
+    remove(summed)
+    return folder
+
+
 @dataclass
 class Trained:
     """A fitted model: its totals, the folders of training counts and expected counts by part, and the log-likelihood before each round."""
@@ -318,7 +338,7 @@ def baum_welch(parts: DataFrame, states: int = 8, rounds: int = 6, tolerance: fl
     """Rounds over all training texts until the log-likelihood rises by less than `tolerance` of itself, `rounds` at most.
 
     Word ranges are made so that the parts bring about `range_words` rows to each. Every round's sums are a table of their
-    own in the shared folder, so a lost executor costs its tasks only; the table before is removed.
+    own in the shared folder, so a lost executor costs its tasks only; the table before is removed first.
     """
     k = states
     one = parts.agg(F.sum("n_words").alias("pairs"), F.sum(F.size(F.filter("marks", lambda m: ~m))).alias("ends")).first()
@@ -338,17 +358,18 @@ def baum_welch(parts: DataFrame, states: int = 8, rounds: int = 6, tolerance: fl
         n = sums[:, 0]
         return np.concatenate(([n.sum(), (n > 0).sum()], ((n + 0.5) * (n > 0)) @ noise(words, k)))
 
-    counts = f"{base}/counts"
-    got, _ = _summed(parts.mapInArrow(counted, _BLOCKS), counts, np.float64, 1, count_totals, 2 + k, 1)
+    got, _ = _summed(parts.mapInArrow(counted, _BLOCKS), f"{base}/of-words", np.float64, 1, count_totals, 2 + k, 1)
+    counts = _laid_out(parts, f"{base}/of-words", f"{base}/counts", np.float64, 1, buckets)
     stay = np.full((k, k), 0.05 / max(k - 1, 1)) + np.eye(k) * (0.95 - 0.05 / max(k - 1, 1))
     of = Totals(k, got[0], got[1], ends, np.full(k, 1 / k), stay / stay.sum(1)[:, None], np.full(k, 1 / k), np.zeros(k), np.ones(k))
     of.norm = (got[2:] + (ends + 0.5) * (ends > 0) + 0.5) / of.mass
     sums, seen = None, []
     for r in range(rounds if ends else 0):
-        of, fresh, total = _round(parts, counts, sums, f"{base}/sums-{r}", of, buckets)
+        of, total = _round(parts, counts, sums, f"{base}/of-words-{r}", of, buckets)
         if sums:
             remove(sums)
-        sums = fresh
+        _release(parts.sparkSession)
+        sums = _laid_out(parts, f"{base}/of-words-{r}", f"{base}/sums-{r}", np.float32, k, buckets)
         _release(parts.sparkSession)
         seen.append(total)
         if r and seen[-1] - seen[-2] < tolerance * abs(seen[-2]):
@@ -362,7 +383,7 @@ def _release(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def _round(parts: DataFrame, counts: str, sums: str | None, folder: str, of: Totals, buckets: int) -> tuple[Totals, str, float]:
+def _round(parts: DataFrame, counts: str, sums: str | None, folder: str, of: Totals, buckets: int) -> tuple[Totals, float]:
     k, mass = of.states, of.mass
 
     def run(batches):
@@ -386,7 +407,7 @@ def _round(parts: DataFrame, counts: str, sums: str | None, folder: str, of: Tot
     shares = got[k + 1:] + end_counts + 1.0
     shares /= shares.sum()
     norm = got[:k] / shares + got[k] + (of.ends + 0.5) / mass * (end_counts + SMOOTH * shares) / (of.ends + SMOOTH) / shares + 0.5 / mass
-    return Totals(k, of.words, of.types, of.ends, begin / begin.sum(), moved / moved.sum(1)[:, None], shares, end_counts, norm), folder, float(own[-1])
+    return Totals(k, of.words, of.types, of.ends, begin / begin.sum(), moved / moved.sum(1)[:, None], shares, end_counts, norm), float(own[-1])
 
 
 def is_held_out(id_col: str = "doc_id") -> Column:
