@@ -159,18 +159,22 @@ def _drawn(seed: int, max_days: int, item_kind: str) -> Column:
 
     def picked(options, s):
         """The first option at which the running sum of scores reaches the draw."""
-        draw = unit(s) * F.aggregate(options, F.lit(0.0), lambda a, e: a - e["neg"])
         begun = F.struct(F.lit(0.0).alias("sum"), F.lit(-1).alias("at"), F.lit(0).alias("n"))
-        walk = F.aggregate(options, begun, lambda a, e: F.struct(
+        walk = lambda draw: F.aggregate(options, begun, lambda a, e: F.struct(
             (a["sum"] - e["neg"]).alias("sum"), F.when((a["at"] < 0) & (a["sum"] - e["neg"] >= draw), a["n"]).otherwise(a["at"]).alias("at"), (a["n"] + 1).alias("n")))
-        return F.get(options, F.greatest(walk["at"], F.lit(0)))
+        # the draw hashes a text: once per slot, not once per option
+        at = _let(unit(s) * F.aggregate(options, F.lit(0.0), lambda a, e: a - e["neg"]), lambda draw: walk(draw)["at"])
+        return F.get(options, F.greatest(at, F.lit(0)))
 
     def step(acc, s):
         def use(pool):
-            free = F.slice(F.filter(pool, lambda e: ~F.array_contains(acc["used"], e["item_id"])), 1, CHOICES)
+            # so many entries from the front hold CHOICES unused ones, if the pool does
+            front = F.slice(pool, F.lit(1), F.size(acc["used"]) + CHOICES)
+            unused = F.slice(F.filter(front, lambda e: ~F.array_contains(acc["used"], e["item_id"])), 1, CHOICES)
             again = F.filter(F.array(F.get(F.array_sort(pool, lambda a, b: F.when(a["item_id"] < b["item_id"], -1).when(a["item_id"] > b["item_id"], 1).otherwise(0)),
                                            F.pmod(s["slot"], F.greatest(F.size(pool), F.lit(1))))), lambda e: e.isNotNull())
-            return _let(F.when(F.size(free) > 0, free).otherwise(again), lambda options: _let(picked(options, s), put))
+            options = _let(unused, lambda free: F.when(F.size(free) > 0, free).otherwise(again))
+            return _let(options, lambda options: _let(picked(options, s), put))
 
         def put(e):
             made = F.struct(s["day"].alias("day"), s["slot"].alias("slot"), s["time"].alias("time"), s["is_food"].alias("is_food"), e["item_id"].alias("item_id"), (-e["neg"]).alias("score"))
