@@ -36,8 +36,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind in brackets; n_chars follows the text."""
-    found = pii.find(docs.select(F.col("text").alias("_text"), F.struct(*docs.columns).alias("_row")), text_col="_text")
-    text = pii.redacted(F.col("_text"), F.col("spans"))
+    found = pii.find(docs.select(F.col("text").alias("_text"), F.struct(*docs.columns).alias("_row")), text_col="_text", only=["_row"])
+    text = pii.redacted(F.col("_row.text"), F.col("spans"))
     rows = found.select("_row", text.alias("_text"))
     return rows.select(*[F.col("_text").alias(c) if c == "text" else F.length("_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
                          else F.col("_row")[c].alias(c) for c in docs.columns])

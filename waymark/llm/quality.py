@@ -9,6 +9,7 @@ with few documents says little. A document's posterior odds are its path's odds
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
@@ -23,17 +24,25 @@ BROADCAST_SITES = 50_000
 SALTS = 32
 
 
-def features(text: Column) -> Column:
-    """Form of a text as an array of numbers between about 0 and 10; zeros for a null or empty text."""
+def form(text: Column) -> list[Column]:
+    """Form of a text as numbers between about 0 and 10; zeros for a null or empty text."""
     t = F.coalesce(text, F.lit(""))
     n = F.greatest(F.length(t), F.lit(1))
-    share = lambda pattern: F.regexp_count(t, F.lit(pattern)) / n
+    # the characters of a class are what is left when all others are taken out, a run at a time; counted one by one each would be a string
+    only = lambda of, others: F.regexp_replace(of, others, "")
+    share = lambda count: 10 * (count / n)
+    rest = only(t, r"\p{L}+")
+    marks = only(rest, r"[\p{N}\s]+")
     lines, words = F.split(t, "\n"), F.split(t, r"\s+")
-    return F.array(
-        F.log1p(F.length(t)), 10 * share(r"\p{L}"), 10 * share(r"\p{Lu}"), 10 * share(r"\p{N}"), 10 * share(r"[^\p{L}\p{N}\s]"),
-        10 * share("!"), 10 * share(r"\|"), 10 * share("[#$%&*@<>{}=~^]"), F.least(n / F.size(words), F.lit(30)) / 3,
+    return [
+        F.log1p(F.length(t)), share(F.length(t) - F.length(rest)), share(F.length(only(t, r"\P{Lu}+"))), share(F.length(only(rest, r"\P{N}+"))), share(F.length(marks)),
+        *[share(F.length(only(marks, others))) for others in ("[^!]+", "[^|]+", "[^#$%&*@<>{}=~^]+")], F.least(n / F.size(words), F.lit(30)) / 3,
         100 * (F.size(lines) - 1) / n, 10 * (1 - F.size(F.array_distinct(lines)) / F.size(lines)),
-        10 * F.size(F.array_distinct(words)) / F.size(words))
+        10 * F.size(F.array_distinct(words)) / F.size(words)]
+
+
+def features(text: Column) -> Column:
+    return F.array(*form(text))
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS, id_col: str = "doc_id", text_col: str = "text"):
@@ -58,7 +67,7 @@ def evidence(text: Column, model) -> tuple[Column, Column]:
     if model is None:
         return F.lit(0.0), F.lit(0.0)
     weights, bias, prior = model
-    score = F.aggregate(F.arrays_zip(features(text), F.array(*[F.lit(w) for w in weights])), F.lit(bias), lambda a, z: a + z["0"] * z["1"])
+    score = reduce(lambda a, z: a + z[0] * z[1], zip(form(text), weights), F.lit(bias))
     return score, score - F.lit(prior)
 
 

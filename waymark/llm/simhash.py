@@ -26,30 +26,39 @@ from waymark.llm.store import checkpointed, saved
 SEED = 42
 #: Orders in which a bucket names a first fingerprint, to which the others are compared before all pairs are searched.
 STAR_ORDERS = 8
-_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+#: Segments up to which the join's condition spells out all chains. With more, it is too long for the JVM to compile, and each of
+#: the pairs that meet took thirteen microseconds; the few pairs within the bits then come from every chain that they share.
+CHAIN_SEGMENTS = 4
+_EIGHTHS = np.uint64(0x0101010101010101)
+
+
+def simhashes(texts: list[str | None], width: int = 3) -> np.ndarray:
+    """The fingerprint of each text: bit is 1 if set in over half the XXH64 hashes of its shingles; without words 0."""
+    buf, start, stop, first = T.spelled_shingles(texts, width)
+    h, n = T.xxh64(buf, start, stop, SEED), np.diff(first)
+    some = np.flatnonzero(n)
+    out = np.zeros(len(n), np.uint64)
+    if len(some):
+        # every eighth bit of a hash is a counter of one byte, so runs of at most 255 hashes are added as they are
+        parts = -(-n[some] // 255)
+        of = np.cumsum(parts) - parts
+        cut = np.repeat(first[some] - 255 * of, parts) + 255 * np.arange(parts.sum())
+        ones = np.stack([np.add.reduceat((h >> np.uint64(j)) & _EIGHTHS, cut).view(np.uint8).reshape(-1, 8) for j in range(8)], 2)
+        bits = np.add.reduceat(ones.astype(np.int64), of) * 2 > n[some, None, None]
+        out[some] = np.packbits(bits.reshape(len(some), 64), axis=1, bitorder="little").view("<u8").ravel()
+    return out
 
 
 def simhash(text: str | None, width: int = 3) -> int:
-    """The fingerprint of a text: bit is 1 if set in over half the XXH64 hashes of its shingles; without words 0."""
-    w = T.words(text)
-    if not w:
-        return 0
-    joined = b" ".join(w)
-    stop = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
-    n = max(1, len(w) - width + 1)
-    start = np.concatenate(([0], stop[:n - 1] + 1)).tolist()
-    stop = stop[min(width, len(w)) - 1:].tolist()
-    digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[a:b], SEED) for a, b in zip(start, stop)], np.uint64).view(np.uint8).reshape(-1, 8)
-    ones = [np.bincount(h[:, lane], minlength=256) @ _BITS for lane in range(8)]
-    return int(np.packbits(np.concatenate(ones) * 2 > n, bitorder="little").view("<u8")[0])
+    """The fingerprint of one text."""
+    return int(simhashes([text], width)[0])
 
 
 def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp): the 64-bit fingerprint of every row, as a signed number."""
 
     def run(batch):
-        fp = np.array([simhash(t, width) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
+        fp = simhashes(batch.column(1).to_pylist(), width).view(np.int64)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=[id_col, "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -127,18 +136,20 @@ def linked(distinct: DataFrame, tau: int = 2, least_size: float | None = None) -
     probe = distinct.select(fp.alias("a"), known.alias("group_a"), step.alias("step_a"), F.explode(F.flatten(F.array(*[variants(i) for i in range(m)]))).alias("p")).select(
         "a", "group_a", "step_a", "p.i", "p.key")
     diff = F.col("a").bitwiseXOR(F.col("b"))
-    # every prefix of the chain within its share of the budget; the whole ring is the Hamming check. The masks of all chains lie in one
-    # literal, so the condition is as long as one chain: spelled out for each, planning it took hundreds of MB on the driver
-    masks = F.array(*[F.lit(_ring(segs, i, n)).cast("bigint") for i in range(m) for n in range(1, m + 1)])
-
-    def chain(i: Column) -> Column:
-        return reduce(and_, [F.bit_count(diff.bitwiseAND(F.get(masks, i * m + (n - 1)))) <= n * tau // m for n in range(1, m + 1)])
-
-    # a pair is made once: at its first viable chain, and by the smaller fingerprint where both could ask for the other
-    at = F.col("i").cast("int")
-    viable = reduce(and_, [chain(at), *[(at <= i) | ~chain(F.lit(i)) for i in range(m - 1)]])
+    # the Hamming check comes first: nearly all that meet fail there
+    near = F.bit_count(diff) <= tau
+    if m <= CHAIN_SEGMENTS:
+        # every prefix of the chain within its share of the budget; a pair is made once: at its first viable chain
+        masks = F.array(*[F.lit(_ring(segs, i, n)).cast("bigint") for i in range(m) for n in range(1, m + 1)])
+
+        def chain(i: Column) -> Column:
+            return reduce(and_, [F.bit_count(diff.bitwiseAND(F.get(masks, i * m + (n - 1)))) <= n * tau // m for n in range(1, m + 1)])
+
+        at = F.col("i").cast("int")
+        near = reduce(and_, [near, chain(at), *[(at <= i) | ~chain(F.lit(i)) for i in range(m - 1)]])
+    # and by the smaller fingerprint where both could ask for the other
     once = (F.col("step_a") != F.col("step_b")) | (F.col("a") < F.col("b"))
-    pairs = probe.join(index, "key").filter((F.col("a") != F.col("b")) & F.coalesce(F.col("group_a") != F.col("group_b"), F.lit(True)) & once).filter(viable)
+    pairs = probe.join(index, "key").filter((F.col("a") != F.col("b")) & F.coalesce(F.col("group_a") != F.col("group_b"), F.lit(True)) & once & near)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -265,7 +276,7 @@ def _exact_groups(rows: DataFrame, tau: int, width: int, least: float) -> tuple[
     def full(batch):
         texts = batch.column(1).to_pylist()
         found = sets(texts)
-        nodes, fp = (np.array(v, np.uint64).view(np.int64) for v in ([xxhash.xxh64_intdigest(u.tobytes(), SEED) for u in found], [simhash(t, 3) for t in texts]))
+        nodes, fp = np.array([xxhash.xxh64_intdigest(u.tobytes(), SEED) for u in found], np.uint64).view(np.int64), simhashes(texts).view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(fp), pa.array([len(u) for u in found], pa.int64()), pa.array([u.view(np.int64) for u in found], pa.list_(pa.int64()))],
                                          names=["node", "fp", "size", "members"])
 
@@ -378,7 +389,7 @@ def _banded_groups(rows: DataFrame, tau: int, width: int, least: float) -> tuple
         texts = batch.column(1).to_pylist()
         x, first = T.WordBlock(texts).shingle_block(width)
         found = [np.unique(x[a:b]) for a, b in zip(first[:-1], first[1:])]
-        nodes, fp = (np.array(v, np.uint64).view(np.int64) for v in ([xxhash.xxh64_intdigest(u.tobytes(), SEED) for u in found], [simhash(t, 3) for t in texts]))
+        nodes, fp = np.array([xxhash.xxh64_intdigest(u.tobytes(), SEED) for u in found], np.uint64).view(np.int64), simhashes(texts).view(np.int64)
         sig = [s.tobytes() for s in signatures(x, first)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes), pa.array(fp), pa.array([len(u) for u in found], pa.int64()), batch.column(2), pa.array(sig, pa.binary())],
                                          names=["key", "node", "fp", "size", "t", "sig"])

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import xxhash
 
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -63,6 +64,73 @@ def _powers(base: int, n: int) -> np.ndarray:
     return kept[:n]
 
 
+def _runs(blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last (exclusive) place of every run that is not blank; the last place is blank."""
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if len(blank) and not blank[0]:
+        edge = np.concatenate(([0], edge))
+    return edge[0::2], edge[1::2]
+
+
+def _shingled(words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word number of every shingle, the number after its text's last word, and the first shingle number of each text."""
+    n = np.diff(words)
+    count = np.where(n == 0, 0, np.maximum(n - width + 1, 1))
+    first = np.concatenate(([0], np.cumsum(count)))
+    return np.arange(first[-1]) - np.repeat(first[:-1] - words[:-1], count), np.repeat(words[1:], count), first
+
+
+def spelled_shingles(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes in which every shingle of `width` words stands space-joined, where each starts and stops, and the first shingle number of each text."""
+    raw = [lowered(t) for t in texts]
+    buf = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
+    blank = _BLANK[buf]
+    start, stop = _runs(blank)
+    words = np.searchsorted(start, np.concatenate(([0], np.cumsum(np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw))))))
+    kept = ~blank
+    kept[stop] = True  # one blank after each word
+    buf = buf[kept]
+    buf = np.where(_BLANK[buf], np.uint8(32), buf)
+    after = np.cumsum(stop - start + 1)
+    at, over, first = _shingled(words, width)
+    last = np.minimum(at + width, over) - 1
+    return buf, (after - (stop - start + 1))[at], after[last] - 1, first
+
+
+_U = np.uint64
+_XXH = tuple(_U(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _rotated(x: np.ndarray, n: int) -> np.ndarray:
+    return (x << _U(n)) | (x >> _U(64 - n))
+
+
+def xxh64(buf: np.ndarray, start: np.ndarray, stop: np.ndarray, seed: int) -> np.ndarray:
+    """XXH64 of many short runs of bytes at once; those of 32 bytes and more, which the hash mixes differently, go to the library."""
+    p1, p2, p3, p4, p5 = _XXH
+    padded = np.concatenate((buf, np.zeros(8, np.uint8)))
+    at = np.ascontiguousarray(np.lib.stride_tricks.as_strided(padded, (len(buf) + 1, 8), (1, 1))).view("<u8").ravel()
+    size = stop - start
+    h = _U(seed) + p5 + size.astype(_U)
+    for lane in range(0, 24, 8):
+        i = np.flatnonzero(size >= lane + 8)
+        h[i] = _rotated(h[i] ^ (_rotated(at[start[i] + lane] * p2, 31) * p1), 27) * p1 + p4
+    i = np.flatnonzero(size & 4)
+    h[i] = _rotated(h[i] ^ ((at[(start + (size & ~7))[i]] & _U(0xFFFFFFFF)) * p1), 23) * p2 + p3
+    rest = at[start + (size & ~3)]
+    for k in range(3):
+        i = np.flatnonzero((size & 3) > k)
+        h[i] = _rotated(h[i] ^ (((rest[i] >> _U(8 * k)) & _U(255)) * p5), 11) * p1
+    h = (h ^ (h >> _U(33))) * p2
+    h = (h ^ (h >> _U(29))) * p3
+    h ^= h >> _U(32)
+    i = np.flatnonzero(size >= 32)
+    if len(i):
+        raw = buf.tobytes()
+        h[i] = [xxhash.xxh64_intdigest(raw[a:b], seed) for a, b in zip(start[i].tolist(), stop[i].tolist())]
+    return h
+
+
 class WordBlock:
     """The words of some texts in one run: `hashes` of all words, `first` word number of each text (one more at the end)."""
 
@@ -73,11 +141,7 @@ class WordBlock:
         buf = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
         sizes = np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw))
         ends_at = np.cumsum(sizes)
-        blank = self.BLANK[buf]
-        edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
-        if len(buf) and not blank[0]:
-            edge = np.concatenate(([0], edge))
-        self.start, self.stop = edge[0::2], edge[1::2]
+        self.start, self.stop = _runs(self.BLANK[buf])
         self.first = np.searchsorted(self.start, np.concatenate(([0], ends_at)))
         self.hashes = self._hash(buf)
 
@@ -88,12 +152,7 @@ class WordBlock:
 
     def shingle_block(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Shingle hashes of all texts in one run and the first shingle number of each text; shorter texts have one shingle of all their words."""
-        n = np.diff(self.first)
-        count = np.where(n == 0, 0, np.maximum(n - width + 1, 1))
-        first = np.concatenate(([0], np.cumsum(count)))
-        # word number of every shingle: its text's first word plus its place
-        at = np.arange(first[-1]) - np.repeat(first[:-1] - self.first[:-1], count)
-        over = np.repeat(self.first[1:], count)
+        at, over, first = _shingled(self.first, width)
         out = np.zeros(len(at), np.uint64)
         q = 1
         for k in range(width):
